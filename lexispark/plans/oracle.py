@@ -147,6 +147,9 @@ orgs_rb AS (SELECT subreddit, noun AS org, numNoun AS count FROM profile)
 
 
 def _with(body: str) -> str:
+    body = body.lstrip()
+    if body.startswith(","):
+        return "WITH " + base_ctes().strip() + body
     return "WITH " + base_ctes().strip() + "\n" + body
 
 
@@ -236,4 +239,47 @@ FROM (SELECT id, subreddit, tags, ents,
     s["org_totals"] = _with(
         f"SELECT org, CAST(sum(count) AS BIGINT) AS count FROM orgs_rb GROUP BY org "
         f"HAVING sum(count) >= {QUERY_PROFILE.min_org_count}")
+    # ---- F
+    s["w2v_vocab"] = _with(
+        f"SELECT word, count(*) AS count FROM (SELECT unnest(text) AS word FROM sentence_tokens) "
+        f"GROUP BY word HAVING count(*) >= {QUERY_PROFILE.min_word_count}")
+    sims = f"""
+e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+sims AS (
+  SELECT a.vec_id, b.vec_id AS other_id,
+         list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) AS sim
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, CAST(other_id AS VARCHAR)) AS rank FROM sims)"""
+    s["similar_topk"] = (f"WITH {sims.strip()} SELECT vec_id, CAST(rank AS BIGINT) AS rank, other_id, "
+                         f"round(sim, 4) AS similarity FROM ranked WHERE rank <= {TOPK}")
+    s["mutual_nearest"] = (f"WITH {sims.strip()}, nn AS (SELECT vec_id, other_id, sim FROM ranked WHERE rank = 1) "
+                           "SELECT x.vec_id AS a, x.other_id AS b, round(x.sim, 4) AS similarity "
+                           "FROM nn x JOIN nn y ON x.vec_id = y.other_id AND x.other_id = y.vec_id "
+                           "WHERE CAST(x.vec_id AS VARCHAR) < CAST(x.other_id AS VARCHAR)")
+    s["w2v_oov"] = _with(f"""
+, totals AS (SELECT org, CAST(sum(count) AS BIGINT) AS count FROM orgs_rb GROUP BY org
+             HAVING sum(count) >= {QUERY_PROFILE.min_org_count}),
+vocab AS (SELECT word FROM (SELECT unnest(text) AS word FROM sentence_tokens) GROUP BY word
+          HAVING count(*) >= {QUERY_PROFILE.min_word_count})
+SELECT org, count, replace(lower(org), ' ', '_') AS qword,
+       replace(lower(org), ' ', '_') IN (SELECT word FROM vocab) AS in_vocab
+FROM totals""".replace("\n, totals", ", totals", 1))
+    # ---- G
+    s["adjective_report"] = _with(f"""
+, cleaned AS (
+  SELECT org_lower, subreddit, is_direct, adj, adj_count,
+         row_number() OVER (PARTITION BY org_lower, subreddit, is_direct ORDER BY adj_count DESC, adj) AS rn
+  FROM joined WHERE adj_count > 1 AND adj NOT IN ('<', '>')),
+lists AS (
+  SELECT org_lower, subreddit,
+         coalesce(string_agg(CASE WHEN is_direct THEN adj || '=' || adj_count END, '|' ORDER BY rn), '') AS d,
+         coalesce(string_agg(CASE WHEN NOT is_direct THEN adj || '=' || adj_count END, '|' ORDER BY rn), '') AS c
+  FROM cleaned WHERE rn <= 10 GROUP BY org_lower, subreddit),
+items AS (
+  SELECT o.org AS noun, o.subreddit, o.count, coalesce(l.d, '') AS directAdjectives,
+         coalesce(l.c, '') AS connectedAdjectives
+  FROM org_counts o LEFT JOIN lists l ON o.org_lower = l.org_lower AND o.subreddit = l.subreddit
+  WHERE o.count > {REPORT_MIN_COUNT} AND (coalesce(l.d, '') <> '' OR coalesce(l.c, '') <> ''))
+SELECT CAST(row_number() OVER (ORDER BY count DESC, noun, subreddit) - 1 AS BIGINT) AS id, * FROM items""")
     return s

@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import jsonfn
-from ..functions.text import clean, java_split, lower_split
-from ..operators import orgs as O
+from ..functions.text import clean, java_split, lower_split, vocab_word
+from ..operators import embed as E, orgs as O, report as R
 from ..operators.annotate import TEST_LEXICON, annotate, annotation_strings
 from ..operators.sequence import combine_orgs, connected_pairs, direct_pairs, merged_values, org_mentions
 from ..profile import LOCAL
@@ -318,3 +318,102 @@ def q_group_sentences(spark, sf_dir):
 @query("org_totals")
 def q_org_totals(spark, sf_dir):
     return O.org_totals(orgs_table(spark, sf_dir), QUERY_PROFILE.min_org_count)
+
+
+# ----------------------------------------------------------------- F
+
+def _vectors(spark, sf_dir) -> DataFrame:
+    """The ``embeddings`` table as (id STRING-comparable, vec ARRAY<DOUBLE>)."""
+    return tables.table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"))
+
+
+def w2v_model(spark, sf_dir):
+    return E.fit(sentence_table(spark, sf_dir), QUERY_PROFILE)
+
+
+@query("w2v_vocab")
+def q_w2v_vocab(spark, sf_dir):
+    s = sentence_table(spark, sf_dir)
+    words = E.word_vectors(E.fit(s, QUERY_PROFILE), spark).select("word")
+    return words.join(E.vocabulary_counts(s, QUERY_PROFILE.min_word_count), "word")
+
+
+@query("w2v_doc_vectors")
+def q_w2v_doc_vectors(spark, sf_dir):
+    s = sentence_table(spark, sf_dir)
+    model = E.fit(s, QUERY_PROFILE)
+    return E.doc_vectors(model, s).select("id", "subreddit", F.size("result").alias("dims"))
+
+
+@query("similar_topk")
+def q_similar_topk(spark, sf_dir):
+    v = _vectors(spark, sf_dir)
+    top = E.top_k_similar(v.select(F.col("id").alias("qid"), "vec"), v.select(F.col("id").alias("cid"), "vec"), TOPK)
+    return top.select(F.col("qid").cast("bigint").alias("vec_id"), F.col("rank").cast("bigint").alias("rank"),
+                      F.col("cid").cast("bigint").alias("other_id"),
+                      F.round("similarity", 4).alias("similarity"))
+
+
+@query("mutual_nearest")
+def q_mutual_nearest(spark, sf_dir):
+    m = E.mutual_nearest(_vectors(spark, sf_dir))
+    return m.select(F.col("a").cast("bigint").alias("a"), F.col("b").cast("bigint").alias("b"),
+                    F.round("similarity", 4).alias("similarity"))
+
+
+@query("w2v_oov")
+def q_w2v_oov(spark, sf_dir):
+    totals = O.org_totals(orgs_table(spark, sf_dir), QUERY_PROFILE.min_org_count)
+    vocab = E.word_vectors(w2v_model(spark, sf_dir), spark).select(
+        F.col("word").alias("qword"), F.lit(True).alias("in_vocab"))
+    return (totals.withColumn("qword", vocab_word("org")).join(vocab, "qword", "left")
+            .select("org", "count", "qword", F.coalesce("in_vocab", F.lit(False)).alias("in_vocab")))
+
+
+def _flat_synonyms(df: DataFrame) -> DataFrame:
+    return df.select("subreddit", "org", "count", F.size("synonyms").alias("n_synonyms"),
+                     F.array_join(F.transform("synonyms", lambda s: s["word"]), "|").alias("synonyms"))
+
+
+def synonyms_all(spark, sf_dir) -> DataFrame:
+    totals = O.org_totals(orgs_table(spark, sf_dir), QUERY_PROFILE.min_org_count)
+    return E.synonyms_all(sentence_table(spark, sf_dir), totals, QUERY_PROFILE)
+
+
+def synonyms_by_group(spark, sf_dir) -> DataFrame:
+    s = sentence_table(spark, sf_dir)
+    groups = O.groups_over_threshold(s, QUERY_PROFILE.min_group_comments)
+    return E.synonyms_by_group(s, orgs_table(spark, sf_dir), groups, QUERY_PROFILE)
+
+
+@query("w2v_synonyms_all")
+def q_w2v_synonyms_all(spark, sf_dir):
+    return _flat_synonyms(synonyms_all(spark, sf_dir))
+
+
+@query("w2v_synonyms_by_group")
+def q_w2v_synonyms_by_group(spark, sf_dir):
+    return _flat_synonyms(synonyms_by_group(spark, sf_dir))
+
+
+# ----------------------------------------------------------------- G
+
+def flat_items(c: str, name: str = "adjective") -> F.Column:
+    return F.array_join(F.transform(c, lambda x: F.concat(x[name], F.lit("="), x["count"].cast("string"))), "|")
+
+
+@query("adjective_report")
+def q_adjective_report(spark, sf_dir):
+    r = R.adjective_report(profile(spark, sf_dir, sort=False), REPORT_MIN_COUNT)
+    return r.select("id", "data.noun", "data.subreddit", "data.count",
+                    flat_items("data.directAdjectives").alias("directAdjectives"),
+                    flat_items("data.connectedAdjectives").alias("connectedAdjectives"))
+
+
+@query("synonym_report")
+def q_synonym_report(spark, sf_dir):
+    both = synonyms_by_group(spark, sf_dir).unionByName(synonyms_all(spark, sf_dir))
+    r = R.synonym_report(both)
+    return r.select("id", "data.org", "data.subreddit", "data.count",
+                    F.size("data.synonyms").alias("n_synonyms"))
