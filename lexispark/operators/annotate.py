@@ -39,7 +39,7 @@ class Lexicon:
     Rules for a token ``t`` (``l`` = lower case of ``t``), first match wins:
     one non-alphanumeric character -> the character itself as tag; ``l`` in
     ``words`` -> its tag; all digits -> ``CD``; ``suffix_rules`` in order
-    (``l`` longer than the suffix; a noun-tag rule gives ``proper_tag`` when
+    (``l`` ends with the suffix; a noun-tag rule gives ``proper_tag`` when
     ``t`` starts with a capital); ``l`` longer than ``long_word[0]`` ->
     ``long_word[1]``; else ``default_tag``.
     Lemma: the ``words`` lemma, else ``t`` for ``proper_tag``, else ``l``.
@@ -129,7 +129,7 @@ def tag_of(lex: Lexicon, t: Column) -> Column:
         e = e.when(l.isin(words), F.lit(tag))
     e = e.when(t.rlike("^[0-9]+$"), F.lit(NUMBER_TAG))
     for suffix, tag in lex.suffix_rules:
-        hit = l.endswith(suffix) & (F.length(l) > len(suffix))
+        hit = l.endswith(suffix)
         if tag == lex.noun_tag and lex.proper_tag:
             e = e.when(hit & _capitalized(t), F.lit(lex.proper_tag))
         e = e.when(hit, F.lit(tag))

@@ -109,8 +109,9 @@ def combine_orgs(tags, values, raw_values, ents) -> Column:
     tags, values, raw_values, ents = col(tags), col(values), col(raw_values), col(ents)
     cont = _continues_org(ents)
     keep = lambda arr: F.filter(arr, lambda x, i: ~cont(F.get(ents, i), i))
-    merged_v = F.split(merged_values(values, ents), " ", -1)
-    merged_r = F.split(merged_values(raw_values, ents), " ", -1)
+    none = F.array().cast("array<string>")
+    merged_v = F.when(F.size(values) == 0, none).otherwise(F.split(merged_values(values, ents), " ", -1))
+    merged_r = F.when(F.size(values) == 0, none).otherwise(F.split(merged_values(raw_values, ents), " ", -1))
     z = F.arrays_zip(keep(tags).alias("tag"), merged_v.alias("value"),
                      merged_r.alias("rawValue"), keep(ents).alias("ent"))
     return z

@@ -29,7 +29,7 @@ def tag_sql(lex: Lexicon, t: str = "t") -> str:
     parts += [f"WHEN {l} IN {_in(words)} THEN {_q(tag)}" for tag, words in lex.words_by_tag()]
     parts.append(f"WHEN regexp_full_match({t}, '[0-9]+') THEN {_q(NUMBER_TAG)}")
     for suffix, tag in lex.suffix_rules:
-        hit = f"(ends_with({l}, {_q(suffix)}) AND length({l}) > {len(suffix)})"
+        hit = f"ends_with({l}, {_q(suffix)})"
         if tag == lex.noun_tag and lex.proper_tag:
             parts.append(f"WHEN {hit} AND substr({t}, 1, 1) BETWEEN 'A' AND 'Z' THEN {_q(lex.proper_tag)}")
         parts.append(f"WHEN {hit} THEN {_q(tag)}")
