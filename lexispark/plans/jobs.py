@@ -120,7 +120,8 @@ EXAMPLE_SENTENCES = (
     "checked Gamma does and Delta does not",
     "checked Delta does and Gamma does not",
 )
-EXAMPLE_PROFILE = Profile(vector_size=300, min_word_count=0, max_iter=50, seed=42, num_synonyms=20)
+EXAMPLE_PROFILE = Profile(vector_size=300, min_word_count=0, max_iter=50, seed=42, num_synonyms=20,
+                          train_partitions=1)
 
 
 def vec_example(spark: SparkSession, profile: Profile = EXAMPLE_PROFILE) -> DataFrame:
