@@ -71,10 +71,18 @@ def mentions(tagged: DataFrame) -> DataFrame:
 
 def org_counts(tagged: DataFrame) -> DataFrame:
     """Mentions per (lower-cased org, community); the display casing kept
-    is the smallest one (deterministic)."""
-    return (mentions(tagged)
-            .groupBy(F.lower("org").alias("org_lower"), "subreddit")
-            .agg(F.min("org").alias("org"), F.count(F.lit(1)).alias("count")))
+    is the smallest one (deterministic).
+
+    Two levels: a hash aggregation with map-side combine counts every
+    (org_lower, subreddit, casing) - a hot organization is combined before the
+    shuffle - and only the few casings per organization reach the ``min``
+    (whose string buffer would otherwise force a sort-based aggregation over
+    every mention)."""
+    per_casing = (mentions(tagged)
+                  .groupBy(F.lower("org").alias("org_lower"), "subreddit", "org")
+                  .agg(F.count(F.lit(1)).alias("n")))
+    return (per_casing.groupBy("org_lower", "subreddit")
+            .agg(F.min("org").alias("org"), F.sum("n").cast("bigint").alias("count")))
 
 
 # ------------------------------------------------------------ E5 / E6
