@@ -37,9 +37,12 @@ def query(name: str):
 
 # ----------------------------------------------------------------- shared
 
-def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The annotated corpus (nlp stage output), materialized once."""
-    return materialize(O.tagged_from_text(tables.comments(spark, sf_dir).transform(spread)))
+def tagged(spark: SparkSession, sf_dir: str, stage: bool = True) -> DataFrame:
+    """The annotated corpus (nlp stage output). ``stage=True`` materializes it
+    once (several branches or filters read it); a single-branch query with no
+    filter on derived columns streams it straight into the next operator."""
+    t = O.tagged_from_text(tables.comments(spark, sf_dir).transform(spread))
+    return materialize(t, "tagged") if stage else t
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -185,22 +188,22 @@ def _pairs(t: DataFrame, col: F.Column) -> DataFrame:
 
 @query("direct_pairs")
 def q_direct_pairs(spark, sf_dir):
-    return _pairs(tagged(spark, sf_dir), direct_pairs("enc"))
+    return _pairs(tagged(spark, sf_dir, stage=False), direct_pairs("enc"))
 
 
 @query("connected_pairs")
 def q_connected_pairs(spark, sf_dir):
-    return _pairs(tagged(spark, sf_dir), connected_pairs("enc"))
+    return _pairs(tagged(spark, sf_dir, stage=False), connected_pairs("enc"))
 
 
 @query("org_mentions")
 def q_org_mentions(spark, sf_dir):
-    return O.mentions(tagged(spark, sf_dir))
+    return O.mentions(tagged(spark, sf_dir, stage=False))
 
 
 @query("combine_orgs")
 def q_combine_orgs(spark, sf_dir):
-    t = tagged(spark, sf_dir)
+    t = tagged(spark, sf_dir, stage=False)
     c = t.select("id", "subreddit", combine_orgs("tags", "values", "values", "ents").alias("seq"))
     return c.select("id", "subreddit", F.size("seq").alias("n_merged"),
                     F.array_join(F.transform("seq", lambda x: x["value"]), " ").alias("sentence"),
@@ -227,7 +230,7 @@ def q_org_counts(spark, sf_dir):
 
 @query("adj_noun_union")
 def q_adj_noun_union(spark, sf_dir):
-    return O.adj_pairs(tagged(spark, sf_dir))
+    return O.adj_pairs(tagged(spark, sf_dir, stage=False))
 
 
 @query("adj_counts")
