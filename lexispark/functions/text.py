@@ -21,9 +21,14 @@ def java_split(s, sep: str = " ") -> Column:
     rules: inner and leading empty strings kept, trailing ones dropped,
     ``""`` gives ``[""]`` and a string of only separators gives ``[]``."""
     s = col(s)
+    empty = F.array().cast("array<string>")
+    if sep == " ":
+        # rtrim strips only U+0020 here: linear, no regex backtracking
+        trimmed = F.rtrim(s)
+        return F.when((s != "") & (trimmed == ""), empty).otherwise(F.split(trimmed, " ", -1))
     q = _re_quote(sep)
-    return (F.when(s.rlike(f"^(?:{q})+$"), F.array().cast("array<string>"))
-            .otherwise(F.split(F.regexp_replace(s, f"(?:{q})+$", ""), q, -1)))
+    return (F.when(s.rlike(f"^(?:{q})+$"), empty)
+            .otherwise(F.split(F.regexp_replace(s, f"(?:{q})++$", ""), q, -1)))
 
 
 def _re_quote(sep: str) -> str:

@@ -32,15 +32,27 @@ from ..functions.tags import ORGANIZATION, decode
 TOK = "[^ ]*"  # the value part of one encoded token
 
 
+# Linear-time matching: every pattern consumes a whole run possessively and
+# the unwanted matches are filtered afterwards, so a match can start only at a
+# run boundary and nothing is retried inside a long run (no quadratic
+# backtracking on adversarial text such as thousands of nouns in a row).
+
+
 def _adjectives(fragment: Column) -> Column:
-    """Adjectives of a run: each J with the adverbs directly before it."""
-    return F.transform(F.regexp_extract_all(fragment, F.lit(f"(?: R{TOK})* J{TOK}"), 0), decode)
+    """Adjectives of a run: each J with the adverbs directly before it (an
+    adverb run not followed by an adjective is consumed and dropped)."""
+    m = F.regexp_extract_all(fragment, F.lit(f"(?: R{TOK})++(?: J{TOK})?| J{TOK}"), 0)
+    return F.transform(F.filter(m, lambda x: x.contains(" J")), decode)
 
 
 def direct_pairs(encoded, flush_tail: bool = False) -> Column:
     """D1 -> ARRAY<STRUCT<is_direct, noun, adj>>."""
-    end = f"(?: [BVDX]|$)" if flush_tail else " [BVDX]"
-    runs = F.regexp_extract_all(col(encoded), F.lit(f"((?: [RJCN]{TOK})+){end}"), 1)
+    # each maximal run with the class letter of the token after it (if any)
+    # (run tokens are R/J/C/N, so a trailing " <B|V|D|X>" is the terminator)
+    m = F.regexp_extract_all(col(encoded), F.lit(f"(?: [RJCN]{TOK})++(?: [BVDX])?"), 0)
+    if not flush_tail:
+        m = F.filter(m, lambda x: x.rlike(" [BVDX]$"))
+    runs = F.transform(m, lambda x: F.regexp_replace(x, " [BVDX]$", ""))
 
     def per_run(run: Column) -> Column:
         nouns = F.regexp_extract(run, f"^(?:.* [RJC]{TOK})?((?: N{TOK})*)$", 1)
@@ -58,8 +70,10 @@ def connected_pairs(encoded, skip_articles: bool = False) -> Column:
     """D2 -> ARRAY<STRUCT<is_direct, noun, adj>>."""
     mid = "[RJCD]" if skip_articles else "[RJC]"
     stop = "[^RJCD]" if skip_articles else "[^RJC]"
-    matches = F.regexp_extract_all(
-        col(encoded), F.lit(f"(?: N{TOK})+ B{TOK}(?: {mid}{TOK})* {stop}{TOK}"), 0)
+    # every noun run is consumed; only those continuing "be ... terminator" count
+    matches = F.filter(F.regexp_extract_all(
+        col(encoded), F.lit(f"(?: N{TOK})++(?: B{TOK}(?: {mid}{TOK})*+ {stop}{TOK})?"), 0),
+        lambda x: x.contains(" B"))
 
     def per_match(m: Column) -> Column:
         noun = decode(F.regexp_extract(m, f"^((?: N{TOK})+) B", 1))
@@ -84,9 +98,10 @@ def connected_pairs(encoded, skip_articles: bool = False) -> Column:
 
 def org_mentions(encoded_ents, flush_tail: bool = False) -> Column:
     """D3 -> ARRAY<STRING>."""
-    end = "(?: O|$)" if flush_tail else " O"
-    runs = F.regexp_extract_all(col(encoded_ents), F.lit(f"((?: G{TOK})+){end}"), 1)
-    return F.transform(runs, decode)
+    m = F.regexp_extract_all(col(encoded_ents), F.lit(f"(?: G{TOK})++(?: O)?"), 0)
+    if not flush_tail:
+        m = F.filter(m, lambda x: x.endswith(" O"))
+    return F.transform(m, lambda x: decode(F.regexp_replace(x, " O$", "")))
 
 
 def _continues_org(ents: Column):

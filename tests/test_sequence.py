@@ -128,3 +128,21 @@ token = st.tuples(st.sampled_from(TAGS), st.sampled_from(VALUES), st.sampled_fro
 @given(st.lists(st.lists(token, max_size=25), min_size=1, max_size=60))
 def test_property_sequences(spark, seqs):
     check(spark, seqs)
+
+
+def test_long_runs_are_linear(spark):
+    """Thousands of run tokens without a terminator must not backtrack
+    quadratically (each case would take minutes if it did)."""
+    import time
+    n = 20000
+    seqs = [[("NN", "n", "ORGANIZATION")] * n,                      # tail noun / org run
+            [("RB", "r", "O")] * n + [("NN", "x", "O"), (".", ".", "O")],   # adverbs, no adjective
+            [("NN", "n", "O")] * n + [("VBZ", "be", "O")] + [("RB", "r", "O")] * n,
+            [("JJ", "j", "O"), ("NN", "n", "O")] * (n // 2)]
+    t = time.time()
+    rows = run_all(spark, seqs)
+    assert time.time() - t < 60
+    for s, r in zip(seqs, rows):
+        assert pairs_of(r["d"]) == model.direct_pairs(s)
+        assert pairs_of(r["c"]) == model.connected_pairs(s)
+        assert r["m"] == model.org_mentions(s)
