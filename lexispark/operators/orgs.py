@@ -16,20 +16,24 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.tags import encode_ents, encode_tags
 from ..functions.text import java_split, lower_split
 from ..functions import jsonfn
-from .annotate import TEST_LEXICON, Lexicon, annotate
+from .annotate import DEFAULT_BACKEND, TEST_LEXICON, Lexicon, annotate, annotate_arrow
 from .sequence import connected_pairs, direct_pairs, merged_values, org_mentions
 
 
 # ------------------------------------------------------------ tagged comments
 
 def tagged_from_text(df: DataFrame, lex: Lexicon = TEST_LEXICON, id_col: str = "id",
-                     group_col: str = "subreddit", text_col: str = "body") -> DataFrame:
+                     group_col: str = "subreddit", text_col: str = "body",
+                     backend: str = DEFAULT_BACKEND) -> DataFrame:
     """Annotate raw comments and keep what the sequence operators read:
     (id, subreddit, tags, values, ents, enc, enc_ents). ``values`` are the
     lemmas (the original fills both value and rawValue from lemmas)."""
-    a = annotate(df.select(id_col, group_col, text_col), text_col, lex)
-    return _encode(a.select(F.col(id_col).alias("id"), F.col(group_col).alias("subreddit"),
-                            "tags", F.col("lemmas").alias("values"), "ents"))
+    base = df.select(F.col(id_col).alias("id"), F.col(group_col).alias("subreddit"), F.col(text_col).alias("_text"))
+    if backend == "arrow":
+        a = annotate_arrow(base, "_text", lex, encode=True)
+        return a.select("id", "subreddit", "tags", F.col("lemmas").alias("values"), "ents", "enc", "enc_ents")
+    a = annotate(base, "_text", lex, backend="expr")
+    return _encode(a.select("id", "subreddit", "tags", F.col("lemmas").alias("values"), "ents"))
 
 
 def tagged_from_annotated(df: DataFrame, strict: bool = False) -> DataFrame:

@@ -46,3 +46,25 @@ def test_tagger_backend(spark):
     df = spark.createDataFrame([("A b", 1)], "body string, id int")
     r = annotate_with_tagger(df, "body", make).first()
     assert r["tokens"] == ["A", "b"] and r["lemmas"] == ["a", "b"] and r["id"] == 1
+
+
+def test_backends_agree(spark):
+    from conftest import SF0001
+    from lexispark.operators import orgs as O
+    from lexispark.sources import tables
+    c = tables.comments(spark, SF0001)
+    cols = ["id", "tokens", "tags", "lemmas", "ents"]
+    a = annotate(c, "body", TEST_LEXICON, backend="expr").select(cols)
+    b = annotate(c, "body", TEST_LEXICON, backend="arrow").select(cols)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    t1 = O.tagged_from_text(c, backend="expr")
+    t2 = O.tagged_from_text(c, backend="arrow")
+    assert t1.exceptAll(t2).count() == 0 and t2.exceptAll(t1).count() == 0
+
+
+def test_golden_annotation_arrow(spark):
+    df = spark.createDataFrame([(SENTENCE,), (None,), ("",)], "body string")
+    r = annotation_strings(annotate(df, "body", GOLDEN, backend="arrow")).collect()
+    assert r[0]["tags"] == "DT JJ CC RB JJ NNS NN VBZ RB JJ CC RB RB JJ . DT JJ NN NN VBD JJ ."
+    assert r[0]["lemmas"].startswith("the large and very purple sport car be")
+    assert r[1]["tokens"] is None and r[2]["tokens"] == ""
