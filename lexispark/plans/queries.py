@@ -259,24 +259,25 @@ def q_org_sentences(spark, sf_dir):
     return sentences(spark, sf_dir)
 
 
-def profile_lines(spark, sf_dir) -> DataFrame:
-    """The word_count job's /orgs output as JSON lines."""
-    return profile(spark, sf_dir, sort=False).select(
-        F.to_json(F.struct("noun", "subreddit", "numNoun", "directAdj", "connectedAdj")).alias("value"))
-
-
-def sentence_lines(spark, sf_dir) -> DataFrame:
-    return sentences(spark, sf_dir).select("id", F.to_json(F.struct("subreddit", "sentence")).alias("value"))
-
-
-def orgs_table(spark, sf_dir) -> DataFrame:
+def orgs_table(spark, sf_dir, t: DataFrame | None = None) -> DataFrame:
     """word_to_vec stage input: /orgs lines read back (stage boundary)."""
-    return O.orgs_readback(materialize(profile_lines(spark, sf_dir)))
+    prof = O.profile_from_tagged(t if t is not None else tagged(spark, sf_dir), sort=False)
+    lines = prof.select(F.to_json(F.struct("noun", "subreddit", "numNoun", "directAdj", "connectedAdj"))
+                        .alias("value"))
+    return O.orgs_readback(materialize(lines, "orgs"))
 
 
-def sentence_table(spark, sf_dir) -> DataFrame:
+def sentence_table(spark, sf_dir, t: DataFrame | None = None) -> DataFrame:
     """word_to_vec stage input: /orgsSentences lines read back (stage boundary)."""
-    return O.sentence_tokens(materialize(sentence_lines(spark, sf_dir)))
+    s = O.org_sentences(t if t is not None else tagged(spark, sf_dir))
+    lines = s.select("id", F.to_json(F.struct("subreddit", "sentence")).alias("value"))
+    return O.sentence_tokens(materialize(lines, "sentences"))
+
+
+def word_count_tables(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Both word_count outputs from one annotation of the corpus."""
+    t = tagged(spark, sf_dir)
+    return orgs_table(spark, sf_dir, t), sentence_table(spark, sf_dir, t)
 
 
 @query("orgs_readback")
@@ -307,8 +308,9 @@ def q_groups_over_threshold(spark, sf_dir):
 
 @query("orgs_over_threshold")
 def q_orgs_over_threshold(spark, sf_dir):
-    groups = O.groups_over_threshold(sentence_table(spark, sf_dir), QUERY_PROFILE.min_group_comments)
-    return O.orgs_over_threshold(orgs_table(spark, sf_dir), groups, QUERY_PROFILE.min_org_count)
+    orgs, sents = word_count_tables(spark, sf_dir)
+    groups = O.groups_over_threshold(sents, QUERY_PROFILE.min_group_comments)
+    return O.orgs_over_threshold(orgs, groups, QUERY_PROFILE.min_org_count)
 
 
 @query("group_sentences")
@@ -331,10 +333,6 @@ def _vectors(spark, sf_dir) -> DataFrame:
         F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"))
 
 
-def w2v_model(spark, sf_dir):
-    return E.fit(sentence_table(spark, sf_dir), QUERY_PROFILE)
-
-
 @query("w2v_vocab")
 def q_w2v_vocab(spark, sf_dir):
     s = sentence_table(spark, sf_dir)
@@ -367,8 +365,9 @@ def q_mutual_nearest(spark, sf_dir):
 
 @query("w2v_oov")
 def q_w2v_oov(spark, sf_dir):
-    totals = O.org_totals(orgs_table(spark, sf_dir), QUERY_PROFILE.min_org_count)
-    vocab = E.word_vectors(w2v_model(spark, sf_dir), spark).select(
+    orgs, sents = word_count_tables(spark, sf_dir)
+    totals = O.org_totals(orgs, QUERY_PROFILE.min_org_count)
+    vocab = E.word_vectors(E.fit(sents, QUERY_PROFILE), spark).select(
         F.col("word").alias("qword"), F.lit(True).alias("in_vocab"))
     return (totals.withColumn("qword", vocab_word("org")).join(vocab, "qword", "left")
             .select("org", "count", "qword", F.coalesce("in_vocab", F.lit(False)).alias("in_vocab")))
@@ -379,15 +378,15 @@ def _flat_synonyms(df: DataFrame) -> DataFrame:
                      F.array_join(F.transform("synonyms", lambda s: s["word"]), "|").alias("synonyms"))
 
 
-def synonyms_all(spark, sf_dir) -> DataFrame:
-    totals = O.org_totals(orgs_table(spark, sf_dir), QUERY_PROFILE.min_org_count)
-    return E.synonyms_all(sentence_table(spark, sf_dir), totals, QUERY_PROFILE)
+def synonyms_all(spark, sf_dir, tables_=None) -> DataFrame:
+    orgs, sents = tables_ or word_count_tables(spark, sf_dir)
+    return E.synonyms_all(sents, O.org_totals(orgs, QUERY_PROFILE.min_org_count), QUERY_PROFILE)
 
 
-def synonyms_by_group(spark, sf_dir) -> DataFrame:
-    s = sentence_table(spark, sf_dir)
-    groups = O.groups_over_threshold(s, QUERY_PROFILE.min_group_comments)
-    return E.synonyms_by_group(s, orgs_table(spark, sf_dir), groups, QUERY_PROFILE)
+def synonyms_by_group(spark, sf_dir, tables_=None) -> DataFrame:
+    orgs, sents = tables_ or word_count_tables(spark, sf_dir)
+    groups = O.groups_over_threshold(sents, QUERY_PROFILE.min_group_comments)
+    return E.synonyms_by_group(sents, orgs, groups, QUERY_PROFILE)
 
 
 @query("w2v_synonyms_all")
@@ -416,7 +415,8 @@ def q_adjective_report(spark, sf_dir):
 
 @query("synonym_report")
 def q_synonym_report(spark, sf_dir):
-    both = synonyms_by_group(spark, sf_dir).unionByName(synonyms_all(spark, sf_dir))
+    t = word_count_tables(spark, sf_dir)
+    both = synonyms_by_group(spark, sf_dir, t).unionByName(synonyms_all(spark, sf_dir, t))
     r = R.synonym_report(both)
     return r.select("id", "data.org", "data.subreddit", "data.count",
                     F.size("data.synonyms").alias("n_synonyms"))
