@@ -26,7 +26,7 @@ from ..profile import Profile, by_name
 from ..schemas import ORG_PROFILE, SYNONYMS
 from ..sources import sinks
 from ..sources.text import read_comments, read_lines
-from .stages import materialize
+from .stages import materialize, materialize_by
 
 ANNOTATIONS = ["tokens", "lemmas", "tags", "ents"]
 
@@ -72,9 +72,11 @@ def word_to_vec(spark: SparkSession, inp: str, out: str, profile: Profile, parti
                 on_write_error: str = "raise") -> DataFrame:
     """T10 + T13: community counts, whole-corpus and per-community synonyms."""
     orgs = O.orgs_readback(read_lines(spark, f"{inp}/orgs", partitions))
-    sents = O.sentence_tokens(read_lines(spark, f"{inp}/orgsSentences", partitions))
-    # clustered by community: each per-community fit reads only its files
-    sents = materialize(sents.repartition("subreddit"), "sentences")
+    lines = read_lines(spark, f"{inp}/orgsSentences", partitions)
+    # one folder per community (each per-community fit reads only its own
+    # folder); a hot community is spread over several salted tasks
+    sents = materialize_by(O.sentence_tokens(lines).withColumn("_salt", F.xxhash64("text")),
+                           "subreddit", F.col("_salt"), name="sentences").drop("_salt")
     counts = O.group_counts_sorted(sents)
     sinks.guarded_write(lambda p: sinks.write_json_lines(counts, p), f"{out}/subreddits", on_write_error)
     all_syn = E.synonyms_all(sents, O.org_totals(orgs, profile.min_org_count), profile)

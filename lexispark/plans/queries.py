@@ -17,7 +17,7 @@ from ..operators.annotate import TEST_LEXICON, annotate, annotation_strings
 from ..operators.sequence import combine_orgs, connected_pairs, direct_pairs, merged_values, org_mentions
 from ..profile import LOCAL
 from ..sources import tables
-from .stages import materialize
+from .stages import materialize, materialize_by
 
 # Parameters of the registered queries (sized for the test tables).
 QUERY_PROFILE = LOCAL.with_(vector_size=32, num_synonyms=5, seed=42)
@@ -271,7 +271,8 @@ def sentence_table(spark, sf_dir, t: DataFrame | None = None) -> DataFrame:
     """word_to_vec stage input: /orgsSentences lines read back (stage boundary)."""
     s = O.org_sentences(t if t is not None else tagged(spark, sf_dir))
     lines = s.select("id", F.to_json(F.struct("subreddit", "sentence")).alias("value"))
-    return O.sentence_tokens(materialize(lines, "sentences"))
+    # one folder per community, hot communities salted over several tasks
+    return materialize_by(O.sentence_tokens(lines), "subreddit", F.col("id"), name="sentences")
 
 
 def word_count_tables(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
