@@ -275,10 +275,25 @@ def sentence_table(spark, sf_dir, t: DataFrame | None = None) -> DataFrame:
     return materialize_by(O.sentence_tokens(lines), "subreddit", F.col("id"), name="sentences")
 
 
+def wc_orgs(spark, sf_dir, t: DataFrame | None = None) -> DataFrame:
+    """(subreddit, org, count) of the word_count stage, columnar: the /orgs
+    rows without their adjective lists (one row per organization count)."""
+    t = t if t is not None else tagged(spark, sf_dir)
+    return materialize(O.org_counts(t).select("subreddit", "org", "count"), "orgs")
+
+
+def wc_sentences(spark, sf_dir, t: DataFrame | None = None, stage: bool = True) -> DataFrame:
+    """(id, subreddit, text) of the word_count stage, columnar; staged with
+    one folder per community (hot communities salted over several tasks)."""
+    t = t if t is not None else tagged(spark, sf_dir)
+    s = O.org_sentences(t).select("id", "subreddit", lower_split("sentence").alias("text"))
+    return materialize_by(s, "subreddit", F.col("id"), name="sentences") if stage else s
+
+
 def word_count_tables(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Both word_count outputs from one annotation of the corpus."""
     t = tagged(spark, sf_dir)
-    return orgs_table(spark, sf_dir, t), sentence_table(spark, sf_dir, t)
+    return wc_orgs(spark, sf_dir, t), wc_sentences(spark, sf_dir, t)
 
 
 @query("orgs_readback")
@@ -294,17 +309,17 @@ def q_sentence_tokens(spark, sf_dir):
 
 @query("group_counts")
 def q_group_counts(spark, sf_dir):
-    return O.group_counts(sentence_table(spark, sf_dir))
+    return O.group_counts(wc_sentences(spark, sf_dir, stage=False))
 
 
 @query("group_counts_sorted")
 def q_group_counts_sorted(spark, sf_dir):
-    return O.group_counts_sorted(sentence_table(spark, sf_dir))
+    return O.group_counts_sorted(wc_sentences(spark, sf_dir, stage=False))
 
 
 @query("groups_over_threshold")
 def q_groups_over_threshold(spark, sf_dir):
-    return O.groups_over_threshold(sentence_table(spark, sf_dir), QUERY_PROFILE.min_group_comments)
+    return O.groups_over_threshold(wc_sentences(spark, sf_dir, stage=False), QUERY_PROFILE.min_group_comments)
 
 
 @query("orgs_over_threshold")
@@ -323,7 +338,7 @@ def q_group_sentences(spark, sf_dir):
 
 @query("org_totals")
 def q_org_totals(spark, sf_dir):
-    return O.org_totals(orgs_table(spark, sf_dir), QUERY_PROFILE.min_org_count)
+    return O.org_totals(wc_orgs(spark, sf_dir), QUERY_PROFILE.min_org_count)
 
 
 # ----------------------------------------------------------------- F
@@ -336,14 +351,14 @@ def _vectors(spark, sf_dir) -> DataFrame:
 
 @query("w2v_vocab")
 def q_w2v_vocab(spark, sf_dir):
-    s = sentence_table(spark, sf_dir)
+    s = wc_sentences(spark, sf_dir)
     words = E.word_vectors(E.fit(s, QUERY_PROFILE), spark).select("word")
     return words.join(E.vocabulary_counts(s, QUERY_PROFILE.min_word_count), "word")
 
 
 @query("w2v_doc_vectors")
 def q_w2v_doc_vectors(spark, sf_dir):
-    s = sentence_table(spark, sf_dir)
+    s = wc_sentences(spark, sf_dir)
     model = E.fit(s, QUERY_PROFILE)
     return E.doc_vectors(model, s).select("id", "subreddit", F.size("result").alias("dims"))
 
