@@ -82,8 +82,13 @@ def org_counts(tagged: DataFrame) -> DataFrame:
     shuffle - and only the few casings per organization reach the ``min``
     (whose string buffer would otherwise force a sort-based aggregation over
     every mention)."""
-    per_casing = (mentions(tagged)
-                  .groupBy(F.lower("org").alias("org_lower"), "subreddit", "org")
+    m = mentions(tagged)
+    if tagged.isStreaming:
+        # one stateful aggregation (chained aggregations need event-time
+        # watermarks in Structured Streaming); state lives in the state store
+        return (m.groupBy(F.lower("org").alias("org_lower"), "subreddit")
+                .agg(F.min("org").alias("org"), F.count(F.lit(1)).alias("count")))
+    per_casing = (m.groupBy(F.lower("org").alias("org_lower"), "subreddit", "org")
                   .agg(F.count(F.lit(1)).alias("n")))
     return (per_casing.groupBy("org_lower", "subreddit")
             .agg(F.min("org").alias("org"), F.sum("n").cast("bigint").alias("count")))
