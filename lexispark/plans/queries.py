@@ -80,7 +80,7 @@ def q_json_parse(spark, sf_dir):
     return tables.comment_lines(spark, sf_dir).select(
         F.variant_get(v, "$.id", "bigint").alias("id"),
         F.variant_get(v, "$.subreddit", "string").alias("subreddit"),
-        F.length(F.variant_get(v, "$.body", "string")).alias("body_chars"))
+        F.length(F.variant_get(v, "$.body", "string")).cast("bigint").alias("body_chars"))
 
 
 @query("json_extract_string")
@@ -136,13 +136,13 @@ def q_annotated_merge(spark, sf_dir):
 def q_split_tokens(spark, sf_dir):
     parts = java_split("body")
     return tables.comments(spark, sf_dir).select(
-        "id", F.size(parts).alias("n_parts"), F.get(parts, F.size(parts) - 1).alias("last_part"))
+        "id", F.size(parts).cast("bigint").alias("n_parts"), F.get(parts, F.size(parts) - 1).alias("last_part"))
 
 
 @query("tag_sequence")
 def q_tag_sequence(spark, sf_dir):
     t = O.tagged_from_annotated(annotated_lines(spark, sf_dir))
-    return t.select("id", "subreddit", F.size("tags").alias("seq_len"),
+    return t.select("id", "subreddit", F.size("tags").cast("bigint").alias("seq_len"),
                     F.get("values", 0).alias("first_value"),
                     F.get("tags", F.size("tags") - 1).alias("last_tag"), "error")
 
@@ -156,7 +156,7 @@ def _annotated(spark, sf_dir):
 @query("annotate_tokens")
 def q_annotate_tokens(spark, sf_dir):
     a = annotate(tables.comments(spark, sf_dir).transform(spread), "body", TEST_LEXICON)
-    return a.select("id", F.size("tokens").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens"))
+    return a.select("id", F.size("tokens").cast("bigint").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens"))
 
 
 @query("annotate_tags")
@@ -205,7 +205,7 @@ def q_org_mentions(spark, sf_dir):
 def q_combine_orgs(spark, sf_dir):
     t = tagged(spark, sf_dir, stage=False)
     c = t.select("id", "subreddit", combine_orgs("tags", "values", "values", "ents").alias("seq"))
-    return c.select("id", "subreddit", F.size("seq").alias("n_merged"),
+    return c.select("id", "subreddit", F.size("seq").cast("bigint").alias("n_merged"),
                     F.array_join(F.transform("seq", lambda x: x["value"]), " ").alias("sentence"),
                     F.array_join(F.transform("seq", lambda x: x["tag"]), " ").alias("tags"),
                     F.array_join(F.transform("seq", lambda x: x["ent"]), " ").alias("ents"))
@@ -304,7 +304,7 @@ def q_orgs_readback(spark, sf_dir):
 @query("sentence_tokens")
 def q_sentence_tokens(spark, sf_dir):
     return sentence_table(spark, sf_dir).select(
-        "id", "subreddit", F.size("text").alias("n_tokens"), F.array_join("text", " ").alias("text"))
+        "id", "subreddit", F.size("text").cast("bigint").alias("n_tokens"), F.array_join("text", " ").alias("text"))
 
 
 @query("group_counts")
