@@ -2,7 +2,6 @@ from pyspark.sql import functions as F
 
 from lexispark.operators import orgs as O
 
-LEX = None
 
 
 def tagged(spark, rows):
