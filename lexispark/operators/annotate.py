@@ -309,6 +309,26 @@ def _arrow_tokens(text):
     return pa.ListArray.from_arrays(pa.array(offsets), pc.filter(flat, keep), mask=text.is_null())
 
 
+def _arrow_sentence(toks, values, is_org):
+    """D4 sentence (``sequence.merged_values``): values joined by one space,
+    except ``_`` between two consecutive ORGANIZATION tokens."""
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    n = len(values)
+    org = pc.fill_null(is_org, False).to_numpy(zero_copy_only=False)
+    offsets = pc.subtract(toks.offsets, toks.offsets[0]).to_numpy()
+    first = np.zeros(n, dtype=bool)
+    starts = offsets[:-1][offsets[1:] > offsets[:-1]]
+    first[starts] = True
+    prev = np.concatenate([[False], org[:-1]]) if n else org
+    cont = org & prev & ~first
+    sep = pc.if_else(pa.array(first), pa.scalar("", values.type),
+                     pc.if_else(pa.array(cont), pa.scalar("_", values.type), pa.scalar(" ", values.type)))
+    pieces = pc.binary_join_element_wise(sep, values, pa.scalar("", values.type))
+    return pc.binary_join(_relist(toks, pieces), "")
+
+
 def _arrow_annotator(lex: Lexicon, text_col: str, encode: bool):
     def run(batches):
         import pyarrow as pa
@@ -330,6 +350,7 @@ def _arrow_annotator(lex: Lexicon, text_col: str, encode: bool):
                 enc_ents = pc.binary_join_element_wise(sp, ecls, lemmas, "")
                 cols["enc"] = pc.binary_join(_relist(toks, enc), "")
                 cols["enc_ents"] = pc.binary_join(_relist(toks, enc_ents), "")
+                cols["sentence"] = _arrow_sentence(toks, lemmas, is_org)
             names = b.schema.names + list(cols)
             yield pa.RecordBatch.from_arrays(b.columns + list(cols.values()), names=names)
     return run
@@ -338,10 +359,11 @@ def _arrow_annotator(lex: Lexicon, text_col: str, encode: bool):
 def annotate_arrow(df: DataFrame, text_col: str, lex: Lexicon = TEST_LEXICON, encode: bool = False) -> DataFrame:
     """C1-C4 with the Arrow backend: adds ``tokens``, ``tags``, ``lemmas``,
     ``ents`` (and, with ``encode``, the encoded strings ``enc`` / ``enc_ents``
-    of ``functions.tags`` built from tags and lemmas). Same results as
+    of ``functions.tags`` built from tags and lemmas, and the org-merged
+    ``sentence`` of ``sequence.merged_values``). Same results as
     ``annotate``."""
     arr = T.ArrayType(T.StringType())
     fields = df.schema.fields + [T.StructField(n, arr, True) for n in ("tokens", "tags", "lemmas", "ents")]
     if encode:
-        fields += [T.StructField("enc", T.StringType(), True), T.StructField("enc_ents", T.StringType(), True)]
+        fields += [T.StructField(n, T.StringType(), True) for n in ("enc", "enc_ents", "sentence")]
     return df.mapInArrow(_arrow_annotator(lex, text_col, encode), T.StructType(fields))

@@ -31,7 +31,8 @@ def tagged_from_text(df: DataFrame, lex: Lexicon = TEST_LEXICON, id_col: str = "
     base = df.select(F.col(id_col).alias("id"), F.col(group_col).alias("subreddit"), F.col(text_col).alias("_text"))
     if backend == "arrow":
         a = annotate_arrow(base, "_text", lex, encode=True)
-        return a.select("id", "subreddit", "tags", F.col("lemmas").alias("values"), "ents", "enc", "enc_ents")
+        return a.select("id", "subreddit", "tags", F.col("lemmas").alias("values"), "ents", "enc", "enc_ents",
+                        "sentence")
     a = annotate(base, "_text", lex, backend="expr")
     return _encode(a.select("id", "subreddit", "tags", F.col("lemmas").alias("values"), "ents"))
 
@@ -146,8 +147,9 @@ def profile_from_tagged(tagged: DataFrame, skip_articles: bool = False, sort: bo
 def org_sentences(tagged: DataFrame) -> DataFrame:
     """One row per comment with at least one mention; the sentence is the
     org-merged value sequence joined by one space."""
+    sentence = F.col("sentence") if "sentence" in tagged.columns else merged_values("values", "ents")
     return (tagged.filter(F.size(org_mentions("enc_ents")) > 0)
-            .select("id", "subreddit", merged_values("values", "ents").alias("sentence")))
+            .select("id", "subreddit", sentence.alias("sentence")))
 
 
 # ------------------------------------------------------------ E1 / E2

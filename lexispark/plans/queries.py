@@ -42,7 +42,10 @@ def tagged(spark: SparkSession, sf_dir: str, stage: bool = True) -> DataFrame:
     once (several branches or filters read it); a single-branch query with no
     filter on derived columns streams it straight into the next operator."""
     t = O.tagged_from_text(tables.comments(spark, sf_dir).transform(spread))
-    return materialize(t, "tagged") if stage else t
+    if not stage:
+        return t
+    # the staged consumers (mentions, pairs, sentences) read only these
+    return materialize(t.select("id", "subreddit", "enc", "enc_ents", "sentence"), "tagged")
 
 
 def spread(df: DataFrame) -> DataFrame:

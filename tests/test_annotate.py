@@ -57,7 +57,8 @@ def test_backends_agree(spark):
     a = annotate(c, "body", TEST_LEXICON, backend="expr").select(cols)
     b = annotate(c, "body", TEST_LEXICON, backend="arrow").select(cols)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    t1 = O.tagged_from_text(c, backend="expr")
+    from lexispark.operators.sequence import merged_values
+    t1 = O.tagged_from_text(c, backend="expr").withColumn("sentence", merged_values("values", "ents"))
     t2 = O.tagged_from_text(c, backend="arrow")
     assert t1.exceptAll(t2).count() == 0 and t2.exceptAll(t1).count() == 0
 
