@@ -44,6 +44,8 @@ def tagged(spark: SparkSession, sf_dir: str, stage: bool = True) -> DataFrame:
     t = O.tagged_from_text(tables.comments(spark, sf_dir).transform(spread))
     if not stage:
         return t
+    if "sentence" not in t.columns:             # expression backend
+        t = t.withColumn("sentence", merged_values("values", "ents"))
     # the staged consumers (mentions, pairs, sentences) read only these
     return materialize(t.select("id", "subreddit", "enc", "enc_ents", "sentence"), "tagged")
 
