@@ -7,7 +7,7 @@
     report        word_count + word_to_vec output -> two report tables
     vec_example   built-in sentences  -> embedding demo with its assertion
 
-Run with ``spark-submit lexispark/plans/jobs.py JOB --input IN --output OUT
+Run with ``spark-submit run_job.py JOB --input IN --output OUT
 [--partitions N] [--profile local|prod] [--on-write-error raise|log]``.
 Every option applies to every job (named, not positional).
 """
