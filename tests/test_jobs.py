@@ -41,3 +41,12 @@ def test_job_chain(spark, tmpdir_path):
     assert synr.count() > 0
     ids = [r["id"] for r in spark.read.json(f"{rep}/data-word-to-vec").collect()]
     assert sorted(ids) == list(range(len(ids)))
+
+
+def test_cli_named_options(spark, tmpdir_path):
+    corpus = os.path.join(tmpdir_path, "c")
+    tables.comment_lines(spark, SF0001).select("value").write.text(corpus)
+    out = os.path.join(tmpdir_path, "bodies")
+    assert jobs.main(["body_extract", "--input", corpus, "--output", out, "--partitions", "4",
+                      "--on-write-error", "log"]) == 0
+    assert spark.read.text(out).count() == 200   # newlines inside a body are escaped (one line each)
