@@ -51,6 +51,7 @@ def get_session(master: str | None = None, app: str = "lexispark",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -71,3 +72,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="lexispark-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers (Arrow batch
+    functions run there): zip it once and ``addPyFile`` it, once per
+    application. Not needed when the package is installed on the workers or
+    passed with ``spark-submit --py-files``."""
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="lexispark-pkg-"), "lexispark.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for dirpath, _, files in os.walk(root):
+            for fn in files:
+                if fn.endswith(".py"):
+                    full = os.path.join(dirpath, fn)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(target)
+    _SHIPPED.add(key)
