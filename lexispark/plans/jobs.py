@@ -74,9 +74,8 @@ def word_to_vec(spark: SparkSession, inp: str, out: str, profile: Profile, parti
     orgs = O.orgs_readback(read_lines(spark, f"{inp}/orgs", partitions))
     lines = read_lines(spark, f"{inp}/orgsSentences", partitions)
     # one folder per community (each per-community fit reads only its own
-    # folder); a hot community is spread over several salted tasks
-    sents = materialize_by(O.sentence_tokens(lines).withColumn("_salt", F.xxhash64("text")),
-                           "subreddit", F.col("_salt"), name="sentences").drop("_salt")
+    # folder); a hot community is split over several tasks
+    sents = materialize_by(O.sentence_tokens(lines), "subreddit", name="sentences")
     counts = O.group_counts_sorted(sents)
     sinks.guarded_write(lambda p: sinks.write_json_lines(counts, p), f"{out}/subreddits", on_write_error)
     all_syn = E.synonyms_all(sents, O.org_totals(orgs, profile.min_org_count), profile)

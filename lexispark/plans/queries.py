@@ -276,8 +276,8 @@ def sentence_table(spark, sf_dir, t: DataFrame | None = None) -> DataFrame:
     """word_to_vec stage input: /orgsSentences lines read back (stage boundary)."""
     s = O.org_sentences(t if t is not None else tagged(spark, sf_dir))
     lines = s.select("id", F.to_json(F.struct("subreddit", "sentence")).alias("value"))
-    # one folder per community, hot communities salted over several tasks
-    return materialize_by(O.sentence_tokens(lines), "subreddit", F.col("id"), name="sentences")
+    # one folder per community; a hot community is split over several tasks
+    return materialize_by(O.sentence_tokens(lines), "subreddit", name="sentences")
 
 
 def wc_orgs(spark, sf_dir, t: DataFrame | None = None) -> DataFrame:
@@ -289,10 +289,10 @@ def wc_orgs(spark, sf_dir, t: DataFrame | None = None) -> DataFrame:
 
 def wc_sentences(spark, sf_dir, t: DataFrame | None = None, stage: bool = True) -> DataFrame:
     """(id, subreddit, text) of the word_count stage, columnar; staged with
-    one folder per community (hot communities salted over several tasks)."""
+    one folder per community (a hot community is split over several tasks)."""
     t = t if t is not None else tagged(spark, sf_dir)
     s = O.org_sentences(t).select("id", "subreddit", lower_split("sentence").alias("text"))
-    return materialize_by(s, "subreddit", F.col("id"), name="sentences") if stage else s
+    return materialize_by(s, "subreddit", name="sentences") if stage else s
 
 
 def word_count_tables(spark, sf_dir) -> tuple[DataFrame, DataFrame]:

@@ -33,16 +33,14 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def materialize_by(df: DataFrame, column: str, salt: "Column", spread: int = 16,
-                   name: str = "stage") -> DataFrame:
+def materialize_by(df: DataFrame, column: str, name: str = "stage") -> DataFrame:
     """Stage output in one folder per value of ``column`` (reads filtered on
-    it prune to that folder). Rows are shuffled on (column, hash(salt) mod
-    ``spread``), so a value holding a large share of all rows is written by
-    ``spread`` tasks instead of one; the salt is deterministic, so a retried
-    task rebuilds the same split."""
-    from pyspark.sql import functions as F
+    it prune to that folder). The rows go through a REBALANCE on ``column``:
+    adaptive execution splits a value holding a large share of all rows into
+    advisory-sized tasks (``spark.sql.adaptive.advisoryPartitionSizeInBytes``)
+    and merges small ones, so a hot value is written by many tasks and a cold
+    one does not become many tiny files."""
     path = stage_path(df, name)
-    bucket = F.pmod(F.xxhash64(salt), F.lit(spread))
-    df.repartition(F.col(column), bucket).write.mode("error").partitionBy(column).parquet(path)
+    df.hint("rebalance", column).write.mode("error").partitionBy(column).parquet(path)
     # read back with the declared schema: no type inference from folder names
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
