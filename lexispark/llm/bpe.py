@@ -97,6 +97,8 @@ class ByteBPE:
         self.tokens, self.pattern = tokens, pattern
         self.ranks = {t: i for i, t in enumerate(tokens) if t}
         self.by_hash = PerfectHash(tokens)
+        #: Of a worker process, for all its tasks.
+        self.memo: dict[bytes, tuple[list[int], str]] = {}
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of a pre-token that is not in the vocabulary."""
@@ -167,7 +169,7 @@ def chunk_starts(data: bytes, offsets: np.ndarray) -> np.ndarray:
 def _encode(sent, columns: tuple[str, ...]):
     def run(batches):
         bpe: ByteBPE = sent.value
-        memo: dict[bytes, tuple[list[int], str]] = {}
+        memo = bpe.memo
         for b in pieces(batches):
             data, offsets = buffers(b.column("text"))
             starts = chunk_starts(data, offsets)
