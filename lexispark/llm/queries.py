@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, decontam, linededup, tokenfile
+from . import ann, bpe, decontam, langid, linededup, tokenfile
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,3 +101,37 @@ FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, _ = vocabulary("word_bpe_49k.json")
     return tokenfile.read_documents(tokenfile.write_token_files(table(spark, sf_dir, "documents"), path, end_id=1))
+
+
+# ------------------------------------------------------------ 10 language ID
+
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rest = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4))
+    model = langid.fit(docs, F.col("doc_id").isNotNull() & (rest != 2))
+    return langid.identify(docs, model).select(
+        "doc_id", F.coalesce(rest == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+# ------------------------------------------------------------ 7 nearest neighbours
+
+@query
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.pmod(F.col("id"), F.lit(20)) == 0, k=20, factor=1.0)
+
+
+ORACLE["op7_nearest"] = r"""
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+         vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 20
+"""
