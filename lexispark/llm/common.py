@@ -129,3 +129,35 @@ def grams(hashes: np.ndarray, n: int) -> np.ndarray:
             out = (out + hashes[i:i + m]) * np.uint64(0x9E3779B97F4A7C15)
             out ^= out >> np.uint64(29)
     return mix(out)
+
+
+def grams_pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Hash of each ordered pair of hashes."""
+    with np.errstate(over="ignore"):
+        return mix(mix(left + np.uint64(0x9E3779B97F4A7C15)) ^ (right * np.uint64(0xD6E8FEB86659FD93)))
+
+
+class Memo:
+    """Values of keys met lately, at most two generations of ``size`` keys (and
+    one call's): what the older one holds and is asked for again stays."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def __getstate__(self):
+        return {"size": self.size, "young": {}, "old": {}}
+
+    def get(self, keys: list, make) -> list:
+        """The values of distinct ``keys``; ``make`` gives those not known."""
+        if len(self.young) > self.size:
+            self.old, self.young = self.young, {}
+        young, old, new = self.young, self.old, []
+        for k in keys:
+            if k not in young:
+                v = old.get(k)
+                if v is None:
+                    new.append(k)
+                else:
+                    young[k] = v
+        young.update(zip(new, make(new), strict=True))
+        return [young[k] for k in keys]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, decontam, langid, linededup, tokenfile
+from . import ann, bpe, decontam, langid, linededup, lm, tokenfile
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,3 +135,11 @@ r AS (
          vec_id, score FROM s)
 SELECT * FROM r WHERE rank <= 20
 """
+
+
+# ------------------------------------------------------------ 8 LM scoring
+
+@query
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5))
+    return lm.score(table(spark, sf_dir, "documents"), rest != 1, rest == 2)
