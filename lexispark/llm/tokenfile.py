@@ -34,11 +34,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import buffers, byte_table, pick, pieces, ready, stage, words
+from .common import Memo, buffers, byte_table, pick, pieces, ready, stage, words
 
 SHARD_CHARS = 8_000_000
 BLOCK = 1 << 18                                     # bits
-MEMO = 400_000
+MEMO = 300_000
 GRAPH = byte_table(bytes(b for b in range(256) if b not in b" \t\n\x0b\x0c\r"))
 MAGIC = b"WVMX1\n"
 MARK = "\x02"
@@ -215,7 +215,7 @@ class Runs:
     def __init__(self, tok, kind: np.dtype):
         import re
         self.tok, self.kind, self.plain = tok, kind, re.compile(PLAIN).fullmatch
-        self.memo: dict[str, bytes] = {"": b""}
+        self.memo = Memo(MEMO)
 
     def __call__(self, runs: list[bytes]) -> list[bytes]:
         split = []
@@ -223,12 +223,9 @@ class Runs:
             r = r.decode()
             m = self.plain(r)
             split.append((m[1].lower(), m[2]) if m else (r, ""))
-        if len(self.memo) > MEMO:
-            self.memo = {"": b""}
-        memo = self.memo
-        new = [p for p in {p: None for pair in split for p in pair} if p not in memo]
-        memo.update(zip(new, encode_runs(self.tok, new, self.kind), strict=True))
-        return [memo[a] + memo[b] for a, b in split]
+        parts = list({p: None for pair in split for p in pair})
+        ids = dict(zip(parts, self.memo.get(parts, lambda new: encode_runs(self.tok, new, self.kind)), strict=True))
+        return [ids[a] + ids[b] for a, b in split]
 
 
 class Vocabulary:
