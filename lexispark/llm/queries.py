@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, decontam, langid, linededup, lm, tokenfile
+from . import ann, bpe, decontam, langid, linededup, lm, neardup, tokenfile
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,3 +143,10 @@ SELECT * FROM r WHERE rank <= 20
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     rest = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5))
     return lm.score(table(spark, sf_dir, "documents"), rest != 1, rest == 2)
+
+
+# ------------------------------------------------------------ 6 near duplicates
+
+@query
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), threshold=0.8)
