@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, decontam, langid, linededup, lm, neardup, tokenfile
+from . import ann, bpe, decontam, langid, linededup, lm, neardup, quality, tokenfile
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,3 +150,13 @@ def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), threshold=0.8)
+
+
+# ------------------------------------------------------------ 1 quality
+
+@query
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table has no URLs: a document's source is its host, and the language
+    section of the source its path."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.quality(docs, quality.fit(docs, table(spark, sf_dir, "labels")), host="source", path="lang")
