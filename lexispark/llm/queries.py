@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, decontam, langid, linededup, lm, neardup, quality, tokenfile
+from . import ann, bpe, decontam, langid, linededup, lm, neardup, pii, quality, tokenfile
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -160,3 +160,14 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     section of the source its path."""
     docs = table(spark, sf_dir, "documents")
     return quality.quality(docs, quality.fit(docs, table(spark, sf_dir, "labels")), host="source", path="lang")
+
+
+# ------------------------------------------------------------ 2 personal data
+
+#: For the tables here only; a real run passes its own secret.
+DEMO_KEY = b"key of the registered query"
+
+
+@query
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_pii(table(spark, sf_dir, "documents"), DEMO_KEY)
