@@ -80,6 +80,37 @@ def coded(data: bytes, starts: np.ndarray) -> tuple[np.ndarray, pa.Array]:
     return found.indices.to_numpy(), found.dictionary
 
 
+def row_local(docs: DataFrame, id_col: str, text_col: str, change) -> DataFrame:
+    """``docs`` with the same columns, changed row by row: ``change(ids, texts)``
+    gives the rows to keep (a mask, or None for all) and new columns by name.
+    All columns travel under names of their own, whatever they are called."""
+    names = docs.columns
+    own = docs.select(*[F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names)])
+    at, text = names.index(id_col), names.index(text_col)
+
+    def run(batches):
+        for b in pieces(batches, f"c{text}"):
+            keep, new = change(b.column(at), b.column(text))
+            columns = [new.get(n, b.column(i)) for i, n in enumerate(names)]
+            out = pa.RecordBatch.from_arrays(columns, schema=pa.schema(
+                [pa.field(f"c{i}", c.type) for i, c in enumerate(columns)]))
+            yield out if keep is None else out.filter(pa.array(keep))
+
+    return own.mapInArrow(run, own.schema).toDF(*names)
+
+
+#: Ids that are sent to every task (8 bytes each); beyond, a join.
+FEW_IDS = 4_000_000
+
+
+def without(docs: DataFrame, id_col: str, bad: DataFrame, few: int = FEW_IDS) -> DataFrame:
+    """``docs`` but those whose id is in the one column of ``bad`` (staged)."""
+    bad = bad.toDF("_bad_id")
+    if bad.count() <= few:
+        bad = F.broadcast(bad)
+    return docs.join(bad, F.col(f"`{id_col}`").cast("long") == F.col("_bad_id"), "left_anti")
+
+
 def byte_table(inside: bytes) -> bytes:
     """For ``bytes.translate``: 1 for the given bytes, else 0."""
     return bytes(1 if b in set(inside) else 0 for b in range(256))

@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import buffers, byte_table, grams, pick, pieces, ready, word_hashes, words
+from .common import buffers, byte_table, grams, pick, pieces, ready, stage, without, word_hashes, words
 
 #: Bytes of words, once A-Z is lower-cased.
 WORD = byte_table(bytes(range(0x30, 0x3A)) + bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100)))
@@ -227,9 +227,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return out.select("doc_id", "n_words", "hits", n_hit.alias("n_hit"), "items")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  **options) -> DataFrame:
     """The documents without a hit, all columns kept. Null ids stay."""
-    key = options.get("id_col", "doc_id")
-    bad = (contamination(docs, benchmark, **options).filter(F.col("n_hit") > 0)
-           .select(F.col("doc_id").alias("_hit_id")).distinct())
-    return docs.join(bad, docs[key].cast("long") == bad["_hit_id"], "left_anti")
+    found = contamination(docs, benchmark, id_col=id_col, text_col=text_col, **options)
+    return without(docs, id_col, stage(found.filter("n_hit > 0 and doc_id is not null").select("doc_id").distinct(), "hits"))

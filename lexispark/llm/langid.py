@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import buffers, pick, pieces, ready
+from .common import buffers, pick, pieces, ready, row_local
 
 LANDMARKS = 48                    # for each language
 PER_LANG = 800
@@ -170,6 +170,22 @@ def fit(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
     return Model([t for _, _, t in sample], [a for _, a, _ in sample], landmarks, ridge)
 
 
+def _predict(model: Model | None, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text, a bounded block at a time."""
+    langs, scores = [], [np.zeros(0)]
+    for k in range(0, len(texts), 512):
+        part = texts.slice(k, 512)
+        known = _has_letter(part.to_pylist())
+        if model is None:
+            known[:] = False
+            best, share = np.zeros(len(known), np.int64), np.zeros(len(known))
+        else:
+            best, share = model.predict(part)
+        langs += [model.langs[i] if ok else UND for i, ok in zip(best.tolist(), known, strict=True)]
+        scores.append(np.where(known, share, 0.0))
+    return langs, np.concatenate(scores)
+
+
 def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred and score (0 to 1) of every whole text."""
     spark = ready(docs.sparkSession)
@@ -177,20 +193,22 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
     sent = spark.sparkContext.broadcast(model)
 
     def run(batches):
-        m = sent.value
         for b in pieces(batches, limit=2 << 20):
-            for k in range(0, b.num_rows, 512):
-                part = b.slice(k, 512)
-                text = part.column("text")
-                known = _has_letter(text.to_pylist())
-                if m is None:
-                    known[:] = False
-                    best, share = np.zeros(len(known), np.int64), np.zeros(len(known))
-                else:
-                    best, share = m.predict(text)
-                yield pa.RecordBatch.from_pydict({
-                    "doc_id": part.column("doc_id"),
-                    "lang_pred": pa.array([m.langs[i] if ok else UND for i, ok in zip(best.tolist(), known, strict=True)]),
-                    "score": pa.array(np.where(known, share, 0.0), pa.float64())})
+            langs, scores = _predict(sent.value, b.column("text"))
+            yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "lang_pred": pa.array(langs, pa.string()),
+                                              "score": pa.array(scores, pa.float64())})
 
     return texts.mapInArrow(run, "doc_id long, lang_pred string, score double")
+
+
+def accept(docs: DataFrame, model: Model | None, min_score: float = 0.5, id_col: str = "doc_id", text_col: str = "text",
+           lang_col: str = "lang") -> DataFrame:
+    """The documents of a known language (score at least ``min_score``), with it
+    as their ``lang_col``; the other columns as they are."""
+    sent = ready(docs.sparkSession).sparkContext.broadcast(model)
+
+    def change(_, texts):
+        langs, scores = _predict(sent.value, texts)
+        return (np.asarray(langs) != UND) & (scores >= min_score), {lang_col: pa.array(langs, pa.string())}
+
+    return row_local(docs, id_col, text_col, change)

@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import mix, pick, pieces, ready, stage
+from .common import mix, pick, pieces, ready, row_local, stage
 
 SPACE = b" \t\n\x0b\x0c\r"
 #: Bits of each filter for a document, and at most (32 MB).
@@ -173,21 +173,23 @@ def repeated_keys(texts: DataFrame, min_docs: int, min_chars: int) -> DataFrame:
             .select("key", "docs", "first.doc_id", "first.line"))
 
 
+def kept_lines(repeated: dict, doc: int | None, text: str | None, keep_first: bool) -> tuple[str, int, int]:
+    """A text without its repeated lines; its lines, before and dropped."""
+    lines = (text or "").encode().split(b"\n")
+    stay = []
+    for n, line in enumerate(lines):
+        first = repeated.get(line.strip(SPACE).lower())
+        if first is None or keep_first and first == (doc, n):
+            stay.append(line)
+    return b"\n".join(stay).decode(), len(lines), len(lines) - len(stay)
+
+
 def _rewrite(sent, keep_first: bool):
     def run(batches):
-        repeated = sent.value
         for b in pieces(batches):
-            kept, total, dropped = [], [], []
-            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                lines = (text or "").encode().split(b"\n")
-                stay = []
-                for n, line in enumerate(lines):
-                    first = repeated.get(line.strip(SPACE).lower())
-                    if first is None or keep_first and first == (doc, n):
-                        stay.append(line)
-                kept.append(b"\n".join(stay).decode())
-                total.append(len(lines))
-                dropped.append(len(lines) - len(stay))
+            rows = [kept_lines(sent.value, doc, text, keep_first) for doc, text in
+                    zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True)]
+            kept, total, dropped = zip(*rows, strict=True)
             yield pa.RecordBatch.from_pydict({"doc_id": b.column("doc_id"), "text": pa.array(kept, pa.string()),
                                               "n_lines": pa.array(total, pa.int64()),
                                               "n_dropped": pa.array(dropped, pa.int64())})
@@ -208,9 +210,10 @@ def _all_lines(batches):
 
 
 def _joined(texts: DataFrame, repeated: DataFrame, keep_first: bool) -> DataFrame:
-    """Step 3 by joins, for repeated keys of any size."""
+    """Step 3 by joins, for repeated keys of any size. A column ``rest`` stays."""
     marked = texts.withColumn("mark", F.xxhash64("text"))
-    lines = (marked.mapInArrow(_all_lines, "doc_id long, mark long, line int, key binary")
+    rest = ["rest"] if "rest" in texts.columns else []
+    lines = (marked.select("doc_id", "text", "mark").mapInArrow(_all_lines, "doc_id long, mark long, line int, key binary")
              .withColumn("salt", F.pmod(F.xxhash64("doc_id", "mark", "line"), F.lit(SALT)).cast("int")))
     gone = (repeated.select("key", F.col("doc_id").alias("_doc"), F.col("line").alias("_line"),
                             F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt")))
@@ -223,19 +226,44 @@ def _joined(texts: DataFrame, repeated: DataFrame, keep_first: bool) -> DataFram
     lines = F.split(F.coalesce("text", F.lit("")), "\n", -1)
     stay = F.when(F.col("gone").isNull(), lines).otherwise(
         F.filter(lines, lambda _, i: ~F.array_contains("gone", i)))
-    return docs.select("doc_id", F.array_join(stay, "\n").alias("text"), F.size(lines).cast("long").alias("n_lines"),
+    return docs.select(*rest, "doc_id", F.array_join(stay, "\n").alias("text"), F.size(lines).cast("long").alias("n_lines"),
                        (F.size(lines) - F.size(stay)).cast("long").alias("n_dropped"))
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 10,
-               min_chars: int = 1, keep_first: bool = False, keys_bytes: int = KEYS_BYTES) -> DataFrame:
-    """Documents without their repeated lines: doc_id, text, n_lines, n_dropped
-    (see the module's docstring). One row for each input row."""
+def _repeated(docs: DataFrame, id_col: str, text_col: str, min_docs: int, min_chars: int, keys_bytes: int):
+    """Texts, repeated keys, and these as a broadcast if they fit."""
     spark = ready(docs.sparkSession)
     texts = pick(docs, doc_id=F.col(f"`{id_col}`").cast("long"), text=F.col(f"`{text_col}`").cast("string"))
     repeated = stage(repeated_keys(texts, min_docs, min_chars), "repeated-lines")
     size = repeated.agg(F.coalesce(F.sum(F.octet_length("key") + 64), F.lit(0)).alias("n")).collect()[0]["n"]
     if size > keys_bytes:
+        return texts, repeated, None
+    return texts, repeated, spark.sparkContext.broadcast(
+        {bytes(r["key"]): (r["doc_id"], r["line"]) for r in repeated.collect()})
+
+
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 10,
+               min_chars: int = 1, keep_first: bool = False, keys_bytes: int = KEYS_BYTES) -> DataFrame:
+    """Documents without their repeated lines: doc_id, text, n_lines, n_dropped
+    (see the module's docstring). One row for each input row."""
+    texts, repeated, sent = _repeated(docs, id_col, text_col, min_docs, min_chars, keys_bytes)
+    if sent is None:
         return _joined(texts, repeated, keep_first)
-    sent = spark.sparkContext.broadcast({bytes(r["key"]): (r["doc_id"], r["line"]) for r in repeated.collect()})
     return texts.mapInArrow(_rewrite(sent, keep_first), "doc_id long, text string, n_lines long, n_dropped long")
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 10,
+                    min_chars: int = 1, keep_first: bool = True, keys_bytes: int = KEYS_BYTES) -> DataFrame:
+    """``docs``, all rows and columns, with the repeated lines gone from the texts."""
+    _, repeated, sent = _repeated(docs, id_col, text_col, min_docs, min_chars, keys_bytes)
+    if sent is None:
+        whole = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"),
+                            F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("rest"))
+        out = _joined(whole, repeated, keep_first)
+        return out.select(*[F.col("text").alias(c) if c == text_col else F.col(f"rest.`{c}`").alias(c) for c in docs.columns])
+
+    def change(ids, texts):
+        return None, {text_col: pa.array([kept_lines(sent.value, doc, text, keep_first)[0] for doc, text in zip(
+            ids.to_pylist(), texts.to_pylist(), strict=True)], pa.string())}
+
+    return row_local(docs, id_col, text_col, change)

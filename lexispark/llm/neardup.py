@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import buffers, grams, mix, pick, pieces, ready, stage, word_hashes, words
+from .common import buffers, grams, mix, pick, pieces, ready, stage, without, word_hashes, words
 from .decontam import LOWER, WORD, grams_of_rows
 from .lm import _rows, _small, _wide
 
@@ -414,3 +414,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     none = every.filter(F.col("doc_id").isNull()).select("doc_id", F.lit(None).cast("long").alias("class_id"),
                                                         F.lit(0).cast("long").alias("n_links"))
     return out.unionByName(none)
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
+    """``docs``, all columns, with one document of each class: the one with the
+    least id. Rows with a null id stay."""
+    found = near_duplicates(docs, id_col, text_col, threshold)
+    return without(docs, id_col, stage(found.filter("doc_id <> class_id").select("doc_id").distinct(), "near-copies"))
