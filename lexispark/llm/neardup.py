@@ -45,7 +45,7 @@ from .lm import _rows, _small, _wide
 SHINGLE = 5
 BANDS, ROWS = 12, 3
 SAMPLES = BANDS * ROWS
-BLOCK_BYTES, BLOCK_DOCS = 24 << 20, 1 << 18
+BLOCK_BYTES, BLOCK_DOCS = 8 << 20, 1 << 18
 BUCKET_ENTRIES = 400_000
 #: Members that one task compares with a leader before the next task shares in.
 SPREAD = 256
