@@ -4,12 +4,12 @@ Text is cut by the tokenizer's pattern into pre-tokens. A pre-token that is
 itself in the vocabulary is resolved by a minimal perfect hash over the whole
 vocabulary: one slot per token, its bytes compared, no probing. Any other
 pre-token is merged: the ranks of neighbouring pairs wait in a heap over a
-doubly linked list of byte ranges, and the lowest (leftmost first) is merged
+doubly linked list of its bytes, and the lowest (leftmost first) is merged
 until none is left; n log n in the length of the pre-token.
 
 Inside a task the texts are first cut at safe places, which are always
 pre-token boundaries: before a space or line end that follows a visible
-character. Equal chunks of a piece of text are found by Arrow's dictionary
+character, and between a Latin letter and ASCII punctuation. Equal chunks of a piece of text are found by Arrow's dictionary
 encoding, so that the pattern, the hash and the merges run once for each
 distinct chunk; a memo of bounded size keeps chunks between pieces.
 
@@ -27,10 +27,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import buffers, byte_table, coded, mix, pick, pieces, ready
+from .common import Memo, buffers, byte_table, coded, mix, pick, pieces, ready
 
 #: Chunks that a worker keeps between pieces of text.
-MEMO = 300_000
+MEMO = 200_000
 BUCKET = 4
 COLUMNS = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32()), "ids_sha256": pa.string(), "decoded": pa.binary(),
            "decoded_sha256": pa.string()}
@@ -95,36 +95,42 @@ class PerfectHash:
 class ByteBPE:
     def __init__(self, tokens: list[bytes], pattern: str):
         self.tokens, self.pattern = tokens, pattern
-        self.ranks = {t: i for i, t in enumerate(tokens) if t}
+        ranks = {t: i for i, t in enumerate(tokens) if t}
+        self.byte = [ranks[bytes([b])] for b in range(256)]
+        #: Two neighbours' ids to the id of both, for each way to cut a token in two.
+        self.pairs = {ranks[t[:k]] << 24 | ranks[t[k:]]: i for t, i in ranks.items() for k in range(1, len(t))
+                      if t[:k] in ranks and t[k:] in ranks}
         self.by_hash = PerfectHash(tokens)
         #: Of a worker process, for all its tasks.
-        self.memo: dict[bytes, tuple[list[int], str]] = {}
+        self.memo = Memo(MEMO)
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of a pre-token that is not in the vocabulary."""
-        ranks, n = self.ranks, len(word)
-        part = [word[i:i + 1] for i in range(n)]
-        left, right = list(range(-1, n - 1)), list(range(1, n + 1))
-        heap = [(r, i) for i in range(n - 1) if (r := ranks.get(word[i:i + 2])) is not None]
+        get, n = self.pairs.get, len(word)
+        byte, push, pop = self.byte, heapq.heappush, heapq.heappop
+        part = [byte[b] for b in word]
+        part.append(-1)                                 # after the last and before the first: in no pair
+        left, right = list(range(-1, n)), list(range(1, n + 2))
+        shift = n.bit_length()
+        mask = (1 << shift) - 1
+        heap = [r << shift | i for i in range(n - 1)    # the lowest rank, then the leftmost
+                if (r := get(part[i] << 24 | part[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
-            rank, i = heapq.heappop(heap)
+            x = pop(heap)
+            i, rank = x & mask, x >> shift
             j = right[i]
-            if not part[i] or j >= n:
+            if get(part[i] << 24 | part[j]) != rank:    # one of the two has been merged since
                 continue
-            both = part[i] + part[j]
-            if ranks.get(both) != rank:            # one of the two has been merged since
-                continue
-            part[i], part[j] = both, b""
+            part[i], part[j] = rank, -1
             k = right[i] = right[j]
-            if k < n:
-                left[k] = i
-                if (r := ranks.get(both + part[k])) is not None:
-                    heapq.heappush(heap, (r, i))
+            left[k] = i
+            if (r := get(rank << 24 | part[k])) is not None:
+                push(heap, r << shift | i)
             h = left[i]
-            if h >= 0 and (r := ranks.get(part[h] + both)) is not None:
-                heapq.heappush(heap, (r, h))
-        return [ranks[p] for p in part if p]
+            if (r := get(part[h] << 24 | rank)) is not None:
+                push(heap, r << shift | h)
+        return [p for p in part if p >= 0]
 
     def encode_words(self, words: list[bytes]) -> list[list[int]]:
         """Ids of each pre-token."""
@@ -146,10 +152,14 @@ class ByteBPE:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-VISIBLE = byte_table(bytes(range(0x21, 0x7F)))
-#: First bytes of two-byte characters none of which is white space.
-LEAD2 = byte_table(bytes(range(0xC3, 0xE0)))
+LETTER = byte_table(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
 GAP = byte_table(b" \n")
+#: White space, and punctuation that starts no pre-token with letters in it.
+MARKS = byte_table(b" \n" + bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum() and chr(b) != "'"))
+
+
+def _is(table: bytes, at: np.ndarray) -> np.ndarray:
+    return np.frombuffer(table, bool)[at]
 
 
 def chunk_starts(data: bytes, offsets: np.ndarray) -> np.ndarray:
@@ -157,52 +167,61 @@ def chunk_starts(data: bytes, offsets: np.ndarray) -> np.ndarray:
     n = len(data)
     if not n:
         return np.zeros(0, np.int64)
-    gap = np.flatnonzero(np.frombuffer(data.translate(GAP), np.uint8))
-    gap = gap[gap > 0]
     raw = np.frombuffer(data, np.uint8)
-    seen = np.frombuffer(VISIBLE, np.uint8)[raw[gap - 1]].astype(bool)
-    seen |= (gap > 1) & (raw[gap - 1] >= 0x80) & np.frombuffer(LEAD2, np.uint8)[raw[gap - 2]].astype(bool)
-    first = offsets[:-1]
-    return np.union1d(gap[seen], first[first < n])
+    mark = np.flatnonzero(np.frombuffer(data.translate(MARKS), np.uint8))
+    gap = _is(GAP, raw[mark])
+    before, lead = raw[np.maximum(mark - 1, 0)], raw[np.maximum(mark - 2, 0)]
+    # two-byte characters: none from 0xC3 on is white space, those of 0xC3 are letters but two
+    two = (before >= 0x80) & (before < 0xC0) & (lead >= 0xC3) & (lead < 0xE0)
+    latin = two & (lead == 0xC3) & (before != 0x97) & (before != 0xB7)
+    visible = (before > 0x20) & (before < 0x7F)
+    cut = np.where(gap, visible | two, _is(LETTER, before) | latin)
+    after = mark[~gap] + 1
+    after = after[after < n]
+    edge = np.zeros(n, bool)
+    edge[mark[cut]] = True
+    edge[after[_is(LETTER, raw[after])]] = True
+    edge[offsets[:-1][offsets[:-1] < n]] = True
+    edge[0] = True
+    return np.flatnonzero(edge)
 
 
 def _encode(sent, columns: tuple[str, ...]):
     def run(batches):
         bpe: ByteBPE = sent.value
-        memo = bpe.memo
+
+        def ids_and_text(chunks: list[bytes]) -> list[tuple[list[int], str]]:
+            return [(ids, ",".join(map(str, ids))) for ids in bpe.encode_chunks(chunks)]
+
         for b in pieces(batches):
             data, offsets = buffers(b.column("text"))
             starts = chunk_starts(data, offsets)
             codes, distinct = coded(data, starts)
-            chunks = distinct.to_pylist()
-            new = [c for c in chunks if c not in memo]
-            if len(memo) + len(new) > MEMO:
-                memo.clear()
-                new = chunks
-            memo.update((c, (ids, ",".join(map(str, ids)))) for c, ids in
-                        zip(new, bpe.encode_chunks(new), strict=True))
-            found = [memo[c] for c in chunks]
+            found = bpe.memo.get(distinct.to_pylist(), ids_and_text)
             sizes = np.fromiter((len(ids) for ids, _ in found), np.int64, len(found))
             at = np.searchsorted(starts, offsets)
-            total = np.concatenate([[0], np.cumsum(sizes[codes])])
-            out = {"doc_id": b.column("doc_id"), "n_tokens": pa.array(total[at[1:]] - total[at[:-1]], pa.int64())}
-            ids_of, text_of = np.empty(len(found), object), np.empty(len(found), object)
-            ids_of[:], text_of[:] = [i for i, _ in found], [t for _, t in found]
-            made: dict[str, list] = {c: [] for c in columns if c != "n_tokens"}
-            for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-                own = codes[lo:hi]
-                if "ids_sha256" in made:
-                    made["ids_sha256"].append(hashlib.sha256(",".join(text_of[own].tolist()).encode()).hexdigest())
-                if len(made) > ("ids_sha256" in made):
-                    ids = [i for part in ids_of[own].tolist() for i in part]
-                    if "ids" in made:
-                        made["ids"].append(ids)
-                    if "decoded" in made or "decoded_sha256" in made:
-                        raw = bpe.decode(ids)
-                        if "decoded" in made:
-                            made["decoded"].append(raw)
-                        if "decoded_sha256" in made:
-                            made["decoded_sha256"].append(hashlib.sha256(raw).hexdigest())
+            each = sizes[codes]
+            total = np.concatenate([[0], np.cumsum(each)])
+            edge = total[at]
+            out = {"doc_id": b.column("doc_id"), "n_tokens": pa.array(np.diff(edge), pa.int64())}
+            made: dict[str, list] = {c: [] for c in columns if c not in ("n_tokens", "ids")}
+            if "ids" in columns or "decoded" in made or "decoded_sha256" in made:
+                known = np.fromiter((i for ids, _ in found for i in ids), np.int32, int(sizes.sum()))
+                first = np.cumsum(sizes) - sizes
+                ids = known[np.arange(total[-1]) + np.repeat(first[codes] - total[:-1], each)]
+                if "ids" in columns:
+                    out["ids"] = pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(ids))
+                for lo, hi in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True) if len(made) > ("ids_sha256" in made) else ():
+                    raw = bpe.decode(ids[lo:hi].tolist())
+                    if "decoded" in made:
+                        made["decoded"].append(raw)
+                    if "decoded_sha256" in made:
+                        made["decoded_sha256"].append(hashlib.sha256(raw).hexdigest())
+            if "ids_sha256" in made:
+                text_of = np.empty(len(found), object)
+                text_of[:] = [t for _, t in found]
+                made["ids_sha256"] = [hashlib.sha256(",".join(text_of[codes[lo:hi]].tolist()).encode()).hexdigest()
+                                      for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
             out |= {c: pa.array(v, COLUMNS[c]) for c, v in made.items()}
             yield pa.RecordBatch.from_pydict({c: out[c] for c in ("doc_id", *columns)})
     return run
