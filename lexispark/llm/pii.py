@@ -184,7 +184,8 @@ class Forge:
             own = [x if k == len(labels) - 1 or x in RESERVED else self.characters(x, "domain") for k, x in enumerate(labels)]
             return self.characters(local, form + "@" + domain) + "@" + ".".join(own)
         if kind == "card":
-            body = value[0] + self.characters(value[1:-1], form + value[0])
+            head = {"4": 1, "3": 2, "5": 2}.get(value[0], 4)        # what shows the issuer
+            body = value[:head] + self.characters(value[head:-1], form + value[:head])
             return next(body + c for c in DIGITS if luhn(body + c))
         if kind == "ip":
             n, a = 0, [int(p) for p in value.split(".")]
