@@ -51,6 +51,13 @@ def int_field(v, field: str = "$") -> Column:
         .otherwise(F.lit(0))
 
 
+def long_field(v, field: str = "$") -> Column:
+    """A count: the value when it is a JSON integer of 64 bits, else 0."""
+    v = col(v)
+    as_long = F.try_variant_get(v, _path(field), "bigint")
+    return F.when(value_type(v, field) == F.lit("BIGINT"), F.coalesce(as_long, F.lit(0))).otherwise(F.lit(0))
+
+
 def body(line) -> Column:
     """Comment body of a JSON line."""
     return string_field(parse(line), "body")

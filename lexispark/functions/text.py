@@ -1,4 +1,4 @@
-"""Text scalar functions (B5, B7-B9, B12). All built-in expressions."""
+"""Text scalar functions (B5, B7, B8, B12). All built-in expressions."""
 
 from __future__ import annotations
 
@@ -35,11 +35,6 @@ def _re_quote(sep: str) -> str:
     return "".join("\\" + c if not c.isalnum() and c != " " else c for c in sep)
 
 
-def join_words(arr, sep: str = " ") -> Column:
-    """Join an array of words."""
-    return F.array_join(col(arr), sep)
-
-
 def lower_split(s) -> Column:
     """Lower-case then Java-split on one space."""
     return java_split(F.lower(col(s)), " ")

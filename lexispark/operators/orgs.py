@@ -11,11 +11,12 @@ the measured size of a side, never from an estimate.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.tags import encode_ents, encode_tags
 from ..functions.text import java_split, lower_split
 from ..functions import jsonfn
+from ..plans.stages import materialize
 from .annotate import DEFAULT_BACKEND, TEST_LEXICON, Lexicon, annotate, annotate_arrow
 from .sequence import connected_pairs, direct_pairs, merged_values, org_mentions
 
@@ -37,28 +38,35 @@ def tagged_from_text(df: DataFrame, lex: Lexicon = TEST_LEXICON, id_col: str = "
     return _encode(a.select("id", "subreddit", "tags", F.col("lemmas").alias("values"), "ents"))
 
 
-def tagged_from_annotated(df: DataFrame, strict: bool = False) -> DataFrame:
+def tagged_from_annotated(df: DataFrame, strict: bool = False, raw_from: str = "lemmas") -> DataFrame:
     """Annotated JSON lines (``value``) -> tagged comments. The four
-    space-joined strings are split with Java rules; unequal lengths make an
-    error row (``error`` not null) instead of failing the job, unless
-    ``strict``."""
+    space-joined strings are split with Java rules; unequal lengths, and lines
+    that the nlp job wrote as errors, make an error row (``error`` not null)
+    instead of failing the job, unless ``strict``. ``raws`` (D4's raw values) are the lemmas, as originally, or the
+    words as written with ``raw_from="tokens"``."""
+    if raw_from not in ("lemmas", "tokens"):
+        raise ValueError("raw_from is lemmas or tokens")
     v = jsonfn.parse("value")
     d = df.select(
         (F.col("id") if "id" in df.columns else F.monotonically_increasing_id()).alias("id"),
         jsonfn.string_field(v, "subreddit").alias("subreddit"),
         java_split(jsonfn.string_field(v, "tags")).alias("tags"),
         java_split(jsonfn.string_field(v, "lemmas")).alias("values"),
+        java_split(jsonfn.string_field(v, raw_from)).alias("raws"),
         java_split(jsonfn.string_field(v, "ents")).alias("ents"),
-        v.isNull().alias("_bad_json"))
-    ok = (F.size("tags") == F.size("values")) & (F.size("values") == F.size("ents")) & ~F.col("_bad_json")
-    err = F.when(~ok, F.when(F.col("_bad_json"), F.lit(jsonfn.PARSE_ERROR))
-                 .otherwise(F.lit("tags, lemmas and ents differ in length")))
+        jsonfn.string_field(v, "error").alias("_said"), v.isNull().alias("_bad_json"))
+    same = ((F.size("tags") == F.size("values")) & (F.size("values") == F.size("ents"))
+            & (F.size("values") == F.size("raws")))
+    names = "tags, lemmas and ents" if raw_from == "lemmas" else "tags, lemmas, tokens and ents"
+    err = (F.when(F.col("_bad_json"), F.lit(jsonfn.PARSE_ERROR)).when(F.col("_said") != "", F.col("_said"))
+           .when(~same, F.lit(f"{names} differ in length")))
+    ok = err.isNull()
     if strict:
         err = F.when(~ok, F.raise_error(F.lit("malformed annotated line")))
-    d = d.withColumn("error", err).drop("_bad_json")
+    d = d.withColumn("error", err).drop("_bad_json", "_said")
     empty = F.array().cast("array<string>")
     d = d.withColumns({c: F.when(F.col("error").isNull(), F.col(c)).otherwise(empty)
-                       for c in ("tags", "values", "ents")})
+                       for c in ("tags", "values", "raws", "ents")})
     return _encode(d)
 
 
@@ -69,12 +77,29 @@ def _encode(d: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------ E3 / E4
 
-def mentions(tagged: DataFrame) -> DataFrame:
+def mentions(tagged: DataFrame, flush_tail: bool = False) -> DataFrame:
     """One row per organization mention (id, subreddit, org)."""
-    return tagged.select("id", "subreddit", F.explode(org_mentions("enc_ents")).alias("org"))
+    return tagged.select("id", "subreddit", F.explode(_mentions(tagged, flush_tail)).alias("org"))
 
 
-def org_counts(tagged: DataFrame) -> DataFrame:
+def _mentions(tagged: DataFrame, flush_tail: bool = False) -> Column:
+    """The mentions of a comment, computed already (``compact``) or not."""
+    return F.col("mentions") if "mentions" in tagged.columns else org_mentions("enc_ents", flush_tail)
+
+
+def compact(tagged: DataFrame, skip_articles: bool = False, flush_tail: bool = False) -> DataFrame:
+    """What several branches of a job read, computed in one pass: mentions and
+    pairs of each comment, and its sentence where it has a mention. Smaller than
+    the text; comments with neither are left out."""
+    sentence = F.col("sentence") if "sentence" in tagged.columns else merged_values("values", "ents")
+    pairs = F.concat(connected_pairs("enc", skip_articles, flush_tail), direct_pairs("enc", flush_tail))
+    out = tagged.select("id", "subreddit", org_mentions("enc_ents", flush_tail).alias("mentions"), pairs.alias("pairs"),
+                        sentence.alias("sentence"))
+    return out.select("id", "subreddit", "mentions", "pairs",
+                      F.when(F.size("mentions") > 0, F.col("sentence")).alias("sentence"))
+
+
+def org_counts(tagged: DataFrame, flush_tail: bool = False) -> DataFrame:
     """Mentions per (lower-cased org, community); the display casing kept
     is the smallest one (deterministic).
 
@@ -83,7 +108,7 @@ def org_counts(tagged: DataFrame) -> DataFrame:
     shuffle - and only the few casings per organization reach the ``min``
     (whose string buffer would otherwise force a sort-based aggregation over
     every mention)."""
-    m = mentions(tagged)
+    m = mentions(tagged, flush_tail)
     if tagged.isStreaming:
         # one stateful aggregation (chained aggregations need event-time
         # watermarks in Structured Streaming); state lives in the state store
@@ -99,7 +124,8 @@ def org_counts(tagged: DataFrame) -> DataFrame:
 
 def adj_pairs(tagged: DataFrame, skip_articles: bool = False, flush_tail: bool = False) -> DataFrame:
     """E5: connected pairs UNION ALL direct pairs, one pass over each comment."""
-    both = F.concat(connected_pairs("enc", skip_articles), direct_pairs("enc", flush_tail))
+    both = F.col("pairs") if "pairs" in tagged.columns else F.concat(
+        connected_pairs("enc", skip_articles, flush_tail), direct_pairs("enc", flush_tail))
     return (tagged.select("id", "subreddit", F.explode(both).alias("p"))
             .select("id", "subreddit", "p.is_direct", "p.noun", "p.adj"))
 
@@ -138,17 +164,30 @@ def org_profile(joined: DataFrame, sort: bool = True) -> DataFrame:
     return prof
 
 
-def profile_from_tagged(tagged: DataFrame, skip_articles: bool = False, sort: bool = True) -> DataFrame:
-    return org_profile(org_adj_join(org_counts(tagged), adj_counts(adj_pairs(tagged, skip_articles))), sort)
+def profile_from_tagged(tagged: DataFrame, skip_articles: bool = False, sort: bool = True,
+                        flush_tail: bool = False, top: int | None = None) -> DataFrame:
+    """E3-E11; ``top``: only the so many most frequent adjectives of each kind."""
+    adjs = adj_counts(adj_pairs(tagged, skip_articles, flush_tail))
+    if top is not None:
+        adjs = top_adjs(adjs, top)
+    return org_profile(org_adj_join(org_counts(tagged, flush_tail), adjs), sort)
+
+
+def top_adjs(adjs: DataFrame, top: int) -> DataFrame:
+    """The ``top`` most frequent adjectives of each (organization, community,
+    kind); ranked within tasks before the shuffle, so no list grows with the
+    corpus."""
+    w = Window.partitionBy("org_lower", "subreddit", "is_direct").orderBy(F.desc("adj_count"), "adj")
+    return adjs.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= top).drop("_rank")
 
 
 # ------------------------------------------------------------ E12
 
-def org_sentences(tagged: DataFrame) -> DataFrame:
+def org_sentences(tagged: DataFrame, flush_tail: bool = False) -> DataFrame:
     """One row per comment with at least one mention; the sentence is the
     org-merged value sequence joined by one space."""
     sentence = F.col("sentence") if "sentence" in tagged.columns else merged_values("values", "ents")
-    return (tagged.filter(F.size(org_mentions("enc_ents")) > 0)
+    return (tagged.filter(F.size(_mentions(tagged, flush_tail)) > 0)
             .select("id", "subreddit", sentence.alias("sentence")))
 
 
@@ -171,7 +210,7 @@ def orgs_readback(profile_lines: DataFrame) -> DataFrame:
     v = jsonfn.parse("value")
     return profile_lines.select(jsonfn.string_field(v, "subreddit").alias("subreddit"),
                                 jsonfn.string_field(v, "noun").alias("org"),
-                                jsonfn.int_field(v, "numNoun").cast("bigint").alias("count"))
+                                jsonfn.long_field(v, "numNoun").alias("count"))
 
 
 def sentence_tokens(sentence_lines: DataFrame) -> DataFrame:
@@ -201,13 +240,26 @@ def groups_over_threshold(sentences: DataFrame, min_group_comments: int) -> Data
 def orgs_over_threshold(orgs: DataFrame, groups: DataFrame, min_org_count: int) -> DataFrame:
     """Organizations of qualifying communities with count >= threshold
     (semi-join on the community; the group table is one row per community)."""
-    return (orgs.filter(F.col("count") >= min_org_count)
-            .join(groups.select("subreddit"), "subreddit", "left_semi"))
+    return _in_groups(orgs.filter(F.col("count") >= min_org_count), groups)
 
 
 def group_sentences(sentences: DataFrame, groups: DataFrame) -> DataFrame:
     """Sentences of qualifying communities."""
-    return sentences.join(groups.select("subreddit"), "subreddit", "left_semi")
+    return _in_groups(sentences, groups)
+
+
+#: Communities whose names are sent to every task; beyond, a shuffled semi join.
+FEW_GROUPS = 200_000
+
+
+def _in_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Semi join on the community. The list, one row per community, is written
+    once and broadcast if its counted rows are few, so that the texts of a hot
+    community need not move."""
+    names = materialize(groups.select(F.col("subreddit").alias("_group")).distinct(), "groups")
+    if names.count() <= FEW_GROUPS:
+        names = F.broadcast(names)
+    return rows.join(names, F.col("subreddit").eqNullSafe(F.col("_group")), "left_semi")
 
 
 def org_totals(orgs: DataFrame, min_org_count: int) -> DataFrame:

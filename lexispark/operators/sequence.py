@@ -13,11 +13,13 @@ D1 direct pairs.  A maximal run of adverb/adjective/conjunction/noun tokens
     unless ``flush_tail``.
 D2 connected pairs. ``N+ B [RJC]* T`` (B = verb with value ``be``, T any
     other class) matched leftmost and non-overlapping; the terminator T is
-    consumed. Adjectives come from the middle part; a noun terminator also
+    consumed. With ``flush_tail`` the end of the comment terminates too. Adjectives come from the middle part; a noun terminator also
     yields ``adj noun2`` and ``noun2``. With ``skip_articles`` determiners and
     prepositions inside the middle part are skipped instead of terminating.
 D3 organization mentions: maximal runs of ORGANIZATION tokens followed by
-    another token (tail run dropped unless ``flush_tail``), joined by space.
+    another token (tail run dropped unless ``flush_tail``), joined by space;
+    empty values before the first word are skipped, and a run of nothing else
+    is no mention.
 D4 merged sequence: each run of ORGANIZATION tokens becomes one token whose
     value/rawValue are joined by ``_``; tag and entity of the first token win.
 """
@@ -32,10 +34,10 @@ from ..functions.tags import ORGANIZATION, decode
 TOK = "[^ ]*"  # the value part of one encoded token
 
 
-# Linear-time matching: every pattern consumes a whole run possessively and
-# the unwanted matches are filtered afterwards, so a match can start only at a
-# run boundary and nothing is retried inside a long run (no quadratic
-# backtracking on adversarial text such as thousands of nouns in a row).
+# Every repeated group is possessive: it consumes a whole run, which keeps
+# matching linear (nothing is retried inside a run) and iterative (a group that
+# could backtrack is matched by recursion, as deep as the run is long). Unwanted
+# matches are filtered afterwards.
 
 
 def _adjectives(fragment: Column) -> Column:
@@ -55,7 +57,8 @@ def direct_pairs(encoded, flush_tail: bool = False) -> Column:
     runs = F.transform(m, lambda x: F.regexp_replace(x, " [BVDX]$", ""))
 
     def per_run(run: Column) -> Column:
-        nouns = F.regexp_extract(run, f"^(?:.* [RJC]{TOK})?((?: N{TOK})*)$", 1)
+        # up to the last token that is no noun, then nouns only
+        nouns = F.regexp_extract(run, f"(?s)^(?:.* [RJC]{TOK})?+((?: N{TOK})*+)$", 1)
         noun = decode(nouns)
         # no trailing noun run -> no pair (the filter keeps the element type)
         return F.filter(F.transform(
@@ -66,21 +69,23 @@ def direct_pairs(encoded, flush_tail: bool = False) -> Column:
     return F.flatten(F.transform(runs, per_run))
 
 
-def connected_pairs(encoded, skip_articles: bool = False) -> Column:
+def connected_pairs(encoded, skip_articles: bool = False, flush_tail: bool = False) -> Column:
     """D2 -> ARRAY<STRUCT<is_direct, noun, adj>>."""
     mid = "[RJCD]" if skip_articles else "[RJC]"
     stop = "[^RJCD]" if skip_articles else "[^RJC]"
+    end = f"(?: {stop}{TOK}|$)" if flush_tail else f" {stop}{TOK}"
     # every noun run is consumed; only those continuing "be ... terminator" count
     matches = F.filter(F.regexp_extract_all(
-        col(encoded), F.lit(f"(?: N{TOK})++(?: B{TOK}(?: {mid}{TOK})*+ {stop}{TOK})?"), 0),
+        col(encoded), F.lit(f"(?: N{TOK})++(?: B{TOK}(?: {mid}{TOK})*+{end})?"), 0),
         lambda x: x.contains(" B"))
 
     def per_match(m: Column) -> Column:
-        noun = decode(F.regexp_extract(m, f"^((?: N{TOK})+) B", 1))
-        middle = F.regexp_extract(m, f"^(?: N{TOK})+ B{TOK}((?: {mid}{TOK})*) {TOK}$", 1)
+        whole = f"^((?: N{TOK})++) B{TOK}((?: {mid}{TOK})*+)(?: ({stop}{TOK}))?$"
+        noun = decode(F.regexp_extract(m, whole, 1))
+        middle = F.regexp_extract(m, whole, 2)
         if skip_articles:
             middle = F.regexp_replace(middle, f" D{TOK}", "")
-        term = F.regexp_extract(m, f" ({TOK})$", 1)
+        term = F.regexp_extract(m, whole, 3)         # empty at the end of the comment
         term_value = F.substring(term, 2, 1 << 30)
         adjs = _adjectives(middle)
 
@@ -101,7 +106,7 @@ def org_mentions(encoded_ents, flush_tail: bool = False) -> Column:
     m = F.regexp_extract_all(col(encoded_ents), F.lit(f"(?: G{TOK})++(?: O)?"), 0)
     if not flush_tail:
         m = F.filter(m, lambda x: x.endswith(" O"))
-    return F.transform(m, lambda x: decode(F.regexp_replace(x, " O$", "")))
+    return F.filter(F.transform(m, lambda x: F.ltrim(decode(F.regexp_replace(x, " O$", "")))), lambda x: x != "")
 
 
 def _continues_org(ents: Column):

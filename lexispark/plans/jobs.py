@@ -2,14 +2,19 @@
 
     body_extract  comments JSON lines -> one body per line (or an error row)
     nlp           comments JSON lines -> comment + tokens/lemmas/tags/ents
-    word_count    annotated lines     -> /orgs profiles, /orgsSentences
+    word_count    annotated lines     -> /orgs profiles, /orgsSentences, /errors
     word_to_vec   word_count output   -> /subreddits, /all, /orgSynonyms/<c>
     report        word_count + word_to_vec output -> two report tables
     vec_example   built-in sentences  -> embedding demo with its assertion
 
 Run with ``spark-submit run_job.py JOB --input IN --output OUT
-[--partitions N] [--profile local|prod] [--on-write-error raise|log]``.
-Every option applies to every job (named, not positional).
+[--partitions N] [--profile local|prod] [--on-write-error raise|log]``. Options
+are named. ``nlp`` takes a lexicon from files (``--lexicon words.tsv --gazetteer
+LABEL=path ...``, see ``annotate.read_lexicon``) or a tagger (``--tagger
+module:callable``, see ``annotate.annotate_with_tagger``); without either it uses
+the lexicon of the test tables. ``word_count`` takes ``--skip-articles
+--flush-tail --strict --raw-from``, ``report`` ``--min-count``. ``vec_example``
+takes none. A job removes what it has staged when its output is written.
 """
 
 from __future__ import annotations
@@ -21,12 +26,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import jsonfn
 from ..operators import embed as E, orgs as O, report as R
-from ..operators.annotate import TEST_LEXICON, Lexicon, annotate, annotation_strings
+from ..operators.annotate import (TEST_LEXICON, Lexicon, annotate, annotate_with_tagger, annotation_strings,
+                                  read_lexicon)
 from ..profile import Profile, by_name
 from ..schemas import ORG_PROFILE, SYNONYMS
 from ..sources import sinks
 from ..sources.text import read_comments, read_lines
-from .stages import materialize, materialize_by
+from .stages import materialize, materialize_by, remove_stages
 
 ANNOTATIONS = ["tokens", "lemmas", "tags", "ents"]
 
@@ -42,11 +48,12 @@ def body_extract(spark: SparkSession, inp: str, out: str, partitions: int | None
 
 
 def nlp(spark: SparkSession, inp: str, out: str, partitions: int | None = None,
-        lexicon: Lexicon = TEST_LEXICON, on_write_error: str = "raise") -> DataFrame:
-    """Annotate each body and merge the four strings into the original
-    object (unknown fields kept). A bad line becomes ``{"error", "raw"}``."""
+        lexicon: Lexicon = TEST_LEXICON, on_write_error: str = "raise", make_tagger=None) -> DataFrame:
+    """Annotate each body, by the lexicon or by a tagger, and merge the four
+    strings into the original object (unknown fields kept). A bad line becomes
+    ``{"error", "raw"}``."""
     c = read_comments(spark, inp, partitions)
-    a = annotation_strings(annotate(c, "body", lexicon))
+    a = annotation_strings(annotate_with_tagger(c, "body", make_tagger) if make_tagger else annotate(c, "body", lexicon))
     merged = jsonfn.merge_fields("value", ANNOTATIONS)
     err = F.coalesce(F.col("error"), F.when(merged.isNull(), F.lit("not a JSON object")))
     lines = a.select(F.when(err.isNull(), merged)
@@ -57,38 +64,52 @@ def nlp(spark: SparkSession, inp: str, out: str, partitions: int | None = None,
 
 
 def word_count(spark: SparkSession, inp: str, out: str, partitions: int | None = None,
-               skip_articles: bool = False, on_write_error: str = "raise") -> tuple[DataFrame, DataFrame]:
-    """T8 + T9 from annotated lines. The tagged sequences are materialized
-    once and read by the three branches."""
-    tagged = materialize(O.tagged_from_annotated(read_lines(spark, inp, partitions)), "tagged")
-    prof = O.profile_from_tagged(tagged, skip_articles=skip_articles)
+               skip_articles: bool = False, on_write_error: str = "raise", flush_tail: bool = False,
+               strict: bool = False, raw_from: str = "lemmas") -> tuple[DataFrame, DataFrame]:
+    """T8 + T9 from annotated lines. Each comment's mentions, pairs and sentence
+    are computed once, staged, and read by the three branches. Malformed lines
+    are counted by their error in /errors (with ``strict`` they fail the job)."""
+    lines = O.tagged_from_annotated(read_lines(spark, inp, partitions), strict, raw_from)
+    good = F.col("error").isNull()
+    tagged = materialize(_staged(lines, skip_articles, flush_tail), "tagged")
+    errors = tagged.filter(~good).groupBy("error").agg(F.count(F.lit(1)).alias("lines"))
+    tagged = tagged.filter(good)
+    prof = O.profile_from_tagged(tagged)
     sents = O.org_sentences(tagged).select("subreddit", "sentence")
+    sinks.guarded_write(lambda p: sinks.write_json_lines(errors, p), f"{out}/errors", on_write_error)
     sinks.guarded_write(lambda p: sinks.write_json_lines(prof, p), f"{out}/orgs", on_write_error)
     sinks.guarded_write(lambda p: sinks.write_json_lines(sents, p), f"{out}/orgsSentences", on_write_error)
     return prof, sents
 
 
+def _staged(lines: DataFrame, skip_articles: bool, flush_tail: bool) -> DataFrame:
+    """``orgs.compact`` of annotated lines, with their error."""
+    c = O.compact(lines.withColumn("subreddit", F.struct("subreddit", "error")), skip_articles, flush_tail)
+    return c.select("id", "subreddit.subreddit", "subreddit.error", "mentions", "pairs", "sentence")
+
+
 def word_to_vec(spark: SparkSession, inp: str, out: str, profile: Profile, partitions: int | None = None,
                 on_write_error: str = "raise") -> DataFrame:
     """T10 + T13: community counts, whole-corpus and per-community synonyms."""
-    orgs = O.orgs_readback(read_lines(spark, f"{inp}/orgs", partitions))
-    lines = read_lines(spark, f"{inp}/orgsSentences", partitions)
-    # one folder per community (each per-community fit reads only its own
-    # folder); a hot community is split over several tasks
-    sents = materialize_by(O.sentence_tokens(lines), "subreddit", name="sentences")
+    orgs = materialize(O.orgs_readback(read_lines(spark, f"{inp}/orgs", partitions)), "orgs")
+    sents = materialize(O.sentence_tokens(read_lines(spark, f"{inp}/orgsSentences", partitions)), "sentences")
     counts = O.group_counts_sorted(sents)
     sinks.guarded_write(lambda p: sinks.write_json_lines(counts, p), f"{out}/subreddits", on_write_error)
     all_syn = E.synonyms_all(sents, O.org_totals(orgs, profile.min_org_count), profile)
     sinks.guarded_write(lambda p: sinks.write_json_lines(all_syn, p), f"{out}/all", on_write_error)
-    groups = O.groups_over_threshold(sents, profile.min_group_comments)
-    by_group = E.synonyms_by_group(sents, orgs, groups, profile)
+    groups = materialize(O.groups_over_threshold(sents, profile.min_group_comments), "groups")
+    # qualifying communities only, clustered: each fit reads little but its own
+    by_group = E.synonyms_by_group(materialize_by(O.group_sentences(sents, groups), "subreddit", "group-sentences"),
+                                   materialize_by(O.orgs_over_threshold(orgs, groups, profile.min_org_count),
+                                                  "subreddit", "group-orgs"), groups, profile)
     sinks.guarded_write(lambda p: sinks.write_json_lines(by_group, p, partition_by=["subreddit"]),
                         f"{out}/orgSynonyms", on_write_error)
     return all_syn.unionByName(by_group)
 
 
 def report(spark: SparkSession, word_count_out: str, word_to_vec_out: str, out: str,
-           min_count: int = R.REPORT_MIN_COUNT) -> tuple[DataFrame, DataFrame]:
+           min_count: int = R.REPORT_MIN_COUNT, on_write_error: str = "raise",
+           partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
     """T14 + T15 (A7/A8: many part files, whole-corpus and per-community
     synonyms read and unioned)."""
     prof = spark.read.schema(ORG_PROFILE).json(f"{word_count_out}/orgs")
@@ -99,36 +120,25 @@ def report(spark: SparkSession, word_count_out: str, word_to_vec_out: str, out:
                                schema="org string, count bigint, "
                                       "synonyms array<struct<word:string,similarity:double>>, subreddit string")
     syn = R.synonym_report(by_group.unionByName(all_syn))
-    sinks.write_report(adj, f"{out}/data-word-count")
-    sinks.write_report(syn, f"{out}/data-word-to-vec")
+    sinks.guarded_write(lambda p: sinks.write_report(adj, p, partitions=partitions), f"{out}/data-word-count", on_write_error)
+    sinks.guarded_write(lambda p: sinks.write_report(syn, p, partitions=partitions), f"{out}/data-word-to-vec", on_write_error)
     return adj, syn
 
 
-# The sentences of the embedding demo (split on one space).
-EXAMPLE_SENTENCES = (
-    "Gamma is a large company",
-    "Delta is a large company",
-    "Gamma works with people, Delta does not",
-    "Delta works with people, Gamma does not",
-    "checked that Gamma sees the future",
-    "checked that Delta sees the future",
-    "finds many things Gamma does",
-    "wants many things Delta does",
-    "wants many things Gamma does",
-    "finds many things Delta does",
-    "Gamma does",
-    "Delta does",
-    "checked Gamma does and Delta does not",
-    "checked Delta does and Gamma does not",
-)
+# The demo: two names that occur in the same company, each with each phrase.
+EXAMPLE_NAMES = ("Gamma", "Delta")
+EXAMPLE_PHRASES = ("{} sells tea in town", "people like how {} works", "they saw {} grow last year", "{} grows", "few know {} yet",
+                   "{} opened a shop by the river")
+EXAMPLE_SENTENCES = tuple(p.format(n) for p in EXAMPLE_PHRASES for n in EXAMPLE_NAMES)
 EXAMPLE_PROFILE = Profile(vector_size=300, min_word_count=0, max_iter=50, seed=42, num_synonyms=20,
                           train_partitions=1)
 
 
-def vec_example(spark: SparkSession, profile: Profile = EXAMPLE_PROFILE) -> DataFrame:
-    """Fit on the literal sentences; the nearest word of Gamma must be
-    Delta and the nearest of Delta must be Gamma."""
-    docs = spark.createDataFrame([(s.split(" "),) for s in EXAMPLE_SENTENCES], "text array<string>").coalesce(1)
+def vec_example(spark: SparkSession, profile: Profile = EXAMPLE_PROFILE,
+                sentences: tuple[str, ...] = EXAMPLE_SENTENCES) -> DataFrame:
+    """Fit on literal sentences; the nearest word of Gamma must be Delta
+    and the nearest of Delta must be Gamma."""
+    docs = spark.createDataFrame([(s.split(" "),) for s in sentences], "text array<string>").coalesce(1)
     model = E.fit(docs, profile)
     vecs = E.word_vectors(model, spark)
     top = E.top_k_similar(vecs.select(F.col("word").alias("qid"), "vec"),
@@ -153,23 +163,46 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--profile", default="local", choices=["local", "prod"])
     ap.add_argument("--on-write-error", default="raise", choices=["raise", "log"])
     ap.add_argument("--skip-articles", action="store_true")
+    ap.add_argument("--flush-tail", action="store_true")
+    ap.add_argument("--strict", action="store_true")
+    ap.add_argument("--raw-from", default="lemmas", choices=["lemmas", "tokens"])
+    ap.add_argument("--min-count", type=int, default=R.REPORT_MIN_COUNT)
+    ap.add_argument("--lexicon", help="word table (nlp)")
+    ap.add_argument("--gazetteer", action="append", default=[], metavar="LABEL=PATH")
+    ap.add_argument("--tagger", metavar="MODULE:CALLABLE", help="makes the tagger (nlp)")
     a = ap.parse_args(argv)
+    if a.tagger and (a.lexicon or a.gazetteer):
+        ap.error("a tagger or a lexicon, not both")
+    if a.gazetteer and not a.lexicon:
+        ap.error("gazetteers need a lexicon")
     from ..session import get_session
     spark = get_session(app=f"lexispark-{a.job}")
     if a.job == "body_extract":
         body_extract(spark, a.input, a.output, a.partitions, a.on_write_error)
     elif a.job == "nlp":
-        nlp(spark, a.input, a.output, a.partitions, on_write_error=a.on_write_error)
+        lexicon = read_lexicon(spark, a.lexicon, a.gazetteer) if a.lexicon else TEST_LEXICON
+        nlp(spark, a.input, a.output, a.partitions, lexicon, a.on_write_error, _callable(a.tagger))
     elif a.job == "word_count":
-        word_count(spark, a.input, a.output, a.partitions, a.skip_articles, a.on_write_error)
+        word_count(spark, a.input, a.output, a.partitions, a.skip_articles, a.on_write_error, a.flush_tail, a.strict,
+                   a.raw_from)
     elif a.job == "word_to_vec":
         word_to_vec(spark, a.input, a.output, by_name(a.profile), a.partitions, a.on_write_error)
     elif a.job == "report":
-        report(spark, a.input, a.input2, a.output)
+        report(spark, a.input, a.input2, a.output, a.min_count, a.on_write_error, a.partitions)
     else:
         vec_example(spark).show(truncate=False)
+    remove_stages(spark)
     return 0
 
 
+def _callable(name: str | None):
+    """``module:callable``; the module must be importable by the workers."""
+    if not name:
+        return None
+    module, _, attribute = name.partition(":")
+    import importlib
+    return getattr(importlib.import_module(module), attribute)
+
+
 if __name__ == "__main__":
     sys.exit(main())

@@ -9,7 +9,8 @@ table (``Lexicon``) the Spark side uses, since it is a parameter, not logic.
 
 from __future__ import annotations
 
-from ..operators.annotate import NUMBER_TAG, OUTSIDE, TEST_LEXICON, TOKEN_PATTERN, Lexicon
+from ..operators.annotate import (CLITIC_PATTERN, NUMBER_PATTERN, NUMBER_TAG, OUTSIDE, PHRASE_LEXICON, TEST_LEXICON,
+                                  TOKEN_PATTERN, Lexicon)
 from ..functions.text import STRIP_PATTERN
 from ..functions.tags import CLASS_LETTERS
 from .queries import QUERY_PROFILE, REPORT_MIN_COUNT, TOPK
@@ -27,7 +28,7 @@ def tag_sql(lex: Lexicon, t: str = "t") -> str:
     l = f"lower({t})"
     parts = [f"WHEN length({t}) = 1 AND NOT regexp_full_match({t}, '[A-Za-z0-9]') THEN {t}"]
     parts += [f"WHEN {l} IN {_in(words)} THEN {_q(tag)}" for tag, words in lex.words_by_tag()]
-    parts.append(f"WHEN regexp_full_match({t}, '[0-9]+') THEN {_q(NUMBER_TAG)}")
+    parts.append(f"WHEN regexp_full_match({t}, {_q(NUMBER_PATTERN)}) THEN {_q(NUMBER_TAG)}")
     for suffix, tag in lex.suffix_rules:
         hit = f"ends_with({l}, {_q(suffix)})"
         if tag == lex.noun_tag and lex.proper_tag:
@@ -45,9 +46,15 @@ def lemma_sql(lex: Lexicon, t: str, tag: str) -> str:
     return "CASE " + " ".join(parts) + f" ELSE lower({t}) END" if parts else f"lower({t})"
 
 
-def ent_sql(lex: Lexicon, t: str = "t") -> str:
-    parts = [f"WHEN lower({t}) IN {_in(sorted({w.lower() for w in words}))} THEN {_q(label)}"
-             for label, words in lex.gazetteers]
+def ent_sql(lex: Lexicon, tokens: str = "tokens", i: str = "i") -> str:
+    """The first gazetteer with an entry among the token runs that hold token i."""
+    parts = []
+    for label, by in lex.phrases():
+        for n, entries in by.items():
+            for back in range(n):
+                a = f"{i} - {back}"
+                run = f"lower(array_to_string({tokens}[{a}:{a} + {n - 1}], ' '))"
+                parts.append(f"WHEN {a} >= 1 AND {a} + {n - 1} <= len({tokens}) AND {run} IN {_in(entries)} THEN {_q(label)}")
     return "CASE " + " ".join(parts) + f" ELSE {_q(OUTSIDE)} END" if parts else _q(OUTSIDE)
 
 
@@ -72,12 +79,13 @@ def base_ctes(lex: Lexicon = TEST_LEXICON) -> str:
 docs AS (SELECT doc_id AS id, source AS subreddit, text AS body FROM documents),
 tok AS (
   SELECT id, subreddit, body,
-         regexp_extract_all(regexp_replace(body, '{STRIP_PATTERN}', ' ', 'g'), '{TOKEN_PATTERN}', 0) AS tokens
+         regexp_extract_all(regexp_replace(regexp_replace(body, '{STRIP_PATTERN}', ' ', 'g'),
+                                           {_q(CLITIC_PATTERN)}, ' \\1', 'g'), {_q(TOKEN_PATTERN)}, 0) AS tokens
   FROM docs),
 tg AS (SELECT *, list_transform(tokens, lambda t: {tag_sql(lex)}) AS tags FROM tok),
 ann AS (
   SELECT *, list_transform(tokens, lambda t, i: {lemma_sql(lex, 't', 'tags[i]')}) AS lemmas,
-         list_transform(tokens, lambda t: {ent_sql(lex)}) AS ents
+         list_transform(tokens, lambda t, i: {ent_sql(lex)}) AS ents
   FROM tg),
 tagged AS (
   SELECT id, subreddit, tags, lemmas AS vals, ents,
@@ -146,11 +154,11 @@ orgs_rb AS (SELECT subreddit, noun AS org, numNoun AS count FROM profile)
 """
 
 
-def _with(body: str) -> str:
+def _with(body: str, lex: Lexicon = TEST_LEXICON) -> str:
     body = body.lstrip()
     if body.startswith(","):
-        return "WITH " + base_ctes().strip() + body
-    return "WITH " + base_ctes().strip() + "\n" + body
+        return "WITH " + base_ctes(lex).strip() + body
+    return "WITH " + base_ctes(lex).strip() + "\n" + body
 
 
 def _java_split_sql(s: str) -> str:
@@ -175,7 +183,7 @@ def _ann_str(extra: str = "") -> str:
 def oracle() -> dict[str, str]:
     s: dict[str, str] = {}
     # ---- A / B
-    s["json_parse"] = "SELECT doc_id AS id, source AS subreddit, length(text) AS body_chars FROM documents"
+    s["json_parse"] = "SELECT doc_id AS id, source AS subreddit, text AS body FROM documents"
     s["json_extract_string"] = "SELECT doc_id AS id, text AS body, '' AS id_text, '' AS missing FROM documents"
     s["json_extract_int"] = (f"SELECT event_id, {_jint('props', '$.k')} AS k, "
                              f"{_jint('props', '$.missing')} AS missing FROM events")
@@ -187,20 +195,44 @@ FROM (SELECT 'events' AS source, event_id AS line_id, props AS line FROM events
       UNION ALL SELECT 'pages', page_id, html FROM pages)"""
     s["text_clean"] = f"SELECT page_id, regexp_replace(html, '{STRIP_PATTERN}', ' ', 'g') AS clean FROM pages"
     s["annotated_merge"] = _with(_ann_str(", 7 AS n_keys").replace("SELECT id, subreddit,", "SELECT id, subreddit,"))
-    s["split_tokens"] = (f"SELECT id, len(p) AS n_parts, p[len(p)] AS last_part FROM "
+    s["split_tokens"] = (f"SELECT id, len(p) AS n_parts, array_to_string(p, '|') AS parts FROM "
                          f"(SELECT doc_id AS id, {_java_split_sql('text')} AS p FROM documents)")
     s["tag_sequence"] = _with(f"""
-SELECT id, subreddit, len(t) AS seq_len, v[1] AS first_value, t[len(t)] AS last_tag, NULL::VARCHAR AS error
+SELECT id, subreddit, len(t) AS seq_len, array_to_string(v, '|') AS values, array_to_string(t, '|') AS tags,
+       array_to_string(e, '|') AS ents, NULL::VARCHAR AS error
 FROM (SELECT id, subreddit, {_java_split_sql("array_to_string(tags, ' ')")} AS t,
-             {_java_split_sql("array_to_string(lemmas, ' ')")} AS v FROM ann)""")
+             {_java_split_sql("array_to_string(lemmas, ' ')")} AS v,
+             {_java_split_sql("array_to_string(ents, ' ')")} AS e FROM ann)""")
     # ---- C
     s["annotate_tokens"] = _with("SELECT id, len(tokens) AS n_tokens, array_to_string(tokens, ' ') AS tokens FROM ann")
     s["annotate_tags"] = _with("SELECT id, array_to_string(tags, ' ') AS tags FROM ann")
     s["annotate_lemmas"] = _with("SELECT id, array_to_string(lemmas, ' ') AS lemmas FROM ann")
     s["annotate_ents"] = _with("SELECT id, array_to_string(ents, ' ') AS ents FROM ann")
     s["annotate_full"] = _with(_ann_str())
+    s["annotate_phrases"] = _with("SELECT id, array_to_string(ents, ' ') AS ents FROM ann", PHRASE_LEXICON)
     # ---- D
-    s["direct_pairs"] = _with("SELECT * FROM direct")
+    # D1 by windows, not by the patterns of the operator: tokens one by one, an
+    # island for each run between other tokens, its last noun run, its adjectives
+    s["direct_pairs"] = _with("""
+, flat AS (
+  SELECT id, subreddit, p, vals[p] AS v, CASE WHEN starts_with(tags[p], 'RB') THEN 'R' WHEN starts_with(tags[p], 'JJ') THEN 'J'
+         WHEN starts_with(tags[p], 'CC') THEN 'C' WHEN starts_with(tags[p], 'NN') THEN 'N' ELSE 'X' END AS c
+  FROM (SELECT id, subreddit, tags, vals, unnest(range(1, len(tags) + 1)) AS p FROM tagged)),
+isles AS (
+  SELECT *, count(*) FILTER (WHERE c = 'X') OVER (PARTITION BY id ORDER BY p ROWS UNBOUNDED PRECEDING) AS isle,
+         count(*) FILTER (WHERE c = 'X') OVER (PARTITION BY id) AS n_isles FROM flat),
+runs AS (
+  SELECT *, max(CASE WHEN c <> 'N' THEN p END) OVER (PARTITION BY id, isle) AS last_other,
+         max(CASE WHEN c <> 'R' THEN p END) OVER (PARTITION BY id, isle ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+  FROM isles WHERE c <> 'X' AND isle < n_isles),
+nouns AS (
+  SELECT id, isle, string_agg(v, ' ' ORDER BY p) AS noun FROM runs
+  WHERE c = 'N' AND p > coalesce(last_other, 0) GROUP BY id, isle),
+adjs AS (
+  SELECT a.id, a.subreddit, a.isle, a.p, (SELECT string_agg(r.v, ' ' ORDER BY r.p) FROM runs r
+         WHERE r.id = a.id AND r.isle = a.isle AND r.p <= a.p AND r.p > coalesce(a.before, 0)) AS adj
+  FROM runs a WHERE a.c = 'J')
+SELECT a.id, a.subreddit, TRUE AS is_direct, n.noun, a.adj FROM adjs a JOIN nouns n ON a.id = n.id AND a.isle = n.isle""")
     s["connected_pairs"] = _with("SELECT * FROM connected")
     s["org_mentions"] = _with("SELECT * FROM mentions")
     s["combine_orgs"] = _with("""
@@ -257,6 +289,43 @@ ranked AS (
                            "SELECT x.vec_id AS a, x.other_id AS b, round(x.sim, 4) AS similarity "
                            "FROM nn x JOIN nn y ON x.vec_id = y.other_id AND x.other_id = y.vec_id "
                            "WHERE CAST(x.vec_id AS VARCHAR) < CAST(x.other_id AS VARCHAR)")
+    k = QUERY_PROFILE.num_synonyms
+    vocab = f"""
+, words AS (SELECT id, subreddit, unnest(text) AS word FROM sentence_tokens),
+vocab AS (SELECT word FROM words GROUP BY word HAVING count(*) >= {QUERY_PROFILE.min_word_count}),
+totals AS (SELECT org, CAST(sum(count) AS BIGINT) AS count FROM orgs_rb GROUP BY org
+           HAVING sum(count) >= {QUERY_PROFILE.min_org_count}),
+group_vocab AS (SELECT subreddit, word FROM words WHERE subreddit IN (SELECT subreddit FROM big_groups)
+                GROUP BY subreddit, word HAVING count(*) >= {QUERY_PROFILE.min_word_count}),
+syn_all AS (
+  SELECT 'all' AS subreddit, org, count, CASE WHEN replace(lower(org), ' ', '_') IN (SELECT word FROM vocab)
+         THEN least({k}, (SELECT count(*) FROM vocab) - 1) ELSE 0 END AS n FROM totals),
+syn_group AS (
+  SELECT o.subreddit, o.org, o.count, CASE WHEN v.word IS NOT NULL
+         THEN least({k}, (SELECT count(*) FROM group_vocab g WHERE g.subreddit = o.subreddit) - 1) ELSE 0 END AS n
+  FROM orgs_rb o LEFT JOIN group_vocab v ON v.subreddit = o.subreddit AND v.word = replace(lower(o.org), ' ', '_')
+  WHERE o.count >= {QUERY_PROFILE.min_org_count} AND o.subreddit IN (SELECT subreddit FROM big_groups))"""
+    shown = "CAST(n AS INTEGER) AS n_synonyms, TRUE AS descending, TRUE AS other_words"
+    s["w2v_doc_vectors"] = _with(vocab + f"""
+SELECT s.id, s.subreddit, {QUERY_PROFILE.vector_size} AS dims,
+       CAST((SELECT count(*) FROM words w WHERE w.id = s.id AND w.word IN (SELECT word FROM vocab)) AS BIGINT) AS known_words,
+       TRUE AS is_mean FROM sentence_tokens s""")
+    s["w2v_synonyms_all"] = _with(vocab + f" SELECT subreddit, org, count, {shown} FROM syn_all")
+    s["w2v_synonyms_by_group"] = _with(vocab + f" SELECT subreddit, org, count, {shown} FROM syn_group")
+    s["synonym_report"] = _with(vocab + """
+SELECT CAST(row_number() OVER (ORDER BY count DESC, org, subreddit) - 1 AS BIGINT) AS id, org, subreddit, count,
+       CAST(n AS INTEGER) AS n_synonyms, TRUE AS rounded
+FROM (SELECT * FROM syn_all UNION ALL SELECT * FROM syn_group) WHERE n > 0""")
+    s["synonyms_of_vectors"] = f"""
+WITH e AS (SELECT vec_id, label, 'v_' || vec_id AS word, embedding::DOUBLE[] AS v FROM embeddings),
+o AS (SELECT vec_id, CAST(label AS BIGINT) AS count, 'V ' || vec_id AS org, v FROM e WHERE vec_id % 7 = 0 AND vec_id % 3 <> 0),
+r AS (
+  SELECT o.org, o.count, e.word, list_dot_product(o.v, e.v) / (sqrt(list_dot_product(o.v, o.v)) * sqrt(list_dot_product(e.v, e.v))) AS sim
+  FROM o JOIN e ON o.vec_id <> e.vec_id),
+t AS (SELECT *, row_number() OVER (PARTITION BY org ORDER BY sim DESC, word) AS n FROM r),
+l AS (SELECT org, any_value(count) AS count, string_agg(word || '=' || format('{{:.4f}}', round(sim, 4)), '|' ORDER BY n) AS synonyms
+      FROM t WHERE n <= {TOPK} GROUP BY org)
+SELECT CAST(row_number() OVER (ORDER BY count DESC, org) - 1 AS BIGINT) AS id, org, 'all' AS subreddit, count, synonyms FROM l"""
     s["w2v_oov"] = _with(f"""
 , totals AS (SELECT org, CAST(sum(count) AS BIGINT) AS count FROM orgs_rb GROUP BY org
              HAVING sum(count) >= {QUERY_PROFILE.min_org_count}),

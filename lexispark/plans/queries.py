@@ -13,15 +13,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import jsonfn
 from ..functions.text import clean, java_split, lower_split, vocab_word
 from ..operators import embed as E, orgs as O, report as R
-from ..operators.annotate import TEST_LEXICON, annotate, annotation_strings
-from ..operators.sequence import combine_orgs, connected_pairs, direct_pairs, merged_values, org_mentions
+from ..operators.annotate import PHRASE_LEXICON, TEST_LEXICON, annotate, annotation_strings
+from ..operators.sequence import combine_orgs, connected_pairs, direct_pairs
 from ..profile import LOCAL
 from ..sources import tables
 from .stages import materialize, materialize_by
 
 # Parameters of the registered queries (sized for the test tables).
-QUERY_PROFILE = LOCAL.with_(vector_size=32, num_synonyms=5, seed=42)
-REPORT_MIN_COUNT = 5
+# Words that occur at least ten times are embedded, as in the prod profile: MLlib
+# holds a model's vectors on the driver, so their number must not follow the corpus'.
+QUERY_PROFILE = LOCAL.with_(vector_size=32, num_synonyms=5, seed=42, min_word_count=10)
+REPORT_MIN_COUNT = 2
 TOPK = 5
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,22 +40,18 @@ def query(name: str):
 # ----------------------------------------------------------------- shared
 
 def tagged(spark: SparkSession, sf_dir: str, stage: bool = True) -> DataFrame:
-    """The annotated corpus (nlp stage output). ``stage=True`` materializes it
-    once (several branches or filters read it); a single-branch query with no
-    filter on derived columns streams it straight into the next operator."""
+    """The annotated corpus (nlp stage output). ``stage=True`` computes what the
+    operators take from a comment once (mentions, pairs, sentence: less than its
+    text) and writes that, for queries with several branches; a query with one
+    branch streams the annotation straight into its operator."""
     t = O.tagged_from_text(tables.comments(spark, sf_dir).transform(spread))
-    if not stage:
-        return t
-    if "sentence" not in t.columns:             # expression backend
-        t = t.withColumn("sentence", merged_values("values", "ents"))
-    # the staged consumers (mentions, pairs, sentences) read only these
-    return materialize(t.select("id", "subreddit", "enc", "enc_ents", "sentence"), "tagged")
+    return materialize(O.compact(t), "tagged") if stage else t
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Repartition a scan only when it has fewer partitions than the cluster
-    has cores (small files ahead of the CPU-heavy annotation). A large input
-    already has enough splits and is not shuffled."""
+    """Repartition a plain scan only when it has fewer partitions than the
+    cluster has cores (small files ahead of the CPU-heavy annotation). A large
+    input already has enough splits and is not shuffled."""
     n = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(n) if df.rdd.getNumPartitions() < n else df
 
@@ -74,7 +72,7 @@ def profile(spark: SparkSession, sf_dir: str, sort: bool = True) -> DataFrame:
 
 
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return O.org_sentences(tagged(spark, sf_dir))
+    return O.org_sentences(tagged(spark, sf_dir, stage=False))
 
 
 # ----------------------------------------------------------------- A / B
@@ -85,7 +83,7 @@ def q_json_parse(spark, sf_dir):
     return tables.comment_lines(spark, sf_dir).select(
         F.variant_get(v, "$.id", "bigint").alias("id"),
         F.variant_get(v, "$.subreddit", "string").alias("subreddit"),
-        F.length(F.variant_get(v, "$.body", "string")).cast("bigint").alias("body_chars"))
+        F.variant_get(v, "$.body", "string").alias("body"))
 
 
 @query("json_extract_string")
@@ -141,15 +139,14 @@ def q_annotated_merge(spark, sf_dir):
 def q_split_tokens(spark, sf_dir):
     parts = java_split("body")
     return tables.comments(spark, sf_dir).select(
-        "id", F.size(parts).cast("bigint").alias("n_parts"), F.get(parts, F.size(parts) - 1).alias("last_part"))
+        "id", F.size(parts).cast("bigint").alias("n_parts"), F.array_join(parts, "|").alias("parts"))
 
 
 @query("tag_sequence")
 def q_tag_sequence(spark, sf_dir):
     t = O.tagged_from_annotated(annotated_lines(spark, sf_dir))
     return t.select("id", "subreddit", F.size("tags").cast("bigint").alias("seq_len"),
-                    F.get("values", 0).alias("first_value"),
-                    F.get("tags", F.size("tags") - 1).alias("last_tag"), "error")
+                    *[F.array_join(c, "|").alias(c) for c in ("values", "tags", "ents")], "error")
 
 
 # ----------------------------------------------------------------- C
@@ -230,7 +227,7 @@ def q_value_count_sorted(spark, sf_dir):
 
 @query("org_counts")
 def q_org_counts(spark, sf_dir):
-    return O.org_counts(tagged(spark, sf_dir))
+    return O.org_counts(tagged(spark, sf_dir, stage=False))
 
 
 @query("adj_noun_union")
@@ -240,7 +237,7 @@ def q_adj_noun_union(spark, sf_dir):
 
 @query("adj_counts")
 def q_adj_counts(spark, sf_dir):
-    return O.adj_counts(O.adj_pairs(tagged(spark, sf_dir)))
+    return O.adj_counts(O.adj_pairs(tagged(spark, sf_dir, stage=False)))
 
 
 @query("org_adj_join")
@@ -276,29 +273,27 @@ def sentence_table(spark, sf_dir, t: DataFrame | None = None) -> DataFrame:
     """word_to_vec stage input: /orgsSentences lines read back (stage boundary)."""
     s = O.org_sentences(t if t is not None else tagged(spark, sf_dir))
     lines = s.select("id", F.to_json(F.struct("subreddit", "sentence")).alias("value"))
-    # one folder per community; a hot community is split over several tasks
-    return materialize_by(O.sentence_tokens(lines), "subreddit", name="sentences")
+    return O.sentence_tokens(lines)
 
 
 def wc_orgs(spark, sf_dir, t: DataFrame | None = None) -> DataFrame:
     """(subreddit, org, count) of the word_count stage, columnar: the /orgs
     rows without their adjective lists (one row per organization count)."""
-    t = t if t is not None else tagged(spark, sf_dir)
-    return materialize(O.org_counts(t).select("subreddit", "org", "count"), "orgs")
+    t = t if t is not None else tagged(spark, sf_dir, stage=False)
+    return O.org_counts(t).select("subreddit", "org", "count")
 
 
 def wc_sentences(spark, sf_dir, t: DataFrame | None = None, stage: bool = True) -> DataFrame:
-    """(id, subreddit, text) of the word_count stage, columnar; staged with
-    one folder per community (a hot community is split over several tasks)."""
-    t = t if t is not None else tagged(spark, sf_dir)
+    """(id, subreddit, text) of the word_count stage, columnar."""
+    t = t if t is not None else tagged(spark, sf_dir, stage=False)
     s = O.org_sentences(t).select("id", "subreddit", lower_split("sentence").alias("text"))
-    return materialize_by(s, "subreddit", name="sentences") if stage else s
+    return materialize(s, "sentences") if stage else s
 
 
 def word_count_tables(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Both word_count outputs from one annotation of the corpus."""
     t = tagged(spark, sf_dir)
-    return wc_orgs(spark, sf_dir, t), wc_sentences(spark, sf_dir, t)
+    return materialize(wc_orgs(spark, sf_dir, t), "orgs"), wc_sentences(spark, sf_dir, t, stage=False)
 
 
 @query("orgs_readback")
@@ -365,7 +360,19 @@ def q_w2v_vocab(spark, sf_dir):
 def q_w2v_doc_vectors(spark, sf_dir):
     s = wc_sentences(spark, sf_dir)
     model = E.fit(s, QUERY_PROFILE)
-    return E.doc_vectors(model, s).select("id", "subreddit", F.size("result").alias("dims"))
+    docs = materialize(E.doc_vectors(model, s), "doc-vectors")
+    # the definition, by joins: the mean of the vectors of a sentence's words
+    words = docs.select("id", F.size("text").alias("n"), F.explode("text").alias("word"))
+    parts = (words.join(E.word_vectors(model, spark), "word").select("id", "n", F.posexplode("vec").alias("at", "x"))
+             .groupBy("id", "at").agg((F.sum("x") / F.first("n")).alias("x"))
+             .groupBy("id").agg(F.sort_array(F.collect_list(F.struct("at", "x"))).alias("mean")))
+    known = (words.join(E.vocabulary_counts(s, QUERY_PROFILE.min_word_count).select("word"), "word", "left_semi")
+             .groupBy("id").agg(F.count(F.lit(1)).alias("known")))
+    mean = F.coalesce(F.transform("mean", lambda p: p["x"]), F.transform("result", lambda _: F.lit(0.0)))
+    off = F.aggregate(F.zip_with("result", mean, lambda a, b: F.abs(a - b)), F.lit(0.0), lambda a, b: F.greatest(a, b))
+    return docs.join(known, "id", "left").join(parts, "id", "left").select(
+        "id", "subreddit", F.size("result").alias("dims"), F.coalesce("known", F.lit(0)).alias("known_words"),
+        (off < 1e-5).alias("is_mean"))
 
 
 @query("similar_topk")
@@ -386,17 +393,21 @@ def q_mutual_nearest(spark, sf_dir):
 
 @query("w2v_oov")
 def q_w2v_oov(spark, sf_dir):
-    orgs, sents = word_count_tables(spark, sf_dir)
-    totals = O.org_totals(orgs, QUERY_PROFILE.min_org_count)
-    vocab = E.word_vectors(E.fit(sents, QUERY_PROFILE), spark).select(
-        F.col("word").alias("qword"), F.lit(True).alias("in_vocab"))
-    return (totals.withColumn("qword", vocab_word("org")).join(vocab, "qword", "left")
-            .select("org", "count", "qword", F.coalesce("in_vocab", F.lit(False)).alias("in_vocab")))
+    # an organization outside the vocabulary is one whose list is empty
+    return synonyms_all(spark, sf_dir).select(
+        "org", "count", vocab_word("org").alias("qword"), (F.size("synonyms") > 0).alias("in_vocab"))
 
 
 def _flat_synonyms(df: DataFrame) -> DataFrame:
+    """Training differs from run to run, so the words are not compared; what
+    holds for any vectors is: the number of synonyms, their order, that they are
+    different words and none the organization's own."""
+    sims = F.transform("synonyms", lambda s: s["similarity"])
+    names = F.transform("synonyms", lambda s: s["word"])
     return df.select("subreddit", "org", "count", F.size("synonyms").alias("n_synonyms"),
-                     F.array_join(F.transform("synonyms", lambda s: s["word"]), "|").alias("synonyms"))
+                     (F.reverse(F.array_sort(sims)) == sims).alias("descending"),
+                     ((F.size(F.array_distinct(names)) == F.size(names))
+                      & ~F.array_contains(names, vocab_word("org"))).alias("other_words"))
 
 
 def synonyms_all(spark, sf_dir, tables_=None) -> DataFrame:
@@ -406,8 +417,11 @@ def synonyms_all(spark, sf_dir, tables_=None) -> DataFrame:
 
 def synonyms_by_group(spark, sf_dir, tables_=None) -> DataFrame:
     orgs, sents = tables_ or word_count_tables(spark, sf_dir)
-    groups = O.groups_over_threshold(sents, QUERY_PROFILE.min_group_comments)
-    return E.synonyms_by_group(sents, orgs, groups, QUERY_PROFILE)
+    groups = materialize(O.groups_over_threshold(sents, QUERY_PROFILE.min_group_comments), "groups")
+    # only qualifying communities are staged, each where its fit finds it
+    return E.synonyms_by_group(materialize_by(O.group_sentences(sents, groups), "subreddit", "group-sentences"),
+                               materialize_by(O.orgs_over_threshold(orgs, groups, QUERY_PROFILE.min_org_count),
+                                              "subreddit", "group-orgs"), groups, QUERY_PROFILE)
 
 
 @query("w2v_synonyms_all")
@@ -428,7 +442,9 @@ def flat_items(c: str, name: str = "adjective") -> F.Column:
 
 @query("adjective_report")
 def q_adjective_report(spark, sf_dir):
-    r = R.adjective_report(profile(spark, sf_dir, sort=False), REPORT_MIN_COUNT)
+    t = tagged(spark, sf_dir)
+    adjs = R.report_adjs(O.adj_counts(O.adj_pairs(t)))
+    r = R.adjective_report(O.org_profile(O.org_adj_join(O.org_counts(t), adjs), sort=False), REPORT_MIN_COUNT)
     return r.select("id", "data.noun", "data.subreddit", "data.count",
                     flat_items("data.directAdjectives").alias("directAdjectives"),
                     flat_items("data.connectedAdjectives").alias("connectedAdjectives"))
@@ -439,5 +455,29 @@ def q_synonym_report(spark, sf_dir):
     t = word_count_tables(spark, sf_dir)
     both = synonyms_by_group(spark, sf_dir, t).unionByName(synonyms_all(spark, sf_dir, t))
     r = R.synonym_report(both)
-    return r.select("id", "data.org", "data.subreddit", "data.count",
-                    F.size("data.synonyms").alias("n_synonyms"))
+    return r.select("id", "data.org", "data.subreddit", "data.count", F.size("data.synonyms").alias("n_synonyms"),
+                    F.forall("data.synonyms", lambda x: F.round(x["similarity"], 4) == x["similarity"]).alias("rounded"))
+
+
+@query("synonyms_of_vectors")
+def q_synonyms_of_vectors(spark, sf_dir):
+    """F8 and G5 over given vectors, so that words and similarities have an
+    exact answer. A vector's id is its word; every seventh is asked for, and
+    words that do not exist with them."""
+    v = tables.table(spark, sf_dir, "embeddings")
+    vecs = v.select(F.concat(F.lit("v_"), F.col("vec_id").cast("string")).alias("word"),
+                    F.col("embedding").cast("array<double>").alias("vec"))
+    orgs = v.filter(F.col("vec_id") % 7 == 0).select(
+        F.when(F.col("vec_id") % 3 == 0, F.concat(F.lit("None "), F.col("vec_id").cast("string")))
+        .otherwise(F.concat(F.lit("V "), F.col("vec_id").cast("string"))).alias("org"),
+        F.col("label").cast("bigint").alias("count"))
+    r = R.synonym_report(E.synonyms_of(vecs, orgs, "all", TOPK))
+    return r.select("id", "data.org", "data.subreddit", "data.count", F.array_join(F.transform(
+        "data.synonyms", lambda x: F.concat(x["word"], F.lit("="), F.format_string("%.4f", x["similarity"]))), "|").alias("synonyms"))
+
+
+@query("annotate_phrases")
+def q_annotate_phrases(spark, sf_dir):
+    """C4 with two gazetteers in priority order, one of phrases."""
+    a = annotate(tables.comments(spark, sf_dir).transform(spread), "body", PHRASE_LEXICON)
+    return annotation_strings(a).select("id", "ents")

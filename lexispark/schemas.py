@@ -1,36 +1,14 @@
-"""Declared schemas of every dataset the pipeline reads or writes."""
+"""Declared schemas of the datasets that jobs read back from files."""
 
 from pyspark.sql import types as T
 
-S, L, B, D, I = T.StringType(), T.LongType(), T.BooleanType(), T.DoubleType(), T.IntegerType()
+S, L, D = T.StringType(), T.LongType(), T.DoubleType()
 
 
 def _struct(*fields):
     return T.StructType([T.StructField(n, t, True) for n, t in fields])
 
 
-# One comment of the input corpus (JSON lines).
-COMMENT = _struct(
-    ("archived", B), ("author", S), ("author_flair_css_class", S), ("author_flair_text", S),
-    ("body", S), ("controversiality", I), ("created_utc", S), ("distinguished", S),
-    ("downs", I), ("edited", B), ("gilded", I), ("id", S), ("link_id", S), ("name", S),
-    ("parent_id", S), ("retrieved_on", L), ("score", I), ("score_hidden", B),
-    ("subreddit", S), ("subreddit_id", S), ("ups", I),
-)
-
-# Extracted bodies, or an error message for a line that failed.
-BODY = _struct(("body", S), ("error", S))
-
-# Annotation columns appended to a comment.
-ANNOTATION_FIELDS = ("tokens", "lemmas", "tags", "ents")
-
-# T4: one element of a comment's tagged sequence.
-TAG_VALUE = _struct(("tag", S), ("value", S), ("rawValue", S), ("ent", S))
-TAG_SEQUENCE = _struct(("subreddit", S), ("seq", T.ArrayType(TAG_VALUE)))
-
-# T5: adjective / noun pair.
-ADJ_NOUN = _struct(("is_direct", B), ("noun", S), ("adj", S))
-
 ADJ_COUNT = _struct(("adj", S), ("count", L))
 
 # Organization profile (/orgs).
@@ -39,30 +17,7 @@ ORG_PROFILE = _struct(
     ("directAdj", T.ArrayType(ADJ_COUNT)), ("connectedAdj", T.ArrayType(ADJ_COUNT)),
 )
 
-# Sentence of a comment that mentions an organization (/orgsSentences).
-ORG_SENTENCE = _struct(("subreddit", S), ("sentence", S))
-
-# Comments per community (/subreddits).
-GROUP_COUNT = _struct(("subreddit", S), ("commentsNum", L))
-
-# Embedding input.
-TEXT = _struct(("text", T.ArrayType(S)))
-
 SYNONYM = _struct(("word", S), ("similarity", D))
 
 # Synonyms of one organization (/all, /orgSynonyms/<community>).
 SYNONYMS = _struct(("subreddit", S), ("org", S), ("count", L), ("synonyms", T.ArrayType(SYNONYM)))
-
-ADJECTIVE = _struct(("adjective", S), ("count", L))
-
-# T14 / T15 items: report rows.
-ADJECTIVE_REPORT = _struct(
-    ("id", L),
-    ("data", _struct(("noun", S), ("subreddit", S), ("count", L),
-                     ("directAdjectives", T.ArrayType(ADJECTIVE)),
-                     ("connectedAdjectives", T.ArrayType(ADJECTIVE)))),
-)
-SYNONYM_REPORT = _struct(
-    ("id", L),
-    ("data", _struct(("org", S), ("subreddit", S), ("count", L), ("synonyms", T.ArrayType(SYNONYM)))),
-)

@@ -40,7 +40,8 @@ def guarded_write(write, path: str, on_error: str = "raise") -> bool:
         return False
 
 
-def write_report(items: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_report(items: DataFrame, path: str, mode: str = "overwrite", partitions: int | None = None) -> None:
     """Report items (id, data) as JSON lines in id order; files follow
     the id ranges, no single-task collect."""
-    items.repartitionByRange("id").sortWithinPartitions("id").write.mode(mode).json(path)
+    ranged = items.repartitionByRange(partitions, "id") if partitions else items.repartitionByRange("id")
+    ranged.sortWithinPartitions("id").write.mode(mode).json(path)

@@ -1,8 +1,7 @@
 """The given parquet tables, and the comment-corpus view over them.
 
 ``documents`` stands in for the comment corpus: ``source`` -> subreddit,
-``text`` -> body, ``doc_id`` -> id. ``conversations`` is a second comment-like
-corpus grouped by ``role``.
+``text`` -> body, ``doc_id`` -> id.
 """
 
 from __future__ import annotations
@@ -27,13 +26,6 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").alias("id"), F.col("source").alias("subreddit"), F.col("text").alias("body"))
 
 
-def conversation_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Second corpus: every turn is a comment, grouped by role."""
-    return table(spark, sf_dir, "conversations").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("id"),
-        F.col("role").alias("subreddit"), F.col("text").alias("body"))
-
-
 def comment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus as JSON text lines (``value``), as the jobs read it."""
     return comments(spark, sf_dir).select(

@@ -1,5 +1,6 @@
 from lexispark.operators.annotate import TEST_LEXICON, Lexicon, annotate, annotation_strings
 
+# The golden sentence and its annotation.
 SENTENCE = "The large and very purple sports car is somewhat red and also not green. The plump singing duck was hungry."
 
 # Fixture lexicon holding the words of the golden sentence.
@@ -69,3 +70,70 @@ def test_golden_annotation_arrow(spark):
     assert r[0]["tags"] == "DT JJ CC RB JJ NNS NN VBZ RB JJ CC RB RB JJ . DT JJ NN NN VBD JJ ."
     assert r[0]["lemmas"].startswith("the large and very purple sport car be")
     assert r[1]["tokens"] is None and r[2]["tokens"] == ""
+
+
+def both(spark, lex, *texts):
+    """Annotations by the two evaluations of the rule table, which must agree."""
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, body string")
+    cols = ["id", "tokens", "tags", "lemmas", "ents"]
+    a, b = (sorted(annotate(df, "body", lex, backend=k).select(cols).collect()) for k in ("arrow", "expr"))
+    assert a == b
+    return a
+
+
+def test_clitics_decimals_and_abbreviations(spark):
+    lex = Lexicon(words={"car": ("NN", "car"), "'s": ("VBZ", "be"), "red": ("JJ", "red"), "n't": ("RB", "not"), "do": ("VB", "do")})
+    a, b, c = both(spark, lex, "The car's red.", "I DON'T, don't", "Alpha Corp. has 3.5 of 1.2.3, Corporal. O'Neil 's")
+    assert a["tokens"] == ["The", "car", "'s", "red", "."] and a["lemmas"][2] == "be"
+    assert b["tokens"] == ["I", "DO", "N'T", ",", "do", "n't"] and b["lemmas"][-1] == "not"
+    assert c["tokens"] == ["Alpha", "Corp.", "has", "3.5", "of", "1.2.3", ",", "Corporal", ".", "O", "'", "Neil", "'s"]
+    assert c["tags"][3] == c["tags"][5] == "CD"
+
+
+def test_phrases_and_priority_of_gazetteers(spark):
+    lex = Lexicon(words={}, gazetteers=(("PLACE", ("New York", "york minster")), ("ORGANIZATION", ("Alpha Corp.", "York", "new york times"))))
+    a, b, c, d = both(spark, lex, "The NEW York Times of York", "Alpha Corp. and Alpha, new", "York", "")
+    assert a["ents"] == ["O", "PLACE", "PLACE", "ORGANIZATION", "O", "ORGANIZATION"]
+    assert b["ents"] == ["ORGANIZATION", "ORGANIZATION", "O", "O", "O", "O"]
+    assert c["ents"] == ["ORGANIZATION"] and d["ents"] == []
+
+
+def test_suffix_lemmas(spark):
+    lex = Lexicon(words={"news": ("NN", "news"), "was": ("VBD", "be")}, suffix_rules=(("s", "NN"),), proper_tag="NNP",
+                  lemma_suffixes=(("ies", "y"), ("s", "")))
+    (a,) = both(spark, lex, "Cities cars ponies news was Was")
+    assert a["lemmas"] == ["Cities", "car", "pony", "news", "be", "be"]
+
+
+def test_a_large_lexicon_annotates(spark):
+    from lexispark.operators.annotate import annotate_with_table
+    words = {f"word{i}": ("JJ" if i % 2 else "NN", f"lemma{i % 1000}") for i in range(50_000)}
+    lex = Lexicon(words=words, default_tag="FW", gazetteers=(("ORGANIZATION", ("word7 word8",)),))
+    texts = ["word1 Word49998 other .", "word7 word8 " + "word1 " * 5000, None, ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, body string")
+    cols = ["id", "tokens", "tags", "lemmas", "ents"]
+    a = sorted(annotate(df, "body", lex).select(cols).collect())
+    assert a[0]["tags"] == ["JJ", "NN", "FW", "."] and a[0]["lemmas"][:2] == ["lemma1", "lemma998"]
+    assert a[1]["ents"][:3] == ["ORGANIZATION", "ORGANIZATION", "O"]
+    table = spark.createDataFrame([(w, t, m) for w, (t, m) in words.items()], "word string, tag string, lemma string")
+    rules = Lexicon(words={}, default_tag="FW", gazetteers=lex.gazetteers)
+    assert sorted(annotate_with_table(df, "body", table, rules).select(cols).collect()) == a
+
+
+def test_lexicon_from_files_through_the_job(spark, tmpdir_path):
+    import json
+    import os
+
+    from lexispark.plans import jobs
+    words = "\n".join(f"{w}\t{t}\t{m}" for w, (t, m) in GOLDEN.words.items()) + "\n-xyz\tVB\n"
+    for name, text in (("words.tsv", words), ("orgs.txt", "sports car\nduck\n"), ("in.json", json.dumps({"body": SENTENCE}))):
+        with open(os.path.join(tmpdir_path, name), "w") as f:
+            f.write(text)
+    at = lambda n: os.path.join(tmpdir_path, n)
+    jobs.main(["nlp", "--input", at("in.json"), "--output", at("out"), "--lexicon", at("words.tsv"),
+               "--gazetteer", f"ORGANIZATION={at('orgs.txt')}"])
+    out = json.loads(spark.read.text(at("out")).first()[0])
+    assert out["tags"] == "DT JJ CC RB JJ NNS NN VBZ RB JJ CC RB RB JJ . DT JJ NN NN VBD JJ ."
+    assert out["lemmas"].startswith("the large and very purple sport car be") and out["ents"].count("ORGANIZATION") == 3
+    jobs.main(["nlp", "--input", at("in.json"), "--output", at("tagged"), "--tagger", "lexispark.plans.demo:make_tagger"])
+    assert json.loads(spark.read.text(at("tagged")).first()[0])["tags"].split() == ["NN"] * 20

@@ -65,3 +65,46 @@ def test_annotated_lines_error_rows(spark):
     assert t[2]["error"] is None and t[2]["tags"] == ["NN", "VBZ", "JJ", "."]
     pairs = O.adj_pairs(O.tagged_from_annotated(lines)).collect()
     assert [(p["noun"], p["adj"]) for p in pairs] == [("car", "red")]
+
+
+def test_readback_goldens_and_large_counts(spark):
+    lines = spark.createDataFrame([('{"noun":"Camero","subreddit":"cars","numNoun":2}',),
+                                   ('{"noun":"Big","subreddit":"cars","numNoun":3000000000}',)], "value string")
+    assert [tuple(r) for r in O.orgs_readback(lines).collect()] == [("cars", "Camero", 2), ("cars", "Big", 3_000_000_000)]
+    lines = spark.createDataFrame([('{"sentence":"the sport car be red .","subreddit":"cars"}',)], "value string")
+    (r,) = O.sentence_tokens(lines).collect()
+    assert (r["subreddit"], r["text"]) == ("cars", ["the", "sport", "car", "be", "red", "."])
+
+
+def test_compact_has_what_the_branches_read(spark):
+    rows = [(1, "cars", seq("JJ/big NN/Acme/G ./. NN/acme/G VBZ/be JJ/fast ./.")), (2, "", seq("DT/the ./.")), (3, None, seq("NN/z/G ./."))]
+    t = tagged(spark, rows)
+    c = O.compact(t)
+    same = lambda a, b: sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    assert same(O.mentions(c), O.mentions(t)) and same(O.adj_pairs(c), O.adj_pairs(t)) and same(O.org_sentences(c), O.org_sentences(t))
+    assert same(O.profile_from_tagged(c), O.profile_from_tagged(t))
+
+
+def test_top_adjectives_before_the_list(spark):
+    rows = [(i, "c", seq(f"JJ/a{i % 15} NN/acme/G ./.")) for i in range(120)] + [(500, "c", seq("JJ/a3 NN/acme/G ./."))]
+    (r,) = O.profile_from_tagged(tagged(spark, rows), top=10).collect()
+    (full,) = O.profile_from_tagged(tagged(spark, rows)).collect()
+    assert len(full["directAdj"]) == 15 and r["directAdj"] == full["directAdj"][:10] and r["directAdj"][0]["adj"] == "a3"
+
+
+def test_semi_join_by_name_or_by_shuffle(spark, monkeypatch):
+    rows = spark.createDataFrame([("a", 1), ("", 2), (None, 3), ("b", 4)], "subreddit string, count long")
+    groups = spark.createDataFrame([("a",), ("",), (None,)], "subreddit string")
+    for few in (O.FEW_GROUPS, 0):
+        monkeypatch.setattr(O, "FEW_GROUPS", few)
+        assert sorted(r["count"] for r in O.group_sentences(rows, groups).collect()) == [1, 2, 3]
+
+
+def test_raw_values_and_strict_lines(spark):
+    import pytest
+    good = '{"subreddit":"s","tokens":"Cars are","tags":"NNS VBP","lemmas":"car be","ents":"O O"}'
+    lines = spark.createDataFrame([(good,)], "value string")
+    assert O.tagged_from_annotated(lines).first()["raws"] == ["car", "be"]
+    assert O.tagged_from_annotated(lines, raw_from="tokens").first()["raws"] == ["Cars", "are"]
+    with pytest.raises(Exception, match="malformed annotated line"):
+        O.tagged_from_annotated(spark.createDataFrame([("{bad",)], "value string"), strict=True).collect()

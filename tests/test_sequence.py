@@ -9,6 +9,7 @@ from lexispark.functions.tags import encode_ents, encode_tags
 from lexispark.operators.sequence import (combine_orgs, connected_pairs, direct_pairs, merged_values,
                                           org_mentions)
 
+# The golden sentences, tags and entities of the operators.
 GOLD_TAGS = "DT JJ CC RB JJ NNS NN VBZ RB JJ CC RB RB JJ . DT JJ NN NN VBD JJ .".split(" ")
 D1_TOKENS = "the large and very purple sports car be somewhat red and also not green . the plump singing duck was hungry .".split(" ")
 D2_TOKENS = "the large and very purple sports car be somewhat red and also not green . the plump singing duck be hungry .".split(" ")
@@ -29,8 +30,8 @@ def pairs_of(row_pairs):
 
 def run_all(spark, seqs, skip_articles=False, flush_tail=False):
     df = frame(spark, seqs).select(
-        direct_pairs("enc", flush_tail).alias("d"), connected_pairs("enc", skip_articles).alias("c"),
-        org_mentions("enc_ents").alias("m"), merged_values("vals", "ents").alias("s"),
+        direct_pairs("enc", flush_tail).alias("d"), connected_pairs("enc", skip_articles, flush_tail).alias("c"),
+        org_mentions("enc_ents", flush_tail).alias("m"), merged_values("vals", "ents").alias("s"),
         combine_orgs("tags", "vals", "vals", "ents").alias("k"), F.monotonically_increasing_id().alias("i"))
     return [r for r in df.orderBy("i").collect()]
 
@@ -106,12 +107,12 @@ def random_seqs(rng, n, max_len=14):
 
 
 def check(spark, seqs):
-    for skip in (False, True):
-        rows = run_all(spark, seqs, skip_articles=skip)
+    for skip, flush in ((False, False), (True, False), (True, True)):
+        rows = run_all(spark, seqs, skip_articles=skip, flush_tail=flush)
         for s, r in zip(seqs, rows):
-            assert pairs_of(r["d"]) == model.direct_pairs(s), s
-            assert pairs_of(r["c"]) == model.connected_pairs(s, skip), (s, skip)
-            assert r["m"] == model.org_mentions(s), s
+            assert pairs_of(r["d"]) == model.direct_pairs(s, flush), s
+            assert pairs_of(r["c"]) == model.connected_pairs(s, skip, flush), (s, skip)
+            assert r["m"] == model.org_mentions(s, flush), s
             merged = model.combine_orgs(s)
             assert [(x["tag"], x["value"], x["ent"]) for x in r["k"]] == merged, s
             assert r["s"] == " ".join(v for _, v, _ in merged), s
@@ -146,3 +147,24 @@ def test_long_runs_are_linear(spark):
         assert pairs_of(r["d"]) == model.direct_pairs(s)
         assert pairs_of(r["c"]) == model.connected_pairs(s)
         assert r["m"] == model.org_mentions(s)
+
+
+def test_long_terminated_runs_match_too(spark):
+    """A run that is followed by what its pattern ends with is matched, not
+    filtered out; matching must not recurse over its tokens."""
+    n, dot = 20000, (".", ".", "O")
+    be, adj, noun, adv = ("VBZ", "be", "O"), ("JJ", "j", "O"), ("NN", "n", "ORGANIZATION"), ("RB", "r", "O")
+    seqs = [[adj] + [noun] * n + [dot], [noun, be] + [adj] * n + [dot], [noun] * n + [be, adj, dot], [adv] * n + [adj, noun, dot],
+            [noun, be] + [adv] * n + [adj, dot], [noun] * n + [dot], [adj, noun] * (n // 2) + [dot], [noun, be] * (n // 2) + [dot]]
+    for flush in (False, True):
+        for s, r in zip(seqs, run_all(spark, seqs, flush_tail=flush)):
+            assert pairs_of(r["d"]) == model.direct_pairs(s, flush)
+            assert pairs_of(r["c"]) == model.connected_pairs(s, flush_tail=flush)
+            assert r["m"] == model.org_mentions(s, flush)
+
+
+def test_empty_words_of_organizations(spark):
+    for values, expected in ((["", "a"], ["a"]), (["", ""], []), (["a", "", "b"], ["a  b"])):
+        seq = [("NN", v, "ORGANIZATION") for v in values] + [(".", ".", "O")]
+        (r,) = run_all(spark, [seq])
+        assert r["m"] == expected == model.org_mentions(seq)

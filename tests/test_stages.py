@@ -1,8 +1,8 @@
-import os
+import glob
 
 from pyspark.sql import functions as F
 
-from lexispark.plans.stages import materialize, materialize_by
+from lexispark.plans.stages import FOLDER, materialize, materialize_by, of_value, remove_stages
 
 
 def test_materialize_roundtrip(spark):
@@ -11,21 +11,28 @@ def test_materialize_roundtrip(spark):
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, df.collect()))
 
 
-def test_materialize_by_spreads_hot_key_and_keeps_types(spark):
-    hot = spark.range(2000).select(F.col("id"), F.lit("123").alias("subreddit"))
-    cold = spark.range(2000, 2010).select(F.col("id"), F.lit("cold").alias("subreddit"))
-    df = hot.unionByName(cold)
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "2k")            # tiny advisory size: makes the split visible on test data
+def test_clustered_stage_spreads_a_hot_value_and_keeps_odd_ones(spark):
+    hot = spark.range(20000).select(F.col("id"), F.lit("123").alias("subreddit"))
+    odd = spark.createDataFrame([(30000, ""), (30001, None), (30002, "a/b=c%"), (30003, " ")], "id long, subreddit string")
+    df = hot.unionByName(odd)
+    keys = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k"}      # makes the split visible on test data
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
     try:
         out = materialize_by(df.repartition(4), "subreddit")
     finally:
-        spark.conf.set(key, old)
-    assert dict(out.dtypes)["subreddit"] == "string"          # no type inference from folder names
-    assert out.columns == ["id", "subreddit"]
-    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, df.collect()))
-    path = out.inputFiles()[0].split("subreddit=")[0].replace("file:", "")
-    hot_files = [f for f in os.listdir(os.path.join(path, "subreddit=123")) if f.endswith(".parquet")]
-    assert len(hot_files) > 1                                  # the hot value is written by several tasks
-    assert out.filter(F.col("subreddit") == "cold").count() == 10
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sorted(map(tuple, out.drop(FOLDER).collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+    for value, n in (("123", 20000), ("", 1), (None, 1), ("a/b=c%", 1), (" ", 1), ("none", 0)):
+        got = of_value(out, "subreddit", value)
+        assert got.columns == ["id", "subreddit"] and got.count() == n
+    path = of_value(out, "subreddit", "123").inputFiles()[0].rsplit("/", 1)[0].replace("file:", "")
+    assert len(glob.glob(f"{path}/*.parquet")) > 1                        # the hot value is written by several tasks
+
+
+def test_stages_are_removed(spark):
+    out = materialize(spark.range(3))
+    path = out.inputFiles()[0].rsplit("/", 1)[0].replace("file:", "")
+    assert glob.glob(path) and remove_stages(spark) >= 1 and not glob.glob(path)
