@@ -45,7 +45,7 @@ from .decontam import LOWER
 WORD = byte_table(bytes(b for b in range(256) if b not in b" \t\n\x0b\x0c\r"))
 #: The end token; no word's hash by more than chance.
 END = np.uint64(0x5EED0F7E9D70CE11)
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 8 << 20
 #: Distinct words or pairs that a bucket's task adds up.
 BUCKET_ENTRIES = 400_000
 FREQUENCY_BUCKETS = 40
@@ -130,6 +130,29 @@ class Block:
                 (2, grams_pair(self.vocab[left], self.vocab[right]), np.bincount(self.pair, minlength=len(self.pairs)))]
 
 
+#: Bytes of a hash that are sent. A bucket has other bits in common, and holds
+#: few enough pairs for six bytes; words are sent whole.
+SENT = {1: 8, 2: 6}
+
+
+def _bucket(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order of hashes by bucket, and where each bucket begins."""
+    bucket = ((hashes >> np.uint64(32)) % np.uint64(buckets)).astype(np.uint32)
+    order = np.argsort(bucket, kind="stable")
+    return order, np.searchsorted(bucket[order], np.arange(buckets + 1))
+
+
+def _short(hashes: np.ndarray, width: int) -> bytes:
+    return np.ascontiguousarray(hashes.astype("<u8").view("u1").reshape(-1, 8)[:, :width]).tobytes()
+
+
+def _long(data: bytes, width: int) -> np.ndarray:
+    raw = np.frombuffer(data, "u1").reshape(-1, width)
+    out = np.zeros((len(raw), 8), "u1")
+    out[:, :width] = raw
+    return out.view("<u8").ravel()
+
+
 def _rows(batches):
     for b in batches:
         for k in range(b.num_rows):
@@ -146,17 +169,15 @@ def _ask(buckets: dict[int, int]):
         for row in _rows(batches):
             block = Block(row)
             for n, hashes, counts in block.asked():
-                bucket = (hashes >> np.uint64(40)) % np.uint64(buckets[n])
-                order = np.argsort(bucket, kind="stable")
-                cuts = np.searchsorted(bucket[order], np.arange(buckets[n] + 1))
+                order, cuts = _bucket(hashes, buckets[n])
                 train = counts if block.kind != SCORED else np.zeros_like(counts)
                 full = [k for k in range(buckets[n]) if cuts[k + 1] > cuts[k]]
                 own = [order[cuts[k]:cuts[k + 1]] for k in full]
                 yield pa.RecordBatch.from_pydict({
                     "block": pa.array([block.name] * len(full)), "kind": pa.array([block.kind] * len(full), pa.int32()),
                     "n": pa.array([n] * len(full), pa.int32()), "bucket": pa.array(full, pa.int32()),
-                    "hashes": pa.array([hashes[o].astype("<u8").tobytes() for o in own], pa.binary()),
-                    "counts": pa.array([train[o].astype("<u4").tobytes() for o in own], pa.binary())})
+                    "hashes": pa.array([_short(hashes[o], SENT[n]) for o in own], pa.binary()),
+                    "counts": pa.array([_small(train[o]) for o in own], pa.binary())})
     return run
 
 
@@ -167,8 +188,8 @@ def _add(key, rows):
     """One bucket: its counts added up, and the answers. The bucket's distinct
     words with a training count are reported once, with its first block."""
     kinds, names = rows.column("kind").to_numpy(), rows.column("block").to_pylist()
-    hashes = [np.frombuffer(x, "<u8") for x in rows.column("hashes").to_pylist()]
-    counts = [np.frombuffer(x, "<u4") for x in rows.column("counts").to_pylist()]
+    hashes = [_long(x, SENT[key[0].as_py()]) for x in rows.column("hashes").to_pylist()]
+    counts = [_wide(x) for x in rows.column("counts").to_pylist()]
     found, where = np.unique(np.concatenate(hashes), return_inverse=True)
     sizes = np.array([len(h) for h in hashes])
     part = np.repeat(kinds, sizes)
@@ -206,9 +227,7 @@ def _answered(block: Block, answers: list[dict], field: str, buckets: dict[int,
     out = []
     for n, hashes, _ in block.asked():
         counts = np.zeros(len(hashes), np.int64)
-        bucket = (hashes >> np.uint64(40)) % np.uint64(buckets[n])
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.searchsorted(bucket[order], np.arange(buckets[n] + 1))
+        order, cuts = _bucket(hashes, buckets[n])
         for k in range(buckets[n]):
             if cuts[k + 1] > cuts[k]:
                 counts[order[cuts[k]:cuts[k + 1]]] = _wide(got[n, k])
@@ -232,6 +251,8 @@ def estimates(block: Block, word: np.ndarray, pair: np.ndarray, total: int):
 
 
 def mixture(weights: np.ndarray, bucket: np.ndarray, two: np.ndarray, one: np.ndarray, vocabulary: int) -> np.ndarray:
+    if not len(weights):                                # nothing to learn from
+        return np.full(len(bucket), 1 / (vocabulary + 1))
     w = weights[bucket]
     return w[:, 2] * two + w[:, 1] * one + w[:, 0] / (vocabulary + 1)
 
@@ -323,7 +344,7 @@ def score(docs: DataFrame, train: Column, deleted: Column, id_col: str = "doc_id
     theirs = answers.filter(F.octet_length("estimate") > 0).select("block", "n", "bucket", "estimate")
     evidence = stage(gone.groupBy("block").cogroup(theirs.groupBy("block")).applyInArrow(
         _with_answers(weigh), "bucket binary, two binary, one binary, n binary"), "lm-evidence")
-    weights = learn(evidence, est_vocabulary)
+    weights = learn(evidence, est_vocabulary) if total else np.zeros((0, 3))
 
     def mark(block, got):
         if block is None:
