@@ -22,9 +22,9 @@ links join, and its id the least doc id.
    pairs grow with the members, not their square. The exact weighted Jaccard is
    computed from the texts' shingles; a leader's comparisons are spread over
    tasks of ``SPREAD`` members. Members that are not like the leader meet again,
-   with the other members but without it, in meetings split by one more sample
-   each time, until none is left; pairs of members already linked to one
-   leader are skipped.
+   with the other members but without it, in meetings split by one more band's
+   samples each time and with ``LEADERS`` leaders, until none is left; pairs of
+   members already linked to a leader are skipped.
 4. Classes by least labels with pointer jumping, over linked texts only; every
    round is written to the shared folder.
 
@@ -49,6 +49,8 @@ BLOCK_BYTES, BLOCK_DOCS = 8 << 20, 1 << 18
 BUCKET_ENTRIES = 400_000
 #: Members that one task compares with a leader before the next task shares in.
 SPREAD = 256
+#: Leaders of a meeting after the first turn.
+LEADERS = 3
 TABLE = 1 << 16
 
 
@@ -320,27 +322,30 @@ def links(texts: DataFrame, vectors_of, threshold: float) -> DataFrame:
         "id", "b.band", "b.meeting", F.lit(False).alias("passed"))
     rows = stage(_led(rows, 0), "meetings")
     vectors = vectors_of(rows.select("id").distinct())
-    signs = texts.select("id", "sample")
     found, turn = [], 0
     while True:
-        pairs = (rows.filter((F.col("id") != F.col("leader")) & ~(F.col("passed") & F.col("leader_passed")))
-                 .groupBy("leader", F.col("id").alias("member"))
+        led = rows.select("id", "meeting", "size", "passed", F.explode("leaders").alias("l"))
+        pairs = (led.filter((F.col("id") != F.col("l.leader")) & ~(F.col("passed") & F.col("l.passed")))
+                 .groupBy(F.col("l.leader").alias("leader"), F.col("id").alias("member"))
                  .agg((1 + F.floor(F.max("size") / SPREAD)).cast("long").alias("spreads")))
         compared = stage(compare(pairs, vectors, threshold), "compared")
-        found.append(compared.filter("linked").select(F.least("leader", "member").alias("a"), F.greatest("leader", "member").alias("b")))
-        # who is left, with the members that could still be like them
-        left = (rows.filter(F.col("id") != F.col("leader")).join(
-            compared.select("leader", F.col("member").alias("id"), "linked"), ["leader", "id"], "left")
-            .select("id", "band", "meeting", (F.col("passed") | F.coalesce("linked", F.lit(False))).alias("passed")))
+        linked = compared.filter("linked")
+        found.append(linked.select(F.least("leader", "member").alias("a"), F.greatest("leader", "member").alias("b")))
         turn += 1
-        if ROWS + turn > SAMPLES:
+        if ROWS * (turn + 1) > SAMPLES:
             break
-        open_ = left.groupBy("meeting").agg(F.min("passed").alias("all_passed"), F.count(F.lit(1)).alias("n"))
-        left = left.join(open_.filter(~F.col("all_passed") & (F.col("n") > 1)).select("meeting"), "meeting", "left_semi")
-        # one more sample, from the bands after its own
-        at = F.pmod(F.col("band") * ROWS + F.lit(ROWS - 1 + turn), F.lit(SAMPLES))
-        again = left.join(signs, "id").select("id", "band", F.xxhash64("meeting", F.substring(
-            F.col("sample"), at * 4 + 1, F.lit(4))).alias("meeting"), "passed")
+        # who is left, with the members that could still be like them
+        now = (led.join(linked.select(F.col("leader").alias("_l"), F.col("member").alias("_m")),
+                        (F.col("l.leader") == F.col("_l")) & (F.col("id") == F.col("_m")))
+               .select("id", "meeting", F.lit(True).alias("now")).distinct())
+        left = (rows.filter(~F.exists("leaders", lambda x: x["leader"] == F.col("id"))).join(now, ["id", "meeting"], "left")
+                .select("id", "band", "meeting", (F.col("passed") | F.col("now").isNotNull()).alias("passed")))
+        open_ = (left.groupBy("meeting").agg(F.min("passed").alias("done"), F.count(F.lit(1)).alias("n"))
+                 .filter(~F.col("done") & (F.col("n") > 1)).select("meeting"))
+        # split by the samples of the next band, in the order of the bands from its own
+        at = F.pmod(F.col("band") + turn, F.lit(BANDS)) * (4 * ROWS) + 1
+        again = (left.join(open_, "meeting", "left_semi").join(texts.select("id", "sample"), "id")
+                 .select("id", "band", F.xxhash64("meeting", F.substring(F.col("sample"), at, F.lit(4 * ROWS))).alias("meeting"), "passed"))
         rows = stage(_led(again, turn), "meetings")
         if not rows.limit(1).count():
             break
@@ -352,10 +357,15 @@ def links(texts: DataFrame, vectors_of, threshold: float) -> DataFrame:
 
 def _led(rows: DataFrame, turn: int) -> DataFrame:
     """Members of meetings that have anything to compare, with the meeting's
-    size and leader: the least hash, another one each turn."""
-    order = F.struct(F.xxhash64(F.lit(turn), "id").alias("h"), F.col("id").alias("leader"), F.col("passed").alias("leader_passed"))
-    meetings = (rows.groupBy("meeting").agg(F.count(F.lit(1)).alias("size"), F.min(order).alias("o"), F.min("passed").alias("done"))
-                .filter((F.col("size") > 1) & ~F.col("done")).select("meeting", "size", "o.leader", "o.leader_passed"))
+    size and leaders: the least hashes of each of LEADERS shares of its members
+    (of all of them in the first turn), others each turn."""
+    h = F.xxhash64(F.lit(turn), "id")
+    lead = F.struct(h.alias("h"), F.col("id").alias("leader"), "passed")
+    shares = [lead] if not turn else [F.when(F.pmod(h, F.lit(LEADERS)) == k, lead) for k in range(LEADERS)]
+    meetings = (rows.groupBy("meeting").agg(F.count(F.lit(1)).alias("size"), F.min("passed").alias("done"),
+                                            *[F.min(s).alias(f"l{k}") for k, s in enumerate(shares)])
+                .filter((F.col("size") > 1) & ~F.col("done"))
+                .select("meeting", "size", F.filter(F.array(*[f"l{k}" for k in range(len(shares))]), lambda x: x.isNotNull()).alias("leaders")))
     return rows.join(meetings, "meeting")
 
 
