@@ -16,7 +16,7 @@ from lexispark.llm.common import stage, table
 from lexispark.llm.queries import vocabulary
 
 #: Documents whose language is less sure than this are rejected.
-MIN_LANGUAGE_SCORE = 0.5
+MIN_LANGUAGE_SCORE = 0.4
 #: SQL has no string kernels; the stages are tested against brute force.
 ORACLE_SQL = None
 

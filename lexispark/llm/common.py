@@ -18,7 +18,7 @@ from ..plans.stages import materialize
 from ..session import ship_package
 
 #: Text bytes handled by one vectorized step inside a task; bounds its memory.
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 4 << 20
 
 
 def ready(spark: SparkSession) -> SparkSession:
