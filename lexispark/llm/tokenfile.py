@@ -39,6 +39,8 @@ from .common import Memo, buffers, byte_table, pick, pieces, ready, stage, words
 SHARD_CHARS = 8_000_000
 BLOCK = 1 << 18                                     # bits
 MEMO = 300_000
+#: Files whose numbers of ids are sent to every task; beyond, a join.
+FEW_FILES = 1_000_000
 GRAPH = byte_table(bytes(b for b in range(256) if b not in b" \t\n\x0b\x0c\r"))
 MAGIC = b"WVMX1\n"
 MARK = "\x02"
@@ -339,7 +341,8 @@ def read_documents(files: DataFrame) -> DataFrame:
     before = files.select("shard", (F.sum("n_ids").over(Window.orderBy("shard")) - F.col("n_ids")).alias("before"))
     rows = files.select("shard", "content").mapInArrow(
         _docs, "shard int, doc_id long, at long, n_tokens long, ids_crc32 long")
-    out = rows.join(F.broadcast(before), "shard")            # a row for each file
+    few = files.count() <= FEW_FILES                         # two numbers for each file
+    out = rows.join(F.broadcast(before) if few else before, "shard")
     return out.select("doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 
