@@ -22,9 +22,9 @@ links join, and its id the least doc id.
    pairs grow with the members, not their square. The exact weighted Jaccard is
    computed from the texts' shingles; a leader's comparisons are spread over
    tasks of ``SPREAD`` members. Members that are not like the leader meet again,
-   with the other members but without it, in meetings split by one more band's
-   samples each time and with ``LEADERS`` leaders, until none is left; pairs of
-   members already linked to a leader are skipped.
+   with the other members but without it, in meetings split by the samples of
+   one, two, four and four more bands (all then) and with ``LEADERS`` leaders,
+   until none is left; pairs of members already linked to a leader are skipped.
 4. Classes by least labels with pointer jumping, over linked texts only; every
    round is written to the shared folder.
 
@@ -50,7 +50,7 @@ BUCKET_ENTRIES = 400_000
 #: Members that one task compares with a leader before the next task shares in.
 SPREAD = 256
 #: Leaders of a meeting after the first turn.
-LEADERS = 3
+LEADERS = 4
 TABLE = 1 << 16
 
 
@@ -331,8 +331,9 @@ def links(texts: DataFrame, vectors_of, threshold: float) -> DataFrame:
         compared = stage(compare(pairs, vectors, threshold), "compared")
         linked = compared.filter("linked")
         found.append(linked.select(F.least("leader", "member").alias("a"), F.greatest("leader", "member").alias("b")))
+        more = 1 << turn                                 # bands that split the next turn's meetings
         turn += 1
-        if ROWS * (turn + 1) > SAMPLES:
+        if more >= BANDS:
             break
         # who is left, with the members that could still be like them
         now = (led.join(linked.select(F.col("leader").alias("_l"), F.col("member").alias("_m")),
@@ -342,10 +343,11 @@ def links(texts: DataFrame, vectors_of, threshold: float) -> DataFrame:
                 .select("id", "band", "meeting", (F.col("passed") | F.col("now").isNotNull()).alias("passed")))
         open_ = (left.groupBy("meeting").agg(F.min("passed").alias("done"), F.count(F.lit(1)).alias("n"))
                  .filter(~F.col("done") & (F.col("n") > 1)).select("meeting"))
-        # split by the samples of the next band, in the order of the bands from its own
-        at = F.pmod(F.col("band") + turn, F.lit(BANDS)) * (4 * ROWS) + 1
+        # split by the samples of the bands after its own and those that have split it already
+        at = (F.col("band") + more) * (4 * ROWS) + 1
         again = (left.join(open_, "meeting", "left_semi").join(texts.select("id", "sample"), "id")
-                 .select("id", "band", F.xxhash64("meeting", F.substring(F.col("sample"), at, F.lit(4 * ROWS))).alias("meeting"), "passed"))
+                 .select("id", "band", F.xxhash64("meeting", F.substring(
+                     F.concat("sample", "sample"), at, F.lit(4 * ROWS * min(more, BANDS - more)))).alias("meeting"), "passed"))
         rows = stage(_led(again, turn), "meetings")
         if not rows.limit(1).count():
             break
