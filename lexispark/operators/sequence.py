@@ -59,14 +59,15 @@ def direct_pairs(encoded, flush_tail: bool = False) -> Column:
     def per_run(run: Column) -> Column:
         # up to the last token that is no noun, then nouns only
         nouns = F.regexp_extract(run, f"(?s)^(?:.* [RJC]{TOK})?+((?: N{TOK})*+)$", 1)
-        noun = decode(nouns)
-        # no trailing noun run -> no pair (the filter keeps the element type)
-        return F.filter(F.transform(
-            _adjectives(run),
-            lambda a: F.struct(F.lit(True).alias("is_direct"), noun.alias("noun"), a.alias("adj"))),
-            lambda _: nouns != "")
+        return F.struct(decode(nouns).alias("noun"), _adjectives(run).alias("adjs"))
 
-    return F.flatten(F.transform(runs, per_run))
+    # one noun for each run, then its pairs: nothing is matched again for each adjective
+    found = F.filter(F.transform(runs, per_run), lambda r: r["noun"] != "")
+    return F.flatten(F.transform(found, lambda r: _pairs(True, r["noun"], r["adjs"])))
+
+
+def _pairs(is_direct: bool, noun: Column, adjs: Column) -> Column:
+    return F.transform(adjs, lambda a: F.struct(F.lit(is_direct).alias("is_direct"), noun.alias("noun"), a.alias("adj")))
 
 
 def connected_pairs(encoded, skip_articles: bool = False, flush_tail: bool = False) -> Column:
@@ -81,24 +82,19 @@ def connected_pairs(encoded, skip_articles: bool = False, flush_tail: bool = Fal
 
     def per_match(m: Column) -> Column:
         whole = f"^((?: N{TOK})++) B{TOK}((?: {mid}{TOK})*+)(?: ({stop}{TOK}))?$"
-        noun = decode(F.regexp_extract(m, whole, 1))
         middle = F.regexp_extract(m, whole, 2)
         if skip_articles:
             middle = F.regexp_replace(middle, f" D{TOK}", "")
-        term = F.regexp_extract(m, whole, 3)         # empty at the end of the comment
-        term_value = F.substring(term, 2, 1 << 30)
-        adjs = _adjectives(middle)
-
-        def pair(adj: Column) -> Column:
-            return F.struct(F.lit(False).alias("is_direct"), noun.alias("noun"), adj.alias("adj"))
+        return F.struct(decode(F.regexp_extract(m, whole, 1)).alias("noun"), _adjectives(middle).alias("adjs"),
+                        F.regexp_extract(m, whole, 3).alias("term"))        # empty at the end of the comment
 
-        return F.when(
-            term.startswith("N"),
-            F.concat(F.transform(adjs, lambda a: pair(F.concat(a, F.lit(" "), term_value))),
-                     F.array(pair(term_value))),
-        ).otherwise(F.transform(adjs, pair))
+    def described(r: Column) -> Column:
+        value = F.substring(r["term"], 2, 1 << 30)
+        return F.when(r["term"].startswith("N"), F.concat(
+            F.transform(r["adjs"], lambda a: F.concat(a, F.lit(" "), value)), F.array(value))).otherwise(r["adjs"])
 
-    return F.flatten(F.transform(matches, per_match))
+    found = F.transform(F.transform(matches, per_match), lambda r: F.struct(r["noun"].alias("noun"), described(r).alias("adjs")))
+    return F.flatten(F.transform(found, lambda r: _pairs(False, r["noun"], r["adjs"])))
 
 
 def org_mentions(encoded_ents, flush_tail: bool = False) -> Column:
