@@ -5,6 +5,8 @@ import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "tools")]
+#: The same name as in the folder above: either file may be imported as ``conftest``.
+SF0001 = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
