@@ -24,7 +24,8 @@ links join, and its id the least doc id.
    tasks of ``SPREAD`` members. Members that are not like the leader meet again,
    with the other members but without it, in meetings split by the samples of
    one, two, four and four more bands (all then) and with ``LEADERS`` leaders,
-   until none is left; pairs of members already linked to a leader are skipped.
+   until none is left. After each turn the links found so far give classes; only
+   pairs of one class are skipped, and meetings of one class end.
 4. Classes by least labels with pointer jumping, over linked texts only; every
    round is written to the shared folder.
 
@@ -319,42 +320,49 @@ def links(texts: DataFrame, vectors_of, threshold: float) -> DataFrame:
     band = F.explode(F.array(*[F.struct(F.lit(k).alias("band"), F.xxhash64(F.lit(k), F.expr(
         f"substring(sample, {4 * ROWS * k + 1}, {4 * ROWS})")).alias("meeting")) for k in range(BANDS)]))
     rows = texts.filter(F.col("sample").isNotNull()).select("id", "sample", band.alias("b")).select(
-        "id", "b.band", "b.meeting", F.lit(False).alias("passed"))
+        "id", "b.band", "b.meeting", F.col("id").alias("label"))
     rows = stage(_led(rows, 0), "meetings")
+    met = rows.select("id", "meeting")
     vectors = vectors_of(rows.select("id").distinct())
-    found, turn = [], 0
+    found, turn = None, 0
     while True:
-        led = rows.select("id", "meeting", "size", "passed", F.explode("leaders").alias("l"))
-        pairs = (led.filter((F.col("id") != F.col("l.leader")) & ~(F.col("passed") & F.col("l.passed")))
+        led = rows.select("id", "label", "size", F.explode("leaders").alias("l"))
+        pairs = (led.filter((F.col("id") != F.col("l.leader")) & (F.col("label") != F.col("l.label")))
                  .groupBy(F.col("l.leader").alias("leader"), F.col("id").alias("member"))
                  .agg((1 + F.floor(F.max("size") / SPREAD)).cast("long").alias("spreads")))
-        compared = stage(compare(pairs, vectors, threshold), "compared")
-        linked = compared.filter("linked")
-        found.append(linked.select(F.least("leader", "member").alias("a"), F.greatest("leader", "member").alias("b")))
+        found = _joined(found, compare(pairs, vectors, threshold))
+        labels = classes(found)
         more = 1 << turn                                 # bands that split the next turn's meetings
         turn += 1
         if more >= BANDS:
             break
-        # who is left, with the members that could still be like them
-        now = (led.join(linked.select(F.col("leader").alias("_l"), F.col("member").alias("_m")),
-                        (F.col("l.leader") == F.col("_l")) & (F.col("id") == F.col("_m")))
-               .select("id", "meeting", F.lit(True).alias("now")).distinct())
-        left = (rows.filter(~F.exists("leaders", lambda x: x["leader"] == F.col("id"))).join(now, ["id", "meeting"], "left")
-                .select("id", "band", "meeting", (F.col("passed") | F.col("now").isNotNull()).alias("passed")))
-        open_ = (left.groupBy("meeting").agg(F.min("passed").alias("done"), F.count(F.lit(1)).alias("n"))
-                 .filter(~F.col("done") & (F.col("n") > 1)).select("meeting"))
+        # who is left, under the classes found so far
+        left = _labelled(rows.filter(~F.exists("leaders", lambda x: x["leader"] == F.col("id"))).select("id", "band", "meeting"), labels)
         # split by the samples of the bands after its own and those that have split it already
         at = (F.col("band") + more) * (4 * ROWS) + 1
-        again = (left.join(open_, "meeting", "left_semi").join(texts.select("id", "sample"), "id")
+        again = (left.join(_open(left), "meeting", "left_semi").join(texts.select("id", "sample"), "id")
                  .select("id", "band", F.xxhash64("meeting", F.substring(
-                     F.concat("sample", "sample"), at, F.lit(4 * ROWS * min(more, BANDS - more)))).alias("meeting"), "passed"))
+                     F.concat("sample", "sample"), at, F.lit(4 * ROWS * min(more, BANDS - more)))).alias("meeting"), "label"))
         rows = stage(_led(again, turn), "meetings")
         if not rows.limit(1).count():
             break
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out.distinct()
+    return found
+
+
+def _joined(found: DataFrame | None, compared: DataFrame) -> DataFrame:
+    """Links found so far and those of a comparison, each once."""
+    new = compared.filter("linked").select(F.least("leader", "member").alias("a"), F.greatest("leader", "member").alias("b"))
+    return stage((new if found is None else found.unionByName(new)).distinct(), "found")
+
+
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` with the class of each id: its own id, if it has no link."""
+    return rows.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+
+
+def _open(rows: DataFrame) -> DataFrame:
+    """Meetings whose members are of several classes."""
+    return rows.groupBy("meeting").agg(F.min("label").alias("l"), F.max("label").alias("h")).filter("l < h").select("meeting")
 
 
 def _led(rows: DataFrame, turn: int) -> DataFrame:
@@ -362,11 +370,11 @@ def _led(rows: DataFrame, turn: int) -> DataFrame:
     size and leaders: the least hashes of each of LEADERS shares of its members
     (of all of them in the first turn), others each turn."""
     h = F.xxhash64(F.lit(turn), "id")
-    lead = F.struct(h.alias("h"), F.col("id").alias("leader"), "passed")
+    lead = F.struct(h.alias("h"), F.col("id").alias("leader"), "label")
     shares = [lead] if not turn else [F.when(F.pmod(h, F.lit(LEADERS)) == k, lead) for k in range(LEADERS)]
-    meetings = (rows.groupBy("meeting").agg(F.count(F.lit(1)).alias("size"), F.min("passed").alias("done"),
+    meetings = (rows.groupBy("meeting").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("low"), F.max("label").alias("high"),
                                             *[F.min(s).alias(f"l{k}") for k, s in enumerate(shares)])
-                .filter((F.col("size") > 1) & ~F.col("done"))
+                .filter("low < high")
                 .select("meeting", "size", F.filter(F.array(*[f"l{k}" for k in range(len(shares))]), lambda x: x.isNotNull()).alias("leaders")))
     return rows.join(meetings, "meeting")
 
@@ -417,7 +425,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return stage(blocks.groupBy("block").cogroup(others.groupBy("block")).applyInArrow(
             _vectors(buckets, n_docs), "id long, vec binary"), "shingles")
 
-    edges = stage(links(texts, vectors_of, threshold), "edges")
+    edges = links(texts, vectors_of, threshold)
     label = classes(edges)
     degree = (edges.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n")))
     named = (texts.select("key", "id").join(label, "id", "left").join(degree, "id", "left")

@@ -110,3 +110,17 @@ def test_empty_table(frame):
 def test_classes_follow_long_chains(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 60)] + [(100, 101)], "a long, b long")
     assert {r.id: r.label for r in N.classes(edges).collect()} == {**{i: 1 for i in range(1, 61)}, 100: 100, 101: 100}
+
+
+def vector(lo, hi):
+    return N.pack(np.arange(lo, hi, dtype=np.uint64) << np.uint64(8), np.ones(hi - lo, np.int64))
+
+
+def test_a_pair_is_skipped_only_within_one_class(spark):
+    """Chains in one meeting each: a text is like its neighbours (0.786) and like no other."""
+    chains, length = 40, 8
+    rows = [(length * c + k, (np.arange(N.SAMPLES) + 100 * c).astype("<f4").tobytes(), vector(12 * k, 12 * k + 100))
+            for c in range(chains) for k in range(length)]
+    texts = spark.createDataFrame(rows, "id long, sample binary, vec binary")
+    edges = N.links(texts.select("id", "sample"), lambda _: texts.select("id", "vec"), 0.75)
+    assert {r.id: r.label for r in N.classes(edges).collect()} == {d: d - d % length for d, _, _ in rows}
