@@ -26,8 +26,13 @@ links join, and its id the least doc id.
    one, two, four and four more bands (all then) and with ``LEADERS`` leaders,
    until none is left. After each turn the links found so far give classes; only
    pairs of one class are skipped, and meetings of one class end.
-4. Classes by least labels with pointer jumping, over linked texts only; every
-   round is written to the shared folder.
+4. What the turns leave open, the first meetings with members of several classes,
+   goes an exact way: texts that share a shingle of their prefixes (their rarest
+   shingles among these texts, as many as a link needs one of) are compared
+   unless their class is the same. Linked pairs that met are all found.
+5. Classes by least labels with pointer jumping, over linked texts only: on the
+   driver for up to ``FEW_LINKS`` links (counted first), else by joins, every
+   round of which is written to the shared folder.
 
 Output, one row for each input row: doc_id, class_id, n_links (verified links of
 the text with other texts). Rows with a null id get a null class.
@@ -52,6 +57,12 @@ BUCKET_ENTRIES = 400_000
 SPREAD = 256
 #: Leaders of a meeting after the first turn.
 LEADERS = 4
+#: Shingles whose counts among the open texts are sent to every task; others count as rare.
+HEAVY = 1_000_000
+#: Width of a class of total weights (natural logarithm).
+STEP = 0.05
+#: Links (16 bytes each) whose classes the driver finds; beyond, rounds of joins.
+FEW_LINKS = 1_000_000
 TABLE = 1 << 16
 
 
@@ -346,7 +357,13 @@ def links(texts: DataFrame, vectors_of, threshold: float) -> DataFrame:
         rows = stage(_led(again, turn), "meetings")
         if not rows.limit(1).count():
             break
-    return found
+    met = _labelled(met, labels)
+    rest = stage(met.join(_open(met), "meeting", "left_semi").select("id", "label").distinct(), "open")
+    if not rest.limit(1).count():
+        return found
+    pairs = _close(rest.join(vectors, "id"), threshold)
+    sizes = pairs.groupBy("leader").agg((1 + F.floor(F.count(F.lit(1)) / SPREAD)).cast("long").alias("spreads"))
+    return _joined(found, compare(pairs.join(sizes, "leader"), vectors, threshold))
 
 
 def _joined(found: DataFrame | None, compared: DataFrame) -> DataFrame:
@@ -379,10 +396,148 @@ def _led(rows: DataFrame, turn: int) -> DataFrame:
     return rows.join(meetings, "meeting")
 
 
-# ------------------------------------------------------------ 4 classes
+# ------------------------------------------------------------ 4 what is left open
+
+def _tally(buckets: int):
+    """Shingle codes of texts and how many of a piece's texts hold them, by bucket."""
+    def run(batches):
+        for b in pieces(batches, "vec"):
+            codes, n = np.unique(np.concatenate([unpack(v)[0] for v in b.column("vec").to_pylist()]), return_counts=True)
+            bucket = (mix(codes) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            full = [order[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True) if y > x]
+            yield pa.RecordBatch.from_pydict({
+                "bucket": pa.array([bucket[o[0]] for o in full], pa.int32()),
+                "codes": pa.array([codes[o].astype("<u8").tobytes() for o in full], pa.binary()),
+                "n": pa.array([n[o].astype("<u4").tobytes() for o in full], pa.binary())})
+    return run
+
+
+def _heaviest(most: int):
+    """The ``most`` shingles of a bucket that most texts hold, of those that two
+    hold, and whether these are all of them."""
+    def run(key, rows):
+        codes, where = np.unique(np.concatenate([np.frombuffer(x, "<u8") for x in rows.column("codes").to_pylist()]), return_inverse=True)
+        n = np.bincount(where, np.concatenate([np.frombuffer(x, "<u4") for x in rows.column("n").to_pylist()]), len(codes)).astype(np.int64)
+        own = np.flatnonzero(n > 1)
+        top = own[np.argsort(-n[own], kind="stable")[:most]]
+        return pa.table({"codes": pa.array([codes[top].astype("<u8").tobytes()]), "n": pa.array([n[top].astype("<i8").tobytes()]),
+                         "whole": pa.array([len(top) == len(own)])})
+    return run
+
+
+PREFIX = "shingle long, step int, probe boolean, id long, label long, weight double, rest double"
+#: Sums of weights are compared with this much room for rounding.
+ROOM = 1e-5
+
+
+def prefix(code: np.ndarray, count: np.ndarray, heavy: np.ndarray, held: np.ndarray, whole: bool, threshold: float):
+    """A text's total weight, and of the shingles by which it can be found, the
+    rarest first: the codes, and the weight from each on. A pair is linked only
+    if the smaller texts' weights shared are t / (1 + t) of both totals; their
+    first common shingle has all of that from its place on in both texts."""
+    w = count * idf_of(code).astype(np.float64)
+    n = np.ones(len(code), np.int64)
+    if len(heavy):
+        at = np.minimum(np.searchsorted(heavy, code), len(heavy) - 1)
+        n = np.where(heavy[at] == code, held[at], 1)
+    order = np.lexsort((code, n))
+    total = float(w.sum())
+    rest = total - np.concatenate([[0.0], np.cumsum(w[order])[:-1]])
+    keep = rest >= threshold * total * (1 - ROOM)
+    if whole:                                            # one text's own shingles find no other
+        keep &= n[order] > 1
+    return total, code[order][keep], rest[keep]
+
+
+def _prefixes(sent, threshold: float):
+    """Each text among those of its class of weights, by the shingles by which a
+    heavier text can find it, and (``probe``) in the classes of weights where
+    it can find lighter ones."""
+    share = threshold / (1 + threshold)
+
+    def run(batches):
+        heavy, held, whole = sent.value
+        for b in pieces(batches, "vec"):
+            out = {c: [] for c in ("shingle", "step", "probe", "id", "label", "weight", "rest")}
+
+            def add(codes, steps, probe, rest, text, label, total, out=out):
+                out["shingle"].append(codes.astype(np.int64))
+                out["step"].append(np.broadcast_to(steps, len(codes)))
+                out["rest"].append(rest)
+                for c, v in (("probe", probe), ("id", text), ("label", label), ("weight", total)):
+                    out[c].append(np.full(len(codes), v))
+
+            for text, label, vec in zip(*(b.column(c).to_pylist() for c in ("id", "label", "vec")), strict=True):
+                total, codes, rest = prefix(*unpack(vec), heavy, held, whole, threshold)
+                if not len(codes):
+                    continue
+                found = rest >= 2 * share * total * (1 - ROOM)
+                add(codes[found], int(np.floor(np.log(total) / STEP)), False, rest[found], text, label, total)
+                low = int(np.floor(np.log(threshold * total * (1 - ROOM)) / STEP))
+                top = np.minimum(total, rest * (1 + ROOM) / share - total)       # the heaviest that still fits
+                high = np.floor(np.log(np.maximum(top, 1e-9)) / STEP).astype(np.int64)
+                n = np.maximum(high - low + 1, 0)
+                steps = low + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                add(np.repeat(codes, n), steps, True, np.repeat(rest, n), text, label, total)
+            if out["id"]:
+                joined = {c: np.concatenate(v) for c, v in out.items()}
+                yield pa.RecordBatch.from_pydict({
+                    "shingle": pa.array(joined["shingle"], pa.int64()), "step": pa.array(joined["step"].astype(np.int32)),
+                    "probe": pa.array(joined["probe"].astype(bool)), "id": pa.array(joined["id"], pa.int64()),
+                    "label": pa.array(joined["label"], pa.int64()), "weight": pa.array(joined["weight"], pa.float64()),
+                    "rest": pa.array(joined["rest"], pa.float64())})
+    return run
+
+
+def _close(texts: DataFrame, threshold: float) -> DataFrame:
+    """(leader, member): every pair of texts (id, label, vec) of different labels
+    that may be linked."""
+    spark = texts.sparkSession
+    texts = stage(texts.select("id", "label", "vec"), "open-texts")
+    size = texts.agg(F.sum(F.octet_length("vec"))).collect()[0][0]
+    buckets = 1 + int(size) // (6 * BUCKET_ENTRIES)
+    heavy = (texts.select("vec").mapInArrow(_tally(buckets), "bucket int, codes binary, n binary").groupBy("bucket")
+             .applyInArrow(_heaviest(max(1, HEAVY // buckets)), "codes binary, n binary, whole boolean").collect())
+    codes = np.concatenate([np.frombuffer(r["codes"], "<u8") for r in heavy])
+    order = np.argsort(codes)
+    held = np.concatenate([np.frombuffer(r["n"], "<i8") for r in heavy])
+    sent = spark.sparkContext.broadcast((codes[order], held[order], all(r["whole"] for r in heavy)))   # at most HEAVY
+    rows = stage(texts.mapInArrow(_prefixes(sent, threshold), PREFIX), "prefixes")
+    x = rows.filter("not probe").select("shingle", "step", *[F.col(c).alias(f"x_{c}") for c in ("id", "label", "weight", "rest")])
+    y = rows.filter("probe").select("shingle", "step", *[F.col(c).alias(f"y_{c}") for c in ("id", "label", "weight", "rest")])
+    lighter = (F.col("x_weight") < F.col("y_weight")) | ((F.col("x_weight") == F.col("y_weight")) & (F.col("x_id") < F.col("y_id")))
+    enough = F.least("x_rest", "y_rest") >= (F.col("x_weight") + F.col("y_weight")) * (threshold / (1 + threshold) * (1 - ROOM))
+    pairs = (x.join(y, (x["shingle"] == y["shingle"]) & (x["step"] == y["step"]) & (F.col("x_label") != F.col("y_label")) & lighter & enough)
+             .select(F.least("x_id", "y_id").alias("leader"), F.greatest("x_id", "y_id").alias("member")).distinct())
+    return stage(pairs, "close-pairs")
+
+
+# ------------------------------------------------------------ 5 classes
+
+def _classes(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Linked ids in order, and the least id that links lead to."""
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y, label = at[:len(a)], at[len(a):], np.arange(len(ids))
+    while (label[x] != label[y]).any():
+        least = np.minimum(label[x], label[y])
+        new = label.copy()
+        for side in (x, y):                              # the class's own label follows too
+            np.minimum.at(new, label[side], least)
+            np.minimum.at(new, side, least)
+        while (new[new] != new).any():
+            new = new[new]
+        label = new
+    return ids, ids[label]
+
 
 def classes(edges: DataFrame) -> DataFrame:
     """(id, label): the least id that links lead to, for every linked id."""
+    if edges.count() <= FEW_LINKS:
+        held = edges.select("a", "b").toArrow()
+        ids, label = _classes(held.column("a").to_numpy(), held.column("b").to_numpy())
+        return edges.sparkSession.createDataFrame(pa.table({"id": pa.array(ids, pa.int64()), "label": pa.array(label, pa.int64())}))
     both = stage(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
     labels = stage(both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.min("a")).alias("label")), "labels")
     while True:

@@ -124,3 +124,53 @@ def test_a_pair_is_skipped_only_within_one_class(spark):
     texts = spark.createDataFrame(rows, "id long, sample binary, vec binary")
     edges = N.links(texts.select("id", "sample"), lambda _: texts.select("id", "vec"), 0.75)
     assert {r.id: r.label for r in N.classes(edges).collect()} == {d: d - d % length for d, _, _ in rows}
+
+
+def licensed(pairs, alone):
+    """Documents that share a licence, 0.74 alike, and for some of them a near copy, 0.82 alike."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=9))
+    licence, rows = [word() for _ in range(280)], []
+    for k in range(pairs + alone):
+        own = [word() for _ in range(26)]
+        rows.append((2 * k, " ".join(own + licence)))
+        if k < pairs:
+            rows.append((2 * k + 1, " ".join(own[:13] + [word() for _ in range(13)] + licence)))
+    rng.shuffle(rows)
+    return rows
+
+
+def test_near_copies_among_documents_that_share_a_licence(frame):
+    truth, close = brute(licensed(20, 60))
+    assert not close and truth == {d: d - d % 2 for d in truth}
+    rows = licensed(400, 1600)
+    got = {r.doc_id: r.class_id for r in N.near_duplicates(frame(rows)).collect()}
+    assert len(got) == 2400 and [d for d in got if got[d] != d - d % 2] == []
+
+
+def test_prefixes_find_every_linked_pair(spark):
+    rng = np.random.default_rng(3)
+    texts = []
+    for k in range(250):
+        base = np.arange(100) if k % 2 else np.arange(1000 * (k // 10), 1000 * (k // 10) + 100)
+        code = np.unique(np.concatenate([base[rng.random(100) < 0.93], rng.integers(200, 240, rng.integers(1, 12))]))
+        code = code.astype(np.uint64) << np.uint64(8) | (code % 256).astype(np.uint64)
+        texts.append((k, code, rng.integers(1, 4, len(code)) if k % 3 else np.ones(len(code), np.int64)))
+    label = {k: k if k % 5 else 0 for k, _, _ in texts}
+    frame = spark.createDataFrame([(k, label[k], N.pack(c, n)) for k, c, n in texts], "id long, label long, vec binary")
+    for heavy in (N.HEAVY, 20):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(N, "HEAVY", heavy)
+            got = {(r.leader, r.member) for r in N._close(frame, 0.8).collect()}
+        want = {(a, b) for a, x, nx in texts for b, y, ny in texts
+                if a < b and label[a] != label[b] and N.similarity(x, nx, y, ny) >= 0.8}
+        assert len(want) > 100 and want <= got and not any(label[a] == label[b] for a, b in got)
+
+
+@pytest.mark.parametrize("few", [N.FEW_LINKS, 0])
+def test_classes_on_the_driver_and_by_joins(spark, monkeypatch, few):
+    monkeypatch.setattr(N, "FEW_LINKS", few)
+    links = [(i, i + 1) for i in range(1, 60)] + [(3, 200), (90, 200), (100, 101), (7, 100_000)]
+    got = {r.id: r.label for r in N.classes(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {**{i: 1 for i in [*range(1, 61), 90, 200, 100_000]}, 100: 100, 101: 100}
+    assert N.classes(spark.createDataFrame([], "a long, b long")).collect() == []
