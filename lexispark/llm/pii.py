@@ -69,13 +69,17 @@ NUMBER = re.compile(
     r"|(?<![\d+-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\d-])"
     r"|(?<![\w+])(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}-\d{4}|\d{3}-\d{3}-\d{4})(?!\d)"
     r"|(?<![\d.-])(?P<card>\d(?:[ -]?\d){12,18})(?![\d])")
-SECRET = re.compile(r"(?i)\b(?:token|api[_-]?key|access[_-]?key|secret(?:[_-]?key)?|password|passwd)[\"']?\s{0,4}[:=]\s{0,4}"
-                    r"[\"']?(?P<secret>[A-Za-z0-9_+/-]{16,256})|\b(?P<aws>AKIA[0-9A-Z]{16})\b")
+SECRET = re.compile(r"(?i)\b(?:token|api[_-]?key|access[_-]?key|secret(?:[_-]?key)?)[\"']?\s{0,4}[:=]\s{0,4}"
+                    r"[\"']?(?P<secret>[A-Za-z0-9_+/-]{16,})|\b(?P<aws>AKIA[0-9A-Z]{16})\b"
+                    # what people type: any visible characters, quoted or up to a separator
+                    r"|\b(?:password|passwd)[\"']?\s{0,4}[:=]\s{0,4}(?:\"(?P<quoted>[^\n\"]{6,})\"|'(?P<single>[^\n']{6,})'"
+                    r"|(?P<password>[^\s\"'<>,;]{5,}[^\s\"'<>,;.:)\]}]))")
 WORD = r"[^\W\d_]"
 NAME = re.compile(rf"\b(?P<title>{'|'.join(sorted(GENDER, key=len, reverse=True))})\.? "
                   rf"(?P<name>(?=[^\W\d_a-zß-öø-ÿа-я]){WORD}{{2,30}}(?:-{WORD}{{1,30}})?(?: (?=[^\W\d_a-zß-öø-ÿа-я]){WORD}{{2,30}}(?:-{WORD}{{1,30}})?)?)")
-LOCAL, DOMAIN = re.compile(r"[\w.+-]{1,64}$"), re.compile(r"(?:[\w-]{1,63}\.){1,8}[^\W\d_]{2,24}")
+LOCAL, DOMAIN = re.compile(r"[\w.+-]"), re.compile(r"(?:[\w-]{1,63}\.){1,8}[^\W\d_]{2,24}")
 HINT = re.compile("[0-9@]")
+NAMED = re.compile("(?i)token|key|secret|passw|akia")
 
 
 # ------------------------------------------------------------ detection
@@ -101,9 +105,13 @@ def detect(text: str) -> list[tuple[int, int, str]]:
     if HINT.search(text):
         at = text.find("@")
         while at >= 0:
-            local, domain = LOCAL.search(text, max(0, at - 64), at), DOMAIN.match(text, at + 1)
-            if local and domain:
-                start = local.start() + len(local[0]) - len(local[0].lstrip(".+-"))
+            domain = DOMAIN.match(text, at + 1)
+            if domain:
+                start = at
+                while start and LOCAL.match(text[start - 1]):
+                    start -= 1
+                while start < at and text[start] in ".+-":
+                    start += 1
                 if start < at:
                     found.append((start, domain.end(), "email"))
             at = text.find("@", at + 1)
@@ -113,6 +121,7 @@ def detect(text: str) -> list[tuple[int, int, str]]:
             if kind == "ip" and all(int(p) < 256 for p in value.split(".")) or kind == "ssn" \
                     or kind == "phone" and 8 <= len(plain) <= 15 or kind == "card" and issued(plain) and luhn(plain):
                 found.append((m.start(), m.end(), kind))
+    if NAMED.search(text):
         for m in SECRET.finditer(text):
             found.append((*m.span(m.lastgroup), "secret"))
     for m in NAME.finditer(text):

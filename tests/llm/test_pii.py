@@ -106,3 +106,14 @@ def test_empty_table_and_key(frame):
     assert S.replace_pii(frame([]), KEY).collect() == []
     with pytest.raises(ValueError):
         S.replace_pii(frame([]), b"")
+
+
+def test_secrets_without_digits_short_passwords_and_long_values():
+    assert person("password: CorrectHorseBatteryStaple") == [("CorrectHorseBatteryStaple", "secret")]
+    assert person("set password=hunter2! now") == [("hunter2!", "secret")]
+    assert person('passwd = "a b" or passwd = "p, q;r.s"') == [("p, q;r.s", "secret")]
+    assert person("(password=LongSecretPass1234!!)") == [("LongSecretPass1234!!", "secret")]
+    key, local = "Ab3" * 200, "long.name" * 12
+    assert person(f"api_key={key} end") == [(key, "secret")]
+    assert person(f"to <{local}@example.com>") == [(f"{local}@example.com", "email")]
+    assert person("the password is long, a token of esteem") == []
