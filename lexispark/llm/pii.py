@@ -16,7 +16,8 @@ by one of its own type and form, drawn with a secret key:
 * Collisions: given names are drawn from a list, so two names can meet, and a
   surrogate can equal another value of the corpus. Both are checked over
   all distinct values, by grouped aggregation; those that lose (all but the least)
-  draw again, from a wider form, until none collides. Only these exceptions
+  draw again until none collides; from draw ``WIDE`` on e-mails, names and secrets
+  get more characters each time, and private addresses any private range. Only these exceptions
   are sent to the tasks, if they fit ``EXCEPTIONS`` (their counted number), or
   else joined to their documents. All others are replaced row-locally.
 
@@ -33,6 +34,8 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -42,6 +45,8 @@ from .common import pick, pieces, ready, stage
 EXCEPTIONS = 1_000_000
 MAX_DRAWS = 24
 SALT = 16
+#: Draws from this one on are longer or of a wider range.
+WIDE = 3
 
 # Given names by script and gender, and the titles that show it.
 GIVEN = {
@@ -62,6 +67,23 @@ DIGITS = "0123456789"
 GROUPS = [DIGITS, "bcdfghjklmnpqrstvwxz", "aeiouy", "áàâãäåæéèêëíìîïóòôõöøúùûüýÿœ", "çðñþß", "бвгджзйклмнпрстфхцчшщ", "аеёиоуыэюя",
           "αεηιουω", "βγδζθκλμνξπρσςτφχψ"]
 CLASS_OF = {c: (g, i) for g in GROUPS for i, c in enumerate(g)}
+
+
+@lru_cache(maxsize=100_000)
+def class_of(c: str) -> tuple[str, int] | None:
+    """A character's group and its place there: of ``GROUPS``, else the letters
+    or digits of its kind among the 256 code points about it. None: it stays."""
+    if c in CLASS_OF:
+        return CLASS_OF[c]
+    kind = unicodedata.category(c)
+    if kind not in ("Lo", "Ll", "Nd"):
+        return None
+    block = ord(c) & ~255
+    group = "".join(x for x in map(chr, range(block, block + 256)) if x not in CLASS_OF and unicodedata.category(x) == kind
+                    and x == x.lower() and len(x.upper()) == 1 and x.upper().lower() == x)
+    return (group, group.index(c)) if c in group else None
+
+
 HEX = {c: ("0123456789abcdef", i) for i, c in enumerate("0123456789abcdef")}
 
 NUMBER = re.compile(
@@ -172,13 +194,14 @@ class Forge:
             value[side], out[k] = divmod(value[side], sizes[k])
         return out
 
-    def characters(self, value: str, form: str, table: dict = CLASS_OF, keep: str = "") -> str:
+    def characters(self, value: str, form: str, place=class_of, keep: str = "") -> str:
         """Permutes the letters and digits of a value within their groups."""
-        at = [k for k, c in enumerate(value) if c in table and c not in keep]
+        at = [k for k, c in enumerate(value) if c not in keep and place(c)]
         if not at:
             return value
-        groups = [table[value[k]] for k in at]
-        shape = form + "|" + "".join(c if k not in set(at) else table[c][0][0] for k, c in enumerate(value))
+        groups = [place(value[k]) for k in at]
+        inside = set(at)
+        shape = form + "|" + "".join(c if k not in inside else place(c)[0][0] for k, c in enumerate(value))
         out = list(value)
         for k, (g, _), d in zip(at, groups, self.permute([i for _, i in groups], [len(g) for g, _ in groups], shape), strict=True):
             out[k] = g[d]
@@ -186,6 +209,26 @@ class Forge:
 
     def surrogate(self, kind: str, value: str, draw: int = 0) -> str:
         """The surrogate of a canonical value; other draws for exceptions."""
+        out = self._surrogate(kind, value, draw)
+        if draw < WIDE or kind not in ("email", "secret", "name_f", "name_m"):
+            return out
+        local, at, domain = out.partition("@") if kind == "email" else (out, "", "")
+        return local + self._more(kind, value, draw) + at + domain
+
+    def _more(self, kind: str, value: str, draw: int) -> str:
+        """Further characters of a value's own kind, one more with each draw."""
+        if kind == "secret" and re.fullmatch("[0-9a-f]+", value):
+            pool = "0123456789abcdef"
+        else:
+            letters = [c for c in value.partition("@")[0] if c.isalpha() and class_of(c)]
+            pool = class_of(letters[-1])[0] if letters else GROUPS[1]
+        n, out = self._draw("more", kind, value, draw), ""
+        for _ in range(draw - WIDE + 1):
+            n, k = divmod(n, len(pool))
+            out += pool[k]
+        return out
+
+    def _surrogate(self, kind: str, value: str, draw: int) -> str:
         form = kind if not draw else f"{kind}#{draw}"
         if kind == "email":
             local, domain = value.split("@", 1)
@@ -204,7 +247,8 @@ class Forge:
                 n = self.permute([n >> 16, n & 0xFFFF], [1 << 16, 1 << 16], form)
                 n = n[0] << 16 | n[1]
                 out = ".".join(str(n >> s & 255) for s in (24, 16, 8, 0))
-                if ip_range(out) == ip_range(".".join(map(str, a))):
+                same = (ip_range(out), ip_range(".".join(map(str, a))))
+                if same[0] == same[1] or draw >= WIDE and all(r.startswith("private") for r in same):
                     return out
         if kind == "phone":
             # the fictional exchange and the country stay, while that leaves enough numbers
@@ -214,7 +258,7 @@ class Forge:
             head = len(value) - 10 if value[0] == "+" and len(value) > 11 else 1 if value[0] == "+" else 0
             return value[:head] + self.characters(value[head:], form)
         if kind == "secret":
-            table = HEX if re.fullmatch("[0-9a-f]+", value) else CLASS_OF
+            table = HEX.get if re.fullmatch("[0-9a-f]+", value) else class_of
             return value[:4] + self.characters(value[4:], form) if value.startswith("akia") else self.characters(value, form, table)
         if kind.startswith("name_"):
             first, _, last = value.partition(" ")
@@ -222,6 +266,8 @@ class Forge:
             names = GIVEN[script, kind[-1]]
             if not last:
                 return self.characters(first, form)
+            if first[0].isalpha() and script == "latin" and "LATIN" not in unicodedata.name(first[0], ""):
+                return self.characters(first, form) + " " + self.characters(last, "name" + form[6:])
             return names[self._draw(form, first) % len(names)].lower() + " " + self.characters(last, "name" + form[6:])
         return self.characters(value, form)
 

@@ -117,3 +117,14 @@ def test_secrets_without_digits_short_passwords_and_long_values():
     assert person(f"api_key={key} end") == [(key, "secret")]
     assert person(f"to <{local}@example.com>") == [(f"{local}@example.com", "email")]
     assert person("the password is long, a token of esteem") == []
+
+
+def test_other_scripts_and_crowded_forms(frame):
+    values = ["Mr 王明", "Mr محمد", "Frau שרה לוי", "用户@example.com", "_@example.com"]
+    values += [f"{c}@example.com" for c in "bcdfghjklmnpqrstvwxz"]
+    rows = [(i, f"by {v}, password: !!!!!!") for i, v in enumerate(values)]
+    got = S.replace_pii(frame(rows), KEY).collect()
+    news = [r.entities[0].surrogate.lower() for r in got]
+    olds = {v.partition(" ")[2].lower() or v for v in values}
+    assert len(set(news)) == len(values) and not olds & set(news)
+    assert len({r.entities[1].surrogate for r in got}) == 1 and not any("!!!!!!" == r.entities[1].surrogate for r in got)
