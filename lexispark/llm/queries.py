@@ -100,7 +100,7 @@ FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 @query
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, _ = vocabulary("word_bpe_49k.json")
-    return tokenfile.read_documents(tokenfile.write_token_files(table(spark, sf_dir, "documents"), path, end_id=1))
+    return tokenfile.read_documents(tokenfile.write_token_files(table(spark, sf_dir, "documents"), path, end_id=1, added=True))
 
 
 # ------------------------------------------------------------ 10 language ID

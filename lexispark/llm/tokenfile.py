@@ -214,11 +214,23 @@ class Runs:
     as the library does, and the punctuation after it are separate pre-tokens
     and kept apart, which leaves fewer distinct runs to encode."""
 
-    def __init__(self, tok, kind: np.dtype):
+    def __init__(self, tok, kind: np.dtype, added: list):
         import re
+        self.added = re.compile(b"|".join(re.escape(a.content.encode()) for a in added),
+                                re.I if any(a.normalized for a in added) else 0) if added else None
         self.tok, self.kind, self.plain = tok, kind, re.compile(PLAIN).fullmatch
         self.memo = Memo(MEMO)
 
+    def holding(self, data: bytes, offsets: np.ndarray) -> list[int]:
+        """Texts that may hold an added token; these are encoded as they are."""
+        if self.added is None:
+            return []
+        at = np.fromiter((m.start() for m in self.added.finditer(data)), np.int64)
+        return np.unique(np.searchsorted(offsets, at, side="right") - 1).tolist()
+
+    def whole(self, text: str) -> bytes:
+        return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, np.uint32).astype(self.kind).tobytes()
+
     def __call__(self, runs: list[bytes]) -> list[bytes]:
         split = []
         for r in runs:
@@ -240,21 +252,21 @@ class Vocabulary:
     def __getstate__(self):
         return {"text": self.text, "made": {}}
 
-    def runs(self, end_id: int) -> Runs:
-        if end_id not in self.made:
+    def runs(self, end_id: int, added: bool = False) -> Runs:
+        if (end_id, added) not in self.made:
             import os
             os.environ["TOKENIZERS_PARALLELISM"] = "false"
             from tokenizers import Tokenizer
             tok = Tokenizer.from_str(self.text)
-            tok.encode_special_tokens = True                # their strings are ordinary text
+            tok.encode_special_tokens = not added           # else their strings are ordinary text
             kind = np.dtype("<u2" if max(tok.get_vocab_size() - 1, end_id) < 1 << 16 else "<u4")
-            self.made[end_id] = Runs(tok, kind)
-        return self.made[end_id]
+            self.made[end_id, added] = Runs(tok, kind, list(tok.get_added_tokens_decoder().values()) if added else [])
+        return self.made[end_id, added]
 
 
-def _encode(sent, end_id: int, bounds: list[int]):
+def _encode(sent, end_id: int, bounds: list[int], added: bool):
     def run(batches):
-        runs = sent.value.runs(end_id)
+        runs = sent.value.runs(end_id, added)
         kind, end = runs.kind, np.asarray([end_id], runs.kind).tobytes()
         upper = np.asarray(bounds, np.float64)
         for b in pieces(batches):
@@ -265,6 +277,8 @@ def _encode(sent, end_id: int, bounds: list[int]):
             ids[:] = runs(chunks)
             packed = [b"".join(ids[codes[lo:hi]].tolist()) + end
                       for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+            for k in runs.holding(data, offsets):            # an added token may take the white space beside it
+                packed[k] = runs.whole(data[offsets[k]:offsets[k + 1]].decode()) + end
             doc = b.column("doc_id")
             where = np.searchsorted(upper, np.nan_to_num(doc.to_numpy(zero_copy_only=False).astype(np.float64), nan=-np.inf))
             where[np.asarray(doc.is_null())] = 0
@@ -303,14 +317,16 @@ FILE = "path string, shard int, first_doc long, last_doc long, n_ids long, conte
 
 
 def write_token_files(docs: DataFrame, tokenizer_path: str, end_id: int = 1, id_col: str = "doc_id",
-                      text_col: str = "text", shard_chars: int = SHARD_CHARS) -> DataFrame:
-    """Encodes and writes; returns the written table of files."""
+                      text_col: str = "text", shard_chars: int = SHARD_CHARS, added: bool = False) -> DataFrame:
+    """Encodes and writes; returns the written table of files. ``added``: strings
+    of added tokens get their own ids, as the library does by default; else they
+    are ordinary text."""
     spark = ready(docs.sparkSession)
     texts = pick(docs, doc_id=F.col(f"`{id_col}`").cast("long"), text=F.col(f"`{text_col}`").cast("string"))
     bounds = _bounds(texts, shard_chars)
     with open(tokenizer_path, encoding="utf-8") as f:
         sent = spark.sparkContext.broadcast(Vocabulary(f.read()))     # bounded by its file
-    rows = texts.mapInArrow(_encode(sent, end_id, bounds), "shard int, doc_id long, width int, packed binary")
+    rows = texts.mapInArrow(_encode(sent, end_id, bounds, added), "shard int, doc_id long, width int, packed binary")
     files = (rows.repartition(len(bounds) + 1, "shard").sortWithinPartitions("shard", "doc_id", "packed")
              .mapInArrow(_files, FILE))
     return stage(files, "token-files")

@@ -61,3 +61,15 @@ def test_lookup_and_empty(spark, frame):
     assert [(r.occurrences, r["first"]) for r in T.lookup(spark, files, the).collect()] == [(2, 0)]
     assert T.read_documents(T.write_token_files(frame([]), PATH)).collect() == []
     assert T.WaveletMatrix(T.build(np.zeros(0, np.uint16), [])).all().tolist() == []
+
+
+def test_added_tokens_as_the_library_encodes_them(frame):
+    tok = Tokenizer.from_file(PATH)
+    rows = list(enumerate(texts() + ["a<|endoftext|>b", "x <|startoftext|> y", "<|endoftext|><|endoftext|>", "end <|ENDOFTEXT|>"]))
+    packed = [(d, np.array(tok.encode(t or "", add_special_tokens=False).ids + [1], "<u4")) for d, t in rows]
+    ends = np.cumsum([len(ids) for _, ids in packed])
+    got = T.read_documents(T.write_token_files(frame(rows), PATH, added=True, shard_chars=5000)).collect()
+    assert sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in got) == [
+        (d, e - len(ids), len(ids), zlib.crc32(ids.tobytes())) for (d, ids), e in zip(packed, ends.tolist(), strict=True)]
+    plain = T.write_token_files(frame(rows), PATH)
+    assert T.lookup(frame([]).sparkSession, plain, 49407).collect()[0].occurrences == 0 < sum((ids == 49407).sum() for _, ids in packed)
