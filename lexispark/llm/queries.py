@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, bpe, decontam, langid, linededup, lm, neardup, pii, quality, tokenfile
+from . import ann, blocknames, bpe, decontam, langid, linededup, lm, neardup, pii, quality, spelling, tokenfile, trie
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -171,3 +171,111 @@ DEMO_KEY = b"key of the registered query"
 @query
 def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.replace_pii(table(spark, sf_dir, "documents"), DEMO_KEY)
+
+
+# ------------------------------------------------------------ 13 exact dedup
+
+@query
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocknames.exact_dedup(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_exact_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS bare
+  FROM documents)
+SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY bare) AS group_size,
+       row_number() OVER w = 1 AS kept, sha256(bare) AS text_sha256
+FROM d WINDOW w AS (PARTITION BY bare ORDER BY n DESC, doc_id)
+"""
+
+
+# ------------------------------------------------------------ 12 conversation trie
+
+@query
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def crc32_sql(code_points: str) -> str:
+    """DuckDB SQL for the unsigned CRC-32 of a list of bytes (UBIGINT)."""
+    step = "list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]), lambda x, z: xor(x >> 1, (x & 1) * 3988292384::UBIGINT))"
+    return f"xor(4294967295::UBIGINT, list_reduce(list_concat([4294967295::UBIGINT], {code_points}), lambda c, b: {step}))"
+
+
+ORACLE["op12_conversation_trie"] = f"""
+WITH t AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos,
+         coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+cv AS (
+  SELECT c, c - c % 5 AS base, {crc32_sql("list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: ascii(x)::UBIGINT)")} % 9 AS h
+  FROM (SELECT DISTINCT c FROM t)),
+lent AS (SELECT cv.c, pos, role, text FROM cv JOIN t ON t.c = cv.base AND pos <= h),
+cut AS (SELECT c, h, coalesce(k, 0) AS k FROM cv LEFT JOIN (SELECT c, count(*) AS k FROM lent GROUP BY c) USING (c)),
+r AS (
+  SELECT * FROM lent
+  UNION ALL SELECT t.c, k + pos - h, role, text FROM t JOIN cut ON t.c = cut.c AND pos > h),
+p AS (
+  SELECT c, CAST(pos AS BIGINT) AS d, strlen(text) AS b,
+         string_agg(sha256(length(role) || ':' || role || text), '') OVER (PARTITION BY c ORDER BY pos) AS k FROM r
+  UNION ALL SELECT c, 0, 0, '' FROM cv),
+size AS (SELECT c, max(d) AS n FROM p GROUP BY c),
+node AS (
+  SELECT d, sha256(k) AS k, min(c) AS conv, count(*) AS n_convs, max(b) AS b,
+         sha256(coalesce(string_agg(CASE WHEN n = d THEN CAST(c AS VARCHAR) END, ',' ORDER BY c), '')) AS ends
+  FROM p JOIN size USING (c) GROUP BY d, k),
+own AS (SELECT c, p.d, node.conv FROM p JOIN node ON p.d = node.d AND sha256(p.k) = node.k),
+tree AS (SELECT node.*, own.conv AS up FROM node LEFT JOIN own ON own.c = node.conv AND own.d = node.d - 1),
+kids AS (SELECT up AS conv, d - 1 AS d, count(*) AS n FROM tree WHERE d > 0 GROUP BY up, d - 1),
+below AS (
+  SELECT own.conv, own.d, sum(CASE WHEN kids.n IS NULL THEN 1 ELSE 0 END) AS leaves, sum((n_convs - 1) * b) AS saved
+  FROM tree LEFT JOIN kids ON kids.conv = tree.conv AND kids.d = tree.d JOIN own ON own.c = tree.conv AND own.d <= tree.d
+  GROUP BY own.conv, own.d)
+SELECT tree.conv AS conv_id, tree.d AS depth, up AS parent_conv_id, n_convs, coalesce(kids.n, 0) AS n_children,
+       CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, ends AS ends_sha256
+FROM tree JOIN below ON below.conv = tree.conv AND below.d = tree.d LEFT JOIN kids ON kids.conv = tree.conv AND kids.d = tree.d
+"""
+
+
+# ------------------------------------------------------------ 11 spelling variants
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(spelling.words(table(spark, sf_dir, "documents")))
+
+
+_BYTES = ("flatten(list_transform(string_split(concat(doc_id, ':', w), ''), "
+          "lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::UBIGINT] ELSE [195, unicode(x) - 64]::UBIGINT[] END))")
+ORACLE["op11_spelling_variants"] = f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w
+  FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')) AS w FROM documents)
+  WHERE length(w) >= 6),
+hashed AS (SELECT w, count(*) AS n, {crc32_sql(_BYTES)} AS h FROM runs GROUP BY doc_id, w),
+words AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT CASE WHEN h % 199 = 0 THEN concat(left(w, CAST(h % length(w) AS BIGINT)), substr(w, CAST(h % length(w) AS BIGINT) + 2))
+               ELSE w END AS word, n FROM hashed)
+  GROUP BY word HAVING length(word) >= 6 AND sum(n) >= 5),
+cuts AS MATERIALIZED (
+  SELECT word, i, concat(left(word, i - 1), substr(word, i + 1)) AS cut
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT a.word AS a, b.word AS b FROM cuts a JOIN cuts b ON a.i = b.i AND a.cut = b.cut AND a.word <> b.word
+  UNION SELECT cuts.word, words.word FROM cuts JOIN words ON words.word = cut
+  UNION SELECT words.word, cuts.word FROM cuts JOIN words ON words.word = cut),
+near AS (
+  SELECT a, b, words.n, count(*) OVER (PARTITION BY a) AS n_near,
+         row_number() OVER (PARTITION BY a ORDER BY words.n DESC, b) AS rank
+  FROM pairs JOIN words ON words.word = b),
+forms AS MATERIALIZED (
+  SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN near.n >= 5 * words.n THEN b END AS form,
+         CASE WHEN near.n >= 5 * words.n THEN near.n END AS form_n
+  FROM words LEFT JOIN near ON a = word AND rank = 1),
+chain AS (
+  SELECT word, word AS at FROM forms
+  UNION ALL SELECT chain.word, forms.form FROM chain JOIN forms ON forms.word = chain.at WHERE forms.form IS NOT NULL),
+roots AS (SELECT chain.word, chain.at AS root FROM chain JOIN forms ON forms.word = chain.at WHERE forms.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)
+"""
