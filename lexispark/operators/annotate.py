@@ -13,8 +13,11 @@ The contract is four aligned arrays per text. Two interchangeable backends:
 * ``annotate_with_table`` - the word table as a DataFrame, joined: for lexicons
   too large to send to every task.
 * ``annotate_with_tagger`` - a caller-supplied Python tagger run by
-  ``mapInPandas``, built once per task, for real statistical taggers. Spark
-  still partitions the texts; the tagger only sees one batch.
+  ``mapInArrow``, built once per worker process, for real statistical taggers.
+  Spark still partitions the texts; a text that the tagger fails on becomes an
+  error row.
+
+Gazetteers too large for a ``Lexicon`` are in ``gazetteer``.
 """
 
 from __future__ import annotations
@@ -142,13 +145,36 @@ PHRASE_LEXICON = replace(TEST_LEXICON, gazetteers=(
 ))
 
 
+#: Bytes of a lexicon file that is read on the driver and sent with each task.
+LEXICON_BYTES = 64 << 20
+
+
+def _bounded_lines(spark, path: str, beyond: str) -> list:
+    lines = spark.read.text(path)
+    size = lines.agg(F.coalesce(F.sum(F.octet_length("value")), F.lit(0))).collect()[0][0]
+    if size > LEXICON_BYTES:
+        raise ValueError(f"{path} holds {size} bytes, over {LEXICON_BYTES}: {beyond}")
+    return lines.collect()
+
+
+def read_gazetteer(spark, gazetteers: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """LABEL=path files, one word or phrase a line, as a table (label, phrase) and
+    the labels in order; nothing is collected."""
+    pairs = [g.split("=", 1) for g in gazetteers]
+    frames = [spark.read.text(path).select(F.lit(label).alias("label"), F.col("value").alias("phrase")) for label, path in pairs]
+    table = frames[0]
+    for f in frames[1:]:
+        table = table.unionByName(f)
+    return table, list(dict.fromkeys(label for label, _ in pairs))
+
+
 def read_lexicon(spark, words: str, gazetteers: Sequence[str] = (), base: Lexicon | None = None) -> Lexicon:
     """A lexicon from files (any path Spark reads). ``words``: tab-separated
     word, tag, lemma (may be missing); lines ``-suffix tag`` are suffix rules in
     order. ``gazetteers``: LABEL=path, one word or phrase a line, first wins."""
     base = base or Lexicon(words={})
     table, suffixes = dict(base.words), list(base.suffix_rules)
-    for r in spark.read.text(words).collect():
+    for r in _bounded_lines(spark, words, "annotate_with_table joins a table of words of any size"):
         parts = [x.strip() for x in r[0].split("\t")]
         if len(parts) < 2 or not parts[0]:
             continue
@@ -156,7 +182,8 @@ def read_lexicon(spark, words: str, gazetteers: Sequence[str] = (), base: Lexico
             suffixes.append((parts[0][1:].lower(), parts[1]))
         else:
             table[parts[0].lower()] = (parts[1], parts[2] if len(parts) > 2 and parts[2] else parts[0].lower())
-    lists = [(label, tuple(r[0].strip() for r in spark.read.text(path).collect() if r[0].strip()))
+    hint = "gazetteer.annotate_with_gazetteer takes a table of phrases of any size"
+    lists = [(label, tuple(r[0].strip() for r in _bounded_lines(spark, path, hint) if r[0].strip()))
              for label, path in (g.split("=", 1) for g in gazetteers)]
     return replace(base, words=table, suffix_rules=tuple(suffixes), gazetteers=tuple(lists) or base.gazetteers)
 
@@ -286,28 +313,70 @@ def annotate_with_table(df: DataFrame, text_col: str, table: DataFrame, lex: Lex
 # --------------------------------------------------------- tagger backend
 
 Tagger = Callable[[str], tuple[Sequence[str], Sequence[str], Sequence[str], Sequence[str]]]
-
-
-def annotate_with_tagger(df: DataFrame, text_col: str, make_tagger: Callable[[], Tagger],
-                         prefix: str = "") -> DataFrame:
-    """C5 with a caller-supplied tagger. ``make_tagger()`` runs once per task
-    (models load once per worker process batch stream, not per row); the
-    tagger maps cleaned text to (tokens, lemmas, tags, ents)."""
+#: Text bytes given out at once by the tagger backend (one row at least).
+TAGGER_BYTES = 4 << 20
+_TAGGERS: dict[str, Tagger] = {}
+
+
+def _tagger(key: str, make_tagger: Callable[[], Tagger]) -> Tagger:
+    """The worker's tagger: made once for each worker process, which tasks share."""
+    if key not in _TAGGERS:
+        _TAGGERS.clear()                                   # a worker keeps one model, the last in use
+        _TAGGERS[key] = make_tagger()
+    return _TAGGERS[key]
+
+
+def _tagged_row(tagger: Tagger, text: str | None) -> tuple[list | None, str | None]:
+    """Four lists and no error, or no lists and the error of one text."""
+    try:
+        lists = [[str(x) for x in part] for part in (tagger(text) if text is not None else ((), (), (), ()))]
+        if len(lists) != 4 or len({len(x) for x in lists}) != 1:
+            raise ValueError("a tagger returns tokens, lemmas, tags and ents of one length")
+        return lists, None
+    except Exception as e:  # noqa: BLE001
+        return None, f"tagger failed: {type(e).__name__}: {e}"
+
+
+def annotate_with_tagger(df: DataFrame, text_col: str, make_tagger: Callable[[], Tagger], prefix: str = "",
+                         error_col: str = "tagger_error", max_bytes: int = TAGGER_BYTES) -> DataFrame:
+    """C5 with a caller-supplied tagger, which maps cleaned text to (tokens,
+    lemmas, tags, ents). ``make_tagger()`` runs once for each worker process, so a model
+    is loaded once however many tasks the worker runs. What a tagger raises on
+    one text (or ragged lists) becomes that row's ``error_col``, with null
+    lists; other rows go on. Rows are given out in batches of at most ``max_bytes``
+    of text, so that long texts do not pile up in a worker."""
+    import uuid
+    key = uuid.uuid4().hex
     names = [prefix + n for n in ("tokens", "lemmas", "tags", "ents")]
     arr = T.ArrayType(T.StringType())
-    schema = T.StructType(df.schema.fields + [T.StructField(n, arr, True) for n in names])
+    schema = T.StructType(df.schema.fields + [T.StructField(n, arr, True) for n in names]
+                          + [T.StructField(error_col, T.StringType(), True)])
     cleaned = "__clean_text"
 
     def run(batches):
-        tagger = make_tagger()
-        for pdf in batches:
-            out = [tagger(x) if x is not None else ([], [], [], []) for x in pdf[cleaned]]
-            pdf = pdf.drop(columns=[cleaned])
-            for i, n in enumerate(names):
-                pdf[n] = [list(o[i]) for o in out]
-            yield pdf
+        import pyarrow as pa
+        tagger = _tagger(key, make_tagger)
+
+        def made(whole, start, rows):
+            part = whole.slice(start, len(rows))
+            lists = [pa.array([r[0] if r[0] is None else r[0][i] for r in rows], pa.list_(pa.string())) for i in range(4)]
+            errors = pa.array([r[1] for r in rows], pa.string())
+            own = [part.column(i) for i in range(part.num_columns) if part.schema.names[i] != cleaned]
+            return pa.RecordBatch.from_arrays([*own, *lists, errors], names=schema.names)
+
+        for b in batches:
+            rows, start, size = [], 0, 0
+            for text in b.column(cleaned):
+                text = text.as_py()
+                if rows and size + len(text or "") > max_bytes:
+                    yield made(b, start, rows)
+                    rows, start, size = [], start + len(rows), 0
+                rows.append(_tagged_row(tagger, text))
+                size += len(text or "")
+            if rows:
+                yield made(b, start, rows)
 
-    return df.withColumn(cleaned, clean(text_col)).mapInPandas(run, schema)
+    return df.withColumn(cleaned, clean(text_col)).mapInArrow(run, schema)
 
 
 # --------------------------------------------------------- Arrow backend
@@ -451,7 +520,7 @@ def _arrow_sentence(toks, values, is_org):
     return pc.binary_join(_relist(toks, pieces), "")
 
 
-def _arrow_annotator(lex: Lexicon, text_col: str, encode: bool):
+def _arrow_annotator(lex: Lexicon, text_col: str, encode: bool, entities=None):
     def run(batches):
         import pyarrow as pa
         import pyarrow.compute as pc
@@ -461,7 +530,7 @@ def _arrow_annotator(lex: Lexicon, text_col: str, encode: bool):
             low = pc.utf8_lower(flat)
             tags = _arrow_tags(lex, flat, low)
             lemmas = _arrow_lemmas(lex, flat, low, tags)
-            ents = _arrow_ents(lex, toks, low)
+            ents = entities(toks, low) if entities else _arrow_ents(lex, toks, low)
             cols = {"tokens": toks, "tags": _relist(toks, tags), "lemmas": _relist(toks, lemmas),
                     "ents": _relist(toks, ents)}
             if encode:
@@ -478,14 +547,16 @@ def _arrow_annotator(lex: Lexicon, text_col: str, encode: bool):
     return run
 
 
-def annotate_arrow(df: DataFrame, text_col: str, lex: Lexicon = TEST_LEXICON, encode: bool = False) -> DataFrame:
+def annotate_arrow(df: DataFrame, text_col: str, lex: Lexicon = TEST_LEXICON, encode: bool = False,
+                   entities=None) -> DataFrame:
     """C1-C4 with the Arrow backend: adds ``tokens``, ``tags``, ``lemmas``,
     ``ents`` (and, with ``encode``, the encoded strings ``enc`` / ``enc_ents``
     of ``functions.tags`` built from tags and lemmas, and the org-merged
     ``sentence`` of ``sequence.merged_values``). Same results as
-    ``annotate``."""
+    ``annotate``. ``entities(tokens, lower-cased flat tokens)`` takes the place of
+    the lexicon's gazetteers (see ``gazetteer``)."""
     arr = T.ArrayType(T.StringType())
     fields = df.schema.fields + [T.StructField(n, arr, True) for n in ("tokens", "tags", "lemmas", "ents")]
     if encode:
         fields += [T.StructField(n, T.StringType(), True) for n in ("enc", "enc_ents", "sentence")]
-    return df.mapInArrow(_arrow_annotator(lex, text_col, encode), T.StructType(fields))
+    return df.mapInArrow(_arrow_annotator(lex, text_col, encode, entities), T.StructType(fields))

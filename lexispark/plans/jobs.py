@@ -11,8 +11,8 @@ Run with ``spark-submit run_job.py JOB --input IN --output OUT
 [--partitions N] [--profile local|prod] [--on-write-error raise|log]``. Options
 are named. ``nlp`` takes a lexicon from files (``--lexicon words.tsv --gazetteer
 LABEL=path ...``, see ``annotate.read_lexicon``) or a tagger (``--tagger
-module:callable``, see ``annotate.annotate_with_tagger``); without either it uses
-the lexicon of the test tables. ``word_count`` takes ``--skip-articles
+module:callable``, see ``annotate.annotate_with_tagger``), or ``--demo`` for the
+lexicon of the test tables. ``word_count`` takes ``--skip-articles
 --flush-tail --strict --raw-from``, ``report`` ``--min-count``. ``vec_example``
 takes none. A job removes what it has staged when its output is written.
 """
@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import jsonfn
 from ..operators import embed as E, orgs as O, report as R
 from ..operators.annotate import (TEST_LEXICON, Lexicon, annotate, annotate_with_tagger, annotation_strings,
-                                  read_lexicon)
+                                  read_gazetteer, read_lexicon)
+from ..operators.gazetteer import annotate_with_gazetteer
 from ..profile import Profile, by_name
 from ..schemas import ORG_PROFILE, SYNONYMS
 from ..sources import sinks
@@ -47,15 +48,25 @@ def body_extract(spark: SparkSession, inp: str, out: str, partitions: int | None
     return lines
 
 
-def nlp(spark: SparkSession, inp: str, out: str, partitions: int | None = None,
-        lexicon: Lexicon = TEST_LEXICON, on_write_error: str = "raise", make_tagger=None) -> DataFrame:
-    """Annotate each body, by the lexicon or by a tagger, and merge the four
-    strings into the original object (unknown fields kept). A bad line becomes
-    ``{"error", "raw"}``."""
+def nlp(spark: SparkSession, inp: str, out: str, partitions: int | None = None, lexicon: Lexicon | None = None,
+        on_write_error: str = "raise", make_tagger=None, gazetteer: tuple[DataFrame, list[str]] | None = None) -> DataFrame:
+    """Annotate each body, by a lexicon (its own gazetteers, or a table of
+    phrases of any size, see ``read_gazetteer``) or by a tagger, and merge the four
+    strings into the original object (unknown fields kept). A bad line, and a
+    text that the tagger fails on, becomes ``{"error", "raw"}``."""
+    if (lexicon is None) == (make_tagger is None):
+        raise ValueError("annotation needs a lexicon or a tagger")
     c = read_comments(spark, inp, partitions)
-    a = annotation_strings(annotate_with_tagger(c, "body", make_tagger) if make_tagger else annotate(c, "body", lexicon))
+    if make_tagger:
+        a = annotate_with_tagger(c, "body", make_tagger)
+    elif gazetteer:
+        a = annotate_with_gazetteer(c, "body", *gazetteer, lexicon)
+    else:
+        a = annotate(c, "body", lexicon)
+    said = F.col("tagger_error") if make_tagger else F.lit(None).cast("string")
+    a = annotation_strings(a)
     merged = jsonfn.merge_fields("value", ANNOTATIONS)
-    err = F.coalesce(F.col("error"), F.when(merged.isNull(), F.lit("not a JSON object")))
+    err = F.coalesce(F.col("error"), said, F.when(merged.isNull(), F.lit("not a JSON object")))
     lines = a.select(F.when(err.isNull(), merged)
                      .otherwise(F.to_json(F.struct(err.alias("error"), F.col("value").alias("raw"))))
                      .alias("line"))
@@ -170,9 +181,10 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--lexicon", help="word table (nlp)")
     ap.add_argument("--gazetteer", action="append", default=[], metavar="LABEL=PATH")
     ap.add_argument("--tagger", metavar="MODULE:CALLABLE", help="makes the tagger (nlp)")
+    ap.add_argument("--demo", action="store_true", help="annotate with the lexicon of the test tables (nlp)")
     a = ap.parse_args(argv)
-    if a.tagger and (a.lexicon or a.gazetteer):
-        ap.error("a tagger or a lexicon, not both")
+    if a.job == "nlp" and [bool(a.lexicon), bool(a.tagger), a.demo].count(True) != 1:
+        ap.error("nlp needs one of --lexicon, --tagger and --demo")
     if a.gazetteer and not a.lexicon:
         ap.error("gazetteers need a lexicon")
     from ..session import get_session
@@ -180,8 +192,9 @@ def main(argv: list[str] | None = None) -> int:
     if a.job == "body_extract":
         body_extract(spark, a.input, a.output, a.partitions, a.on_write_error)
     elif a.job == "nlp":
-        lexicon = read_lexicon(spark, a.lexicon, a.gazetteer) if a.lexicon else TEST_LEXICON
-        nlp(spark, a.input, a.output, a.partitions, lexicon, a.on_write_error, _callable(a.tagger))
+        lexicon = read_lexicon(spark, a.lexicon) if a.lexicon else TEST_LEXICON if a.demo else None
+        nlp(spark, a.input, a.output, a.partitions, lexicon, a.on_write_error, _callable(a.tagger),
+            read_gazetteer(spark, a.gazetteer) if a.gazetteer else None)
     elif a.job == "word_count":
         word_count(spark, a.input, a.output, a.partitions, a.skip_articles, a.on_write_error, a.flush_tail, a.strict,
                    a.raw_from)

@@ -210,6 +210,18 @@ FROM (SELECT id, subreddit, {_java_split_sql("array_to_string(tags, ' ')")} AS t
     s["annotate_ents"] = _with("SELECT id, array_to_string(ents, ' ') AS ents FROM ann")
     s["annotate_full"] = _with(_ann_str())
     s["annotate_phrases"] = _with("SELECT id, array_to_string(ents, ' ') AS ents FROM ann", PHRASE_LEXICON)
+    s["annotate_gazetteer"] = _with("""
+, low AS (SELECT id, list_transform(tokens, lambda t: lower(t)) AS t FROM tok),
+starts AS (SELECT id, t, n, unnest(range(1, len(t) - n + 2)) AS i FROM low, (VALUES (2), (3)) v(n)),
+runs AS (SELECT id, n, i, array_to_string(t[i:i + n - 1], ' ') AS g FROM starts),
+gazetteer AS (SELECT n, g FROM runs GROUP BY n, g HAVING count(DISTINCT id) > 1),
+covered AS (
+  SELECT id, p, max(n) AS n FROM (SELECT runs.id, runs.n, unnest(range(i, i + runs.n)) AS p FROM runs JOIN gazetteer USING (n, g))
+  GROUP BY id, p),
+flat AS (SELECT id, unnest(range(1, len(t) + 1)) AS p FROM low)
+SELECT id, coalesce(string_agg(CASE WHEN p IS NOT NULL THEN CASE covered.n WHEN 3 THEN 'PLACE' WHEN 2 THEN 'ORGANIZATION' ELSE 'O' END END,
+                               ' ' ORDER BY p), '') AS ents
+FROM low LEFT JOIN flat USING (id) LEFT JOIN covered USING (id, p) GROUP BY id""")
     # ---- D
     # D1 by windows, not by the patterns of the operator: tokens one by one, an
     # island for each run between other tokens, its last noun run, its adjectives

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import jsonfn
 from ..functions.text import clean, java_split, lower_split, vocab_word
 from ..operators import embed as E, orgs as O, report as R
-from ..operators.annotate import PHRASE_LEXICON, TEST_LEXICON, annotate, annotation_strings
+from ..operators.annotate import PHRASE_LEXICON, TEST_LEXICON, annotate, annotation_strings, tokens_of
+from ..operators.gazetteer import annotate_with_gazetteer
 from ..operators.sequence import combine_orgs, connected_pairs, direct_pairs
 from ..profile import LOCAL
 from ..sources import tables
@@ -481,3 +482,22 @@ def q_annotate_phrases(spark, sf_dir):
     """C4 with two gazetteers in priority order, one of phrases."""
     a = annotate(tables.comments(spark, sf_dir).transform(spread), "body", PHRASE_LEXICON)
     return annotation_strings(a).select("id", "ents")
+
+
+def _shared_runs(texts: DataFrame, n: int, label: str) -> DataFrame:
+    """A gazetteer made from the corpus: runs of ``n`` tokens in two texts or more."""
+    last = F.size("tokens") - n
+    runs = F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice("tokens", i + 1, n), " ")))
+    return (texts.select("id", F.explode(runs).alias("phrase")).distinct().groupBy("phrase")
+            .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select(F.lit(label).alias("label"), "phrase"))
+
+
+@query("annotate_gazetteer")
+def q_annotate_gazetteer(spark, sf_dir):
+    """C4 with a gazetteer that is a table (130,000 phrases at sf0.01) of two
+    labels in priority order."""
+    docs = tables.comments(spark, sf_dir).transform(spread)
+    texts = materialize(docs.select("id", F.transform(tokens_of("body"), F.lower).alias("tokens")), "tokens")
+    gazetteer = _shared_runs(texts, 3, "PLACE").unionByName(_shared_runs(texts, 2, "ORGANIZATION"))
+    a = annotate_with_gazetteer(docs, "body", gazetteer, ["PLACE", "ORGANIZATION"], TEST_LEXICON)
+    return annotation_strings(a).select("id", "ents")

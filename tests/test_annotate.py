@@ -137,3 +137,97 @@ def test_lexicon_from_files_through_the_job(spark, tmpdir_path):
     assert out["lemmas"].startswith("the large and very purple sport car be") and out["ents"].count("ORGANIZATION") == 3
     jobs.main(["nlp", "--input", at("in.json"), "--output", at("tagged"), "--tagger", "lexispark.plans.demo:make_tagger"])
     assert json.loads(spark.read.text(at("tagged")).first()[0])["tags"].split() == ["NN"] * 20
+
+
+def test_a_gazetteer_table_covers_as_a_lexicon_does(spark):
+    """Both ways (trie, joins) against the lexicon's own phrases, on random texts."""
+    import random
+
+    from lexispark.operators.gazetteer import annotate_with_gazetteer
+    rng = random.Random(1)
+    words = ["a", "B", "c", "Dd", "E", "."]
+    phrases = [(label, " ".join(rng.choices(words[:5], k=rng.randint(1, 5)))) for label in ("P", "Q", "R") for _ in range(25)]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 40))) for _ in range(120)] + [None, "", "unknown words", "a"]
+    lex = Lexicon(words={}, gazetteers=tuple((x, tuple(p for y, p in phrases if y == x)) for x in ("P", "Q", "R")))
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, body string").repartition(3)
+    want = {r["id"]: r["ents"] for r in annotate(df, "body", lex).collect()}
+    table = spark.createDataFrame(phrases + [("other", "c"), ("P", "A b"), ("Q", ""), ("Q", None)], "label string, phrase string")
+    want_ab = {r["id"]: r["ents"] for r in annotate(df, "body", Lexicon(words={}, gazetteers=(
+        ("P", (*lex.gazetteers[0][1], "a b")), *lex.gazetteers[1:]))).collect()}
+    for options in (dict(), dict(max_bytes=0), dict(max_bytes=0, few=0)):
+        got = annotate_with_gazetteer(df, "body", table, ["P", "Q", "R"], Lexicon(words={}), **options)
+        assert got.columns == ["id", "body", "tokens", "tags", "lemmas", "ents"]
+        assert {r["id"]: r["ents"] for r in got.collect()} == want_ab
+    none = annotate_with_gazetteer(df, "body", table.limit(0), ["P"], Lexicon(words={})).filter("size(array_distinct(ents)) > 1")
+    assert none.count() == 0 and want != {}
+
+
+def test_a_million_phrases_annotate(spark):
+    from pyspark.sql import functions as F
+
+    from lexispark.operators.gazetteer import annotate_with_gazetteer
+    n = F.col("id")
+    table = spark.range(1_000_000).select(F.lit("ORGANIZATION").alias("label"), F.concat_ws(
+        " ", F.concat(F.lit("w"), n % 9973), F.concat(F.lit("x"), F.floor(n / 9973)), F.when(n % 2 == 0, F.lit("Inc"))).alias("phrase"))
+    df = spark.createDataFrame([(0, "the W5 x7 of"), (1, "w6 x8 w4 X0 inc . w4 x0"), (2, "x7 w5 x101")], "id int, body string")
+    got = {r["id"]: r["ents"] for r in annotate_with_gazetteer(df, "body", table, ["ORGANIZATION"], Lexicon(words={})).collect()}
+    org = lambda i, a: (["ORGANIZATION"] * 2 if (i + 9973 * a) % 2 else ["O"] * 2)
+    assert got[0] == ["O", *org(5, 7), "O"] and got[2] == ["O", "O", "O"]
+    assert got[1] == [*org(6, 8), *["ORGANIZATION"] * 3, "O", "O", "O"]
+
+
+def test_a_taggers_error_is_its_rows_own(spark, tmpdir_path):
+    """A tagger that fails on one text of a thousand, and on one with ragged lists."""
+    import json
+    import os
+
+    from lexispark.operators.annotate import annotate_with_tagger
+    from lexispark.plans import jobs
+
+    def make():
+        def tag(text):
+            if text == "bad":
+                raise ValueError("cannot read this")
+            words = text.split()
+            return words, words, ["NN"] * len(words), ["O"] * (len(words) - (text == "ragged one"))
+        return tag
+
+    texts = [f"text number {i}" for i in range(1000)]
+    texts[500], texts[501], texts[502] = "bad", "ragged one", None
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, body string").repartition(3)
+    for max_bytes in (1, 100, 1 << 20):
+        rows = {r["id"]: r for r in annotate_with_tagger(df, "body", make, max_bytes=max_bytes).collect()}
+        assert len(rows) == 1000 and {i for i, r in rows.items() if r["tagger_error"]} == {500, 501}
+        assert rows[500]["tagger_error"] == "tagger failed: ValueError: cannot read this" and rows[500]["tokens"] is None
+        assert rows[7]["tokens"] == ["text", "number", "7"] and rows[502]["tokens"] == []
+    lines = [json.dumps({"id": str(i), "body": t}) for i, t in enumerate(texts)]
+    at = lambda n: os.path.join(tmpdir_path, n)
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(at("in"))
+    jobs.nlp(spark, at("in"), at("out"), make_tagger=make)
+    out = [json.loads(r[0]) for r in spark.read.text(at("out")).collect()]
+    errors = [x for x in out if "error" in x]
+    assert len(out) == 1000 and sorted(json.loads(x["raw"])["id"] for x in errors) == ["500", "501"]
+
+
+def test_a_tagger_is_made_once_for_a_worker(spark):
+    from lexispark.operators.annotate import annotate_with_tagger
+
+    def make():
+        import os
+        import time
+        made = f"{os.getpid()}:{time.time_ns()}"
+        return lambda text: ([made], [made], ["NN"], ["O"])
+
+    df = spark.range(400).selectExpr("id", "'x' AS body").repartition(16)
+    made = {r["tokens"][0] for r in annotate_with_tagger(df, "body", make).select("tokens").collect()}
+    assert len(made) == len({m.split(":")[0] for m in made})
+
+
+def test_nlp_needs_a_lexicon_or_a_tagger(spark, tmpdir_path):
+    import pytest
+
+    from lexispark.plans import jobs
+    with pytest.raises(ValueError):
+        jobs.nlp(spark, "in", tmpdir_path)
+    with pytest.raises(SystemExit):
+        jobs.main(["nlp", "--input", "in", "--output", tmpdir_path])

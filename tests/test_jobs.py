@@ -4,6 +4,7 @@ import os
 from pyspark.sql import functions as F
 
 from conftest import SF0001
+from lexispark.operators.annotate import TEST_LEXICON
 from lexispark.plans import jobs
 from lexispark.profile import LOCAL
 from lexispark.sources import tables
@@ -18,7 +19,7 @@ def test_job_chain(spark, tmpdir_path):
     bodies = jobs.body_extract(spark, corpus, os.path.join(tmpdir_path, "bodies"))
     assert bodies.count() == 202
     nlp_out = os.path.join(tmpdir_path, "nlp")
-    jobs.nlp(spark, corpus, nlp_out, partitions=4)
+    jobs.nlp(spark, corpus, nlp_out, partitions=4, lexicon=TEST_LEXICON)
     ann = spark.read.text(nlp_out)
     assert ann.count() == 202
     errs = [json.loads(r["value"]) for r in ann.filter(F.col("value").contains('"error"')).collect()]
