@@ -361,10 +361,11 @@ def q_w2v_vocab(spark, sf_dir):
 def q_w2v_doc_vectors(spark, sf_dir):
     s = wc_sentences(spark, sf_dir)
     model = E.fit(s, QUERY_PROFILE)
-    docs = materialize(E.doc_vectors(model, s), "doc-vectors")
+    vecs = E.word_vectors(model, spark)
+    docs = materialize(E.doc_vectors(vecs, s, dims=QUERY_PROFILE.vector_size), "doc-vectors")
     # the definition, by joins: the mean of the vectors of a sentence's words
     words = docs.select("id", F.size("text").alias("n"), F.explode("text").alias("word"))
-    parts = (words.join(E.word_vectors(model, spark), "word").select("id", "n", F.posexplode("vec").alias("at", "x"))
+    parts = (words.join(vecs, "word").select("id", "n", F.posexplode("vec").alias("at", "x"))
              .groupBy("id", "at").agg((F.sum("x") / F.first("n")).alias("x"))
              .groupBy("id").agg(F.sort_array(F.collect_list(F.struct("at", "x"))).alias("mean")))
     known = (words.join(E.vocabulary_counts(s, QUERY_PROFILE.min_word_count).select("word"), "word", "left_semi")
