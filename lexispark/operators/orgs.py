@@ -99,6 +99,19 @@ def compact(tagged: DataFrame, skip_articles: bool = False, flush_tail: bool = F
                       F.when(F.size("mentions") > 0, F.col("sentence")).alias("sentence"))
 
 
+def casing_counts(tagged: DataFrame, flush_tail: bool = False) -> DataFrame:
+    """E4's first level: mentions per (org_lower, subreddit, org), every casing
+    by itself. Counts of parts of a corpus add up to those of the whole."""
+    return (mentions(tagged, flush_tail).groupBy(F.lower("org").alias("org_lower"), "subreddit", "org")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def org_counts_of(casings: DataFrame) -> DataFrame:
+    """E4 from (partial) counts of casings."""
+    return (casings.groupBy("org_lower", "subreddit")
+            .agg(F.min("org").alias("org"), F.sum("n").cast("bigint").alias("count")))
+
+
 def org_counts(tagged: DataFrame, flush_tail: bool = False) -> DataFrame:
     """Mentions per (lower-cased org, community); the display casing kept
     is the smallest one (deterministic).
@@ -108,16 +121,12 @@ def org_counts(tagged: DataFrame, flush_tail: bool = False) -> DataFrame:
     shuffle - and only the few casings per organization reach the ``min``
     (whose string buffer would otherwise force a sort-based aggregation over
     every mention)."""
-    m = mentions(tagged, flush_tail)
     if tagged.isStreaming:
         # one stateful aggregation (chained aggregations need event-time
         # watermarks in Structured Streaming); state lives in the state store
-        return (m.groupBy(F.lower("org").alias("org_lower"), "subreddit")
+        return (mentions(tagged, flush_tail).groupBy(F.lower("org").alias("org_lower"), "subreddit")
                 .agg(F.min("org").alias("org"), F.count(F.lit(1)).alias("count")))
-    per_casing = (m.groupBy(F.lower("org").alias("org_lower"), "subreddit", "org")
-                  .agg(F.count(F.lit(1)).alias("n")))
-    return (per_casing.groupBy("org_lower", "subreddit")
-            .agg(F.min("org").alias("org"), F.sum("n").cast("bigint").alias("count")))
+    return org_counts_of(casing_counts(tagged, flush_tail))
 
 
 # ------------------------------------------------------------ E5 / E6
@@ -151,26 +160,130 @@ def _sorted_adjs(is_direct: bool) -> Column:
     return F.transform(F.sort_array(picked), lambda s: F.struct(s["adj"].alias("adj"), s["count"].alias("count")))
 
 
-def org_profile(joined: DataFrame, sort: bool = True) -> DataFrame:
-    """T8 rows (noun, subreddit, numNoun, directAdj, connectedAdj).
-    Grouping keeps the join key, so the join's partitioning is reused."""
+def _ranked(prof: DataFrame, sort: bool) -> DataFrame:
+    return prof.orderBy(F.desc("numNoun"), F.desc("noun"), F.desc("subreddit")) if sort else prof
+
+
+def short_profile(joined: DataFrame, sort: bool = True) -> DataFrame:
+    """E8-E11 where the lists are short (``top_adjs``): grouping keeps the join's
+    key, so the join's partitioning is reused."""
     prof = (joined.groupBy("org_lower", "subreddit")
             .agg(F.first("org").alias("noun"), F.first("count").alias("numNoun"),
                  _sorted_adjs(True).alias("directAdj"), _sorted_adjs(False).alias("connectedAdj"))
             .select("noun", "subreddit", F.col("numNoun").cast("bigint").alias("numNoun"),
                     "directAdj", "connectedAdj"))
-    if sort:
-        prof = prof.orderBy(F.desc("numNoun"), F.desc("noun"), F.desc("subreddit"))
-    return prof
+    return _ranked(prof, sort)
+
+
+_ROW = "noun string, subreddit string, numNoun bigint, {0}, {1}".format(
+    *(f"{c} array<struct<adj:string,count:bigint>>" for c in ("directAdj", "connectedAdj")))
+
+
+def _lists(rows, piece: int | None):
+    """Rows (org_lower, subreddit, kind, name, count) of whole groups, in order, as
+    profiles; a group that does not begin with its organization has none."""
+    import numpy as np
+    import pyarrow as pa
+    kind = rows.column("kind").to_numpy()
+    starts = _starts(rows, None)
+    owned = np.repeat(kind[starts] == 0, np.diff(np.append(starts, len(kind))))
+    heads = starts[kind[starts] == 0]
+    group = np.cumsum(np.isin(np.arange(len(kind)), heads)) - 1
+
+    def nested(which):
+        picked = np.flatnonzero(owned & (kind == which))
+        ends = np.concatenate([[0], np.cumsum(np.bincount(group[picked], minlength=len(heads)))]) if len(heads) else [0]
+        values = pa.StructArray.from_arrays([rows.column("name").take(pa.array(picked)), rows.column("count").take(pa.array(picked))],
+                                            ["adj", "count"])
+        return pa.ListArray.from_arrays(pa.array(np.asarray(ends, np.int32)), values)
+
+    own = rows.take(pa.array(heads))
+    columns = [own.column("name"), own.column("subreddit"), own.column("count"), nested(1), nested(2)]
+    names = ["noun", "subreddit", "numNoun", "directAdj", "connectedAdj"]
+    if piece is not None:
+        columns, names = [*columns, pa.array(np.full(len(heads), piece, np.int32))], [*names, "piece"]
+    return pa.RecordBatch.from_arrays(columns, names=names)
+
+
+def _starts(rows, before: tuple | None):
+    """Places where a group begins; ``before``: the key of the row before, if any."""
+    import numpy as np
+    import pyarrow.compute as pc
+    n = rows.num_rows
+    new = np.zeros(n, bool)
+    for c in ("org_lower", "subreddit"):
+        x = rows.column(c)
+        a, b = x.slice(1), x.slice(0, n - 1)
+        same = pc.fill_null(pc.equal(a, b), False).to_numpy(zero_copy_only=False)
+        same |= pc.and_(pc.is_null(a), pc.is_null(b)).to_numpy(zero_copy_only=False)
+        new[1:] |= ~same
+    first = (rows.column("org_lower")[0].as_py(), rows.column("subreddit")[0].as_py())
+    new[0] = before is None or first != before
+    return np.flatnonzero(new)
+
+
+def _stream(piece_rows: int | None):
+    """Sorted rows to profiles, one group after the other; held are the open
+    group's rows, in Arrow buffers, at most ``piece_rows`` of them if it is given."""
+    def run(batches):
+        import pyarrow as pa
+        held, key, count, piece = [], None, 0, 0
+
+        def close():
+            return _lists(pa.Table.from_batches(held).combine_chunks().to_batches()[0], piece if piece_rows else None)
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            starts = _starts(b, key).tolist()
+            first, last = (starts[0], starts[-1]) if starts else (b.num_rows, None)
+            at = 0
+            while at < first:                                             # the open group goes on
+                room = first - at if piece_rows is None else min(first - at, max(1, piece_rows - count))
+                held.append(b.slice(at, room))
+                count, at = count + room, at + room
+                if piece_rows is not None and count >= piece_rows:
+                    yield close()
+                    held, count, piece = [held[0].slice(0, 1)], 0, piece + 1
+            if last is None:
+                continue
+            if held and (count or not piece):
+                yield close()
+            if last > first:
+                yield _lists(b.slice(first, last - first), 0 if piece_rows else None)
+            held, count, piece = [b.slice(last)], b.num_rows - last - 1, 0
+            key = (b.column("org_lower")[last].as_py(), b.column("subreddit")[last].as_py())
+        if held and (count or not piece):
+            yield close()
+    return run
+
+
+def org_profile(orgs: DataFrame, adjs: DataFrame, sort: bool = True, piece_rows: int | None = None) -> DataFrame:
+    """T8 rows (noun, subreddit, numNoun, directAdj, connectedAdj) of
+    organizations (E4) and counted adjectives (E6).
+
+    A secondary sort in place of join, group and lists in an aggregation
+    buffer: both sides are shuffled once by (org_lower, subreddit) and sorted (Spark's
+    external sort), an organization before its adjectives, these by count; a
+    task then cuts the stream into rows. No group is sorted or buffered in the JVM, and
+    only the lists of one output row are held. With ``piece_rows`` an organization
+    with more adjectives makes several rows, numbered by a column ``piece``, for
+    rows beyond what one line should hold; readers of organizations take piece 0."""
+    both = (orgs.select("org_lower", "subreddit", F.lit(0).alias("kind"), F.col("org").alias("name"), F.col("count").cast("bigint"))
+            .unionByName(adjs.filter(F.col("org_lower").isNotNull() & F.col("subreddit").isNotNull()).select(
+                "org_lower", "subreddit", F.when(F.col("is_direct"), 1).otherwise(2).alias("kind"), F.col("adj").alias("name"),
+                F.col("adj_count").cast("bigint").alias("count"))))
+    rows = both.repartition("org_lower", "subreddit").sortWithinPartitions("org_lower", "subreddit", "kind", F.desc("count"), "name")
+    return _ranked(rows.mapInArrow(_stream(piece_rows), _ROW + (", piece int" if piece_rows else "")), sort)
 
 
 def profile_from_tagged(tagged: DataFrame, skip_articles: bool = False, sort: bool = True,
-                        flush_tail: bool = False, top: int | None = None) -> DataFrame:
+                        flush_tail: bool = False, top: int | None = None, piece_rows: int | None = None) -> DataFrame:
     """E3-E11; ``top``: only the so many most frequent adjectives of each kind."""
-    adjs = adj_counts(adj_pairs(tagged, skip_articles, flush_tail))
+    orgs, adjs = org_counts(tagged, flush_tail), adj_counts(adj_pairs(tagged, skip_articles, flush_tail))
     if top is not None:
-        adjs = top_adjs(adjs, top)
-    return org_profile(org_adj_join(org_counts(tagged, flush_tail), adjs), sort)
+        return short_profile(org_adj_join(orgs, top_adjs(adjs, top)), sort)
+    return org_profile(orgs, adjs, sort, piece_rows)
 
 
 def top_adjs(adjs: DataFrame, top: int) -> DataFrame:
@@ -208,9 +321,10 @@ def value_count_sorted(df: DataFrame, c: str) -> DataFrame:
 def orgs_readback(profile_lines: DataFrame) -> DataFrame:
     """T8 JSON lines (``value``) -> (subreddit, org, count)."""
     v = jsonfn.parse("value")
-    return profile_lines.select(jsonfn.string_field(v, "subreddit").alias("subreddit"),
-                                jsonfn.string_field(v, "noun").alias("org"),
-                                jsonfn.long_field(v, "numNoun").alias("count"))
+    first = profile_lines.filter(jsonfn.long_field(v, "piece") == 0)        # later pieces repeat their organization
+    return first.select(jsonfn.string_field(v, "subreddit").alias("subreddit"),
+                        jsonfn.string_field(v, "noun").alias("org"),
+                        jsonfn.long_field(v, "numNoun").alias("count"))
 
 
 def sentence_tokens(sentence_lines: DataFrame) -> DataFrame:

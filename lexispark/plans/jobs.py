@@ -13,13 +13,14 @@ are named. ``nlp`` takes a lexicon from files (``--lexicon words.tsv --gazetteer
 LABEL=path ...``, see ``annotate.read_lexicon``) or a tagger (``--tagger
 module:callable``, see ``annotate.annotate_with_tagger``), or ``--demo`` for the
 lexicon of the test tables. ``word_count`` takes ``--skip-articles
---flush-tail --strict --raw-from``, ``report`` ``--min-count``. ``vec_example``
+--flush-tail --strict --raw-from --state --piece-rows``, ``report`` ``--min-count``. ``vec_example``
 takes none. A job removes what it has staged when its output is written.
 """
 
 from __future__ import annotations
 
 import argparse
+import hashlib
 import sys
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -32,7 +33,10 @@ from ..operators.gazetteer import annotate_with_gazetteer
 from ..profile import Profile, by_name
 from ..schemas import ORG_PROFILE, SYNONYMS
 from ..sources import sinks
+from ..sources.outputs import input_files, remove_folder, settle
 from ..sources.text import read_comments, read_lines
+from . import incremental
+from .incremental import Counts
 from .stages import materialize, materialize_by, remove_stages
 
 ANNOTATIONS = ["tokens", "lemmas", "tags", "ents"]
@@ -70,27 +74,37 @@ def nlp(spark: SparkSession, inp: str, out: str, partitions: int | None = None,
     lines = a.select(F.when(err.isNull(), merged)
                      .otherwise(F.to_json(F.struct(err.alias("error"), F.col("value").alias("raw"))))
                      .alias("line"))
-    sinks.guarded_write(lambda p: lines.write.mode("overwrite").text(p), out, on_write_error)
+    sinks.guarded_write(lambda p: sinks.write_text(lines, "line", p, escape=False), out, on_write_error)
     return lines
 
 
 def word_count(spark: SparkSession, inp: str, out: str, partitions: int | None = None,
                skip_articles: bool = False, on_write_error: str = "raise", flush_tail: bool = False,
-               strict: bool = False, raw_from: str = "lemmas") -> tuple[DataFrame, DataFrame]:
+               strict: bool = False, raw_from: str = "lemmas", state: str | None = None,
+               piece_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
     """T8 + T9 from annotated lines. Each comment's mentions, pairs and sentence
-    are computed once, staged, and read by the three branches. Malformed lines
-    are counted by their error in /errors (with ``strict`` they fail the job)."""
-    lines = O.tagged_from_annotated(read_lines(spark, inp, partitions), strict, raw_from)
-    good = F.col("error").isNull()
-    tagged = materialize(_staged(lines, skip_articles, flush_tail), "tagged")
-    errors = tagged.filter(~good).groupBy("error").agg(F.count(F.lit(1)).alias("lines"))
-    tagged = tagged.filter(good)
-    prof = O.profile_from_tagged(tagged)
-    sents = O.org_sentences(tagged).select("subreddit", "sentence")
-    sinks.guarded_write(lambda p: sinks.write_json_lines(errors, p), f"{out}/errors", on_write_error)
+    are computed once, staged, and read by the branches. Malformed lines are counted
+    by their error in /errors (with ``strict`` they fail the job). With ``state`` the
+    job is incremental: only input files that it has not seen are read (see
+    ``incremental``), and the outputs are those of all files."""
+    settle(spark, inp)
+
+    def counted(lines: DataFrame) -> Counts:
+        tagged = materialize(_staged(O.tagged_from_annotated(lines, strict, raw_from), skip_articles, flush_tail), "tagged")
+        good = tagged.filter(F.col("error").isNull())
+        errors = tagged.filter(F.col("error").isNotNull()).groupBy("error").agg(F.count(F.lit(1)).alias("lines"))
+        return Counts(O.casing_counts(good), O.adj_counts(O.adj_pairs(good)), O.org_sentences(good).select("subreddit", "sentence"), errors)
+
+    if state is None:
+        c = counted(read_lines(spark, inp, partitions))
+    else:
+        c = incremental.advance(spark, inp, state, lambda paths: counted(read_lines(spark, paths, partitions)),
+                                f"{skip_articles} {flush_tail} {raw_from}")
+    prof = O.org_profile(O.org_counts_of(c.casings), c.adjs, piece_rows=piece_rows)
+    sinks.guarded_write(lambda p: sinks.write_json_lines(c.errors, p), f"{out}/errors", on_write_error)
     sinks.guarded_write(lambda p: sinks.write_json_lines(prof, p), f"{out}/orgs", on_write_error)
-    sinks.guarded_write(lambda p: sinks.write_json_lines(sents, p), f"{out}/orgsSentences", on_write_error)
-    return prof, sents
+    sinks.guarded_write(lambda p: sinks.write_json_lines(c.sentences, p), f"{out}/orgsSentences", on_write_error)
+    return prof, c.sentences
 
 
 def _staged(lines: DataFrame, skip_articles: bool, flush_tail: bool) -> DataFrame:
@@ -101,7 +115,13 @@ def _staged(lines: DataFrame, skip_articles: bool, flush_tail: bool) -> DataFram
 
 def word_to_vec(spark: SparkSession, inp: str, out: str, profile: Profile, partitions: int | None = None,
                 on_write_error: str = "raise") -> DataFrame:
-    """T10 + T13: community counts, whole-corpus and per-community synonyms."""
+    """T10 + T13: community counts, whole-corpus and per-community synonyms. The
+    communities' results are kept in a hidden folder of ``out`` until all are there, by
+    the files they come from: a run that was cut off is resumed."""
+    for folder in ("orgs", "orgsSentences"):
+        settle(spark, f"{inp}/{folder}")
+    files = input_files(spark, f"{inp}/orgs") + input_files(spark, f"{inp}/orgsSentences")
+    ledger = f"{out}/_models/{hashlib.sha256(repr(files).encode()).hexdigest()[:32]}"
     orgs = materialize(O.orgs_readback(read_lines(spark, f"{inp}/orgs", partitions)), "orgs")
     sents = materialize(O.sentence_tokens(read_lines(spark, f"{inp}/orgsSentences", partitions)), "sentences")
     counts = O.group_counts_sorted(sents)
@@ -112,9 +132,11 @@ def word_to_vec(spark: SparkSession, inp: str, out: str, profile: Profile, parti
     # qualifying communities only, clustered: each fit reads little but its own
     by_group = E.synonyms_by_group(materialize_by(O.group_sentences(sents, groups), "subreddit", "group-sentences"),
                                    materialize_by(O.orgs_over_threshold(orgs, groups, profile.min_org_count),
-                                                  "subreddit", "group-orgs"), groups, profile)
-    sinks.guarded_write(lambda p: sinks.write_json_lines(by_group, p, partition_by=["subreddit"]),
-                        f"{out}/orgSynonyms", on_write_error)
+                                                  "subreddit", "group-orgs"), groups, profile, ledger=ledger)
+    by_group = materialize(by_group, "group-synonyms")
+    written = sinks.guarded_write(lambda p: sinks.write_by_value(by_group, "subreddit", p), f"{out}/orgSynonyms", on_write_error)
+    if written:
+        remove_folder(spark, f"{out}/_models")
     return all_syn.unionByName(by_group)
 
 
@@ -123,6 +145,8 @@ def report(spark: SparkSession, word_count_out: str, word_to_vec_out: str, out:
            partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
     """T14 + T15 (A7/A8: many part files, whole-corpus and per-community
     synonyms read and unioned)."""
+    for path in (f"{word_count_out}/orgs", f"{word_to_vec_out}/all", f"{word_to_vec_out}/orgSynonyms"):
+        settle(spark, path)
     prof = spark.read.schema(ORG_PROFILE).json(f"{word_count_out}/orgs")
     adj = R.adjective_report(prof, min_count)
     syn_schema = SYNONYMS
@@ -177,6 +201,8 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--flush-tail", action="store_true")
     ap.add_argument("--strict", action="store_true")
     ap.add_argument("--raw-from", default="lemmas", choices=["lemmas", "tokens"])
+    ap.add_argument("--state", help="folder of an incremental word_count")
+    ap.add_argument("--piece-rows", type=int, default=None, help="adjectives of one output row (word_count)")
     ap.add_argument("--min-count", type=int, default=R.REPORT_MIN_COUNT)
     ap.add_argument("--lexicon", help="word table (nlp)")
     ap.add_argument("--gazetteer", action="append", default=[], metavar="LABEL=PATH")
@@ -197,7 +223,7 @@ def main(argv: list[str] | None = None) -> int:
             read_gazetteer(spark, a.gazetteer) if a.gazetteer else None)
     elif a.job == "word_count":
         word_count(spark, a.input, a.output, a.partitions, a.skip_articles, a.on_write_error, a.flush_tail, a.strict,
-                   a.raw_from)
+                   a.raw_from, a.state, a.piece_rows)
     elif a.job == "word_to_vec":
         word_to_vec(spark, a.input, a.output, by_name(a.profile), a.partitions, a.on_write_error)
     elif a.job == "report":

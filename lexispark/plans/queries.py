@@ -446,7 +446,7 @@ def flat_items(c: str, name: str = "adjective") -> F.Column:
 def q_adjective_report(spark, sf_dir):
     t = tagged(spark, sf_dir)
     adjs = R.report_adjs(O.adj_counts(O.adj_pairs(t)))
-    r = R.adjective_report(O.org_profile(O.org_adj_join(O.org_counts(t), adjs), sort=False), REPORT_MIN_COUNT)
+    r = R.adjective_report(O.short_profile(O.org_adj_join(O.org_counts(t), adjs), sort=False), REPORT_MIN_COUNT)
     return r.select("id", "data.noun", "data.subreddit", "data.count",
                     flat_items("data.directAdjectives").alias("directAdjectives"),
                     flat_items("data.connectedAdjectives").alias("connectedAdjectives"))

@@ -108,3 +108,70 @@ def test_raw_values_and_strict_lines(spark):
     assert O.tagged_from_annotated(lines, raw_from="tokens").first()["raws"] == ["Cars", "are"]
     with pytest.raises(Exception, match="malformed annotated line"):
         O.tagged_from_annotated(spark.createDataFrame([("{bad",)], "value string"), strict=True).collect()
+
+
+def _counted(spark, hot=400):
+    import random
+    rng = random.Random(6)
+    orgs = [(f"o{i}", g, f"O{i}", rng.randint(1, 9)) for i in range(60) for g in ("a", "b", None, "")] + [("hot", "a", "Hot", 7)]
+    adjs = {(f"o{rng.randint(0, 90)}", rng.choice(["a", "b", "c", None, ""]), f"x{rng.randint(0, 30)}", rng.random() < 0.5): rng.randint(1, 4)
+            for _ in range(3000)} | {("hot", "a", f"y{i}", i % 3 == 0): i % 5 + 1 for i in range(hot)}
+    return (spark.createDataFrame(orgs, "org_lower string, subreddit string, org string, count long").repartition(3),
+            spark.createDataFrame([(*k, n) for k, n in adjs.items()],
+                                  "org_lower string, subreddit string, adj string, is_direct boolean, adj_count long").repartition(5))
+
+
+def test_streamed_profiles_are_the_joins_lists(spark):
+    """E8/E9 as a secondary sort against join, group and collect_list."""
+    orgs, adjs = _counted(spark)
+    plain = lambda df: sorted(map(str, df.collect()))
+    want = plain(O.short_profile(O.org_adj_join(orgs, adjs), sort=False))
+    assert plain(O.org_profile(orgs, adjs, sort=False)) == want and len(want) == 241
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")              # groups over many batches
+    try:
+        assert plain(O.org_profile(orgs, adjs, sort=False)) == want
+        pieces = O.org_profile(orgs, adjs, sort=False, piece_rows=50).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    whole = {}
+    for r in sorted(pieces, key=lambda r: r["piece"]):
+        row = whole.setdefault((r["noun"], r["subreddit"], r["numNoun"]), ([], []))
+        row[0].extend(r["directAdj"])
+        row[1].extend(r["connectedAdj"])
+    got = sorted(str(O_row) for O_row in (__import__("pyspark").sql.Row(noun=k[0], subreddit=k[1], numNoun=k[2], directAdj=v[0], connectedAdj=v[1])
+                                          for k, v in whole.items()))
+    assert got == want and max(r["piece"] for r in pieces) == 7
+    assert O.org_profile(orgs.limit(0), adjs, sort=False).count() == 0
+    assert O.org_profile(orgs, adjs.limit(0), sort=False).filter("size(directAdj) + size(connectedAdj) > 0").count() == 0
+
+
+def test_pieces_are_read_back_once(spark):
+    lines = ['{"subreddit":"a","noun":"X","numNoun":9,"piece":%d}' % i for i in range(3)] + ['{"subreddit":"a","noun":"Y","numNoun":1}']
+    got = O.orgs_readback(spark.createDataFrame([(x,) for x in lines], "value string")).collect()
+    assert sorted((r["org"], r["count"]) for r in got) == [("X", 9), ("Y", 1)]
+
+
+def test_five_million_adjectives_of_one_key_stay_in_bounds():
+    """The stream over one hot group, in batches as Spark gives them out: Arrow's
+    peak of memory for 5,000,000 adjectives."""
+    import pyarrow as pa
+    n, size = 5_000_000, 10_000
+
+    def batches():
+        columns = [pa.array(x) for x in (["hot"], ["s"], [0], ["Hot"], [n])]
+        yield pa.RecordBatch.from_arrays([*columns[:2], columns[2].cast(pa.int32()), *columns[3:]],
+                                         names=["org_lower", "subreddit", "kind", "name", "count"])
+        for lo in range(0, n, size):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(["hot"] * size), pa.array(["s"] * size), pa.array([1 if lo < n // 2 else 2] * size, pa.int32()),
+                 pa.array([f"adjective{i}" for i in range(lo, lo + size)]), pa.array([n - i for i in range(lo, lo + size)])],
+                names=["org_lower", "subreddit", "kind", "name", "count"])
+
+    before = pa.total_allocated_bytes()
+    (row,) = O._stream(None)(batches())
+    assert row.num_rows == 1 and len(row.column("directAdj")[0]) == len(row.column("connectedAdj")[0]) == n // 2
+    del row
+    assert pa.default_memory_pool().max_memory() - before < 1 << 30
+    made = [b.num_rows for b in O._stream(1_000_000)(batches())]
+    assert made == [1] * 5
