@@ -27,10 +27,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Memo, buffers, byte_table, coded, mix, pick, pieces, ready
+from .common import Memo, buffers, byte_table, coded, mix, pick, pieces, ready, release
 
-#: Chunks that a worker keeps between pieces of text.
-MEMO = 200_000
+#: What a worker keeps between pieces of text: bytes of a generation of kept chunks, and of kept merges of pre-tokens.
+MEMO, MERGES = 24 << 20, 12 << 20
+#: Text bytes of one step: what is made of them takes some fifty times as much.
+STEP_BYTES = 1 << 20
 BUCKET = 4
 COLUMNS = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32()), "ids_sha256": pa.string(), "decoded": pa.binary(),
            "decoded_sha256": pa.string()}
@@ -102,7 +104,7 @@ class ByteBPE:
                       if t[:k] in ranks and t[k:] in ranks}
         self.by_hash = PerfectHash(tokens)
         #: Of a worker process, for all its tasks.
-        self.memo = Memo(MEMO)
+        self.memo, self.merges = Memo(MEMO), Memo(MERGES)
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of a pre-token that is not in the vocabulary."""
@@ -137,7 +139,10 @@ class ByteBPE:
         if not words:
             return []
         found, tokens = self.by_hash.find(words).tolist(), self.tokens
-        return [[i] if tokens[i] == w else self.merge(w) for w, i in zip(words, found, strict=True)]
+        rest = [w for w, i in zip(words, found, strict=True) if tokens[i] != w]
+        merged = dict(zip(rest, self.merges.get(rest, lambda ws: [np.asarray(self.merge(w), "<i4").tobytes() for w in ws]),
+                          strict=True))
+        return [np.frombuffer(merged[w], "<i4").tolist() if w in merged else [i] for w, i in zip(words, found, strict=True)]
 
     def encode_chunks(self, chunks: list[bytes]) -> list[list[int]]:
         """Ids of each text."""
@@ -190,15 +195,15 @@ def _encode(sent, columns: tuple[str, ...]):
     def run(batches):
         bpe: ByteBPE = sent.value
 
-        def ids_and_text(chunks: list[bytes]) -> list[tuple[list[int], str]]:
-            return [(ids, ",".join(map(str, ids))) for ids in bpe.encode_chunks(chunks)]
+        def ids_and_text(chunks: list[bytes]) -> list[tuple[bytes, bytes]]:
+            return [(np.asarray(ids, "<i4").tobytes(), ",".join(map(str, ids)).encode()) for ids in bpe.encode_chunks(chunks)]
 
-        for b in pieces(batches):
+        for b in pieces(batches, limit=STEP_BYTES):
             data, offsets = buffers(b.column("text"))
             starts = chunk_starts(data, offsets)
             codes, distinct = coded(data, starts)
             found = bpe.memo.get(distinct.to_pylist(), ids_and_text)
-            sizes = np.fromiter((len(ids) for ids, _ in found), np.int64, len(found))
+            sizes = np.fromiter((len(ids) for ids, _ in found), np.int64, len(found)) // 4
             at = np.searchsorted(starts, offsets)
             each = sizes[codes]
             total = np.concatenate([[0], np.cumsum(each)])
@@ -206,7 +211,7 @@ def _encode(sent, columns: tuple[str, ...]):
             out = {"doc_id": b.column("doc_id"), "n_tokens": pa.array(np.diff(edge), pa.int64())}
             made: dict[str, list] = {c: [] for c in columns if c not in ("n_tokens", "ids")}
             if "ids" in columns or "decoded" in made or "decoded_sha256" in made:
-                known = np.fromiter((i for ids, _ in found for i in ids), np.int32, int(sizes.sum()))
+                known = np.frombuffer(b"".join(ids for ids, _ in found), "<i4")
                 first = np.cumsum(sizes) - sizes
                 ids = known[np.arange(total[-1]) + np.repeat(first[codes] - total[:-1], each)]
                 if "ids" in columns:
@@ -220,10 +225,13 @@ def _encode(sent, columns: tuple[str, ...]):
             if "ids_sha256" in made:
                 text_of = np.empty(len(found), object)
                 text_of[:] = [t for _, t in found]
-                made["ids_sha256"] = [hashlib.sha256(",".join(text_of[codes[lo:hi]].tolist()).encode()).hexdigest()
+                made["ids_sha256"] = [hashlib.sha256(b",".join(text_of[codes[lo:hi]].tolist())).hexdigest()
                                       for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
             out |= {c: pa.array(v, COLUMNS[c]) for c, v in made.items()}
             yield pa.RecordBatch.from_pydict({c: out[c] for c in ("doc_id", *columns)})
+        bpe.memo.forget()
+        bpe.merges.forget()
+        release()
     return run
 
 

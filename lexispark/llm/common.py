@@ -69,6 +69,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text",
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [batch.num_rows]])
         for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             yield batch.slice(lo, hi - lo)
+            release()
 
 
 def coded(data: bytes, starts: np.ndarray) -> tuple[np.ndarray, pa.Array]:
@@ -89,7 +90,7 @@ def row_local(docs: DataFrame, id_col: str, text_col: str, change) -> DataFrame:
     at, text = names.index(id_col), names.index(text_col)
 
     def run(batches):
-        for b in pieces(batches, f"c{text}"):
+        for b in pieces(batches, f"c{text}", PIECE_BYTES // 2):
             keep, new = change(b.column(at), b.column(text))
             columns = [new.get(n, b.column(i)) for i, n in enumerate(names)]
             out = pa.RecordBatch.from_arrays(columns, schema=pa.schema(
@@ -168,27 +169,58 @@ def grams_pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
         return mix(mix(left + np.uint64(0x9E3779B97F4A7C15)) ^ (right * np.uint64(0xD6E8FEB86659FD93)))
 
 
+#: What an entry of a memo takes besides its bytes, about.
+ENTRY_BYTES = 220
+
+
+def _bytes(values: list) -> int:
+    return sum(map(len, values)) if not values or isinstance(values[0], bytes) else sum(sum(map(len, v)) for v in values)
+
+
 class Memo:
-    """Values of keys met lately, at most two generations of ``size`` keys (and
-    one call's): what the older one holds and is asked for again stays."""
+    """Values (bytes, or tuples of them) of keys met lately, in at most two
+    generations of ``limit`` bytes (and one call's): what the older one holds and is
+    asked for again stays. Keys of more than ``longest`` bytes are not kept."""
 
-    def __init__(self, size: int):
-        self.size, self.young, self.old = size, {}, {}
+    def __init__(self, limit: int, longest: int = 64):
+        self.limit, self.longest = limit, longest
+        self.young, self.old, self.held = {}, {}, 0
 
     def __getstate__(self):
-        return {"size": self.size, "young": {}, "old": {}}
+        return {"limit": self.limit, "longest": self.longest, "young": {}, "old": {}, "held": 0}
+
+    def forget(self) -> None:
+        """Drops the older generation, as at the end of a task."""
+        self.old = {}
 
     def get(self, keys: list, make) -> list:
         """The values of distinct ``keys``; ``make`` gives those not known."""
-        if len(self.young) > self.size:
-            self.old, self.young = self.young, {}
-        young, old, new = self.young, self.old, []
-        for k in keys:
-            if k not in young:
-                v = old.get(k)
-                if v is None:
-                    new.append(k)
-                else:
-                    young[k] = v
-        young.update(zip(new, make(new), strict=True))
-        return [young[k] for k in keys]
+        if self.held > self.limit:
+            self.old, self.young, self.held = self.young, {}, 0
+        out = list(map(self.young.get, keys))
+        missing = [i for i, v in enumerate(out) if v is None]
+        if not missing:
+            return out
+        asked = [keys[i] for i in missing]
+        known = list(map(self.old.get, asked)) if self.old else [None] * len(asked)
+        new = [k for k, v in zip(asked, known, strict=True) if v is None]
+        made = iter(make(new))
+        known = [next(made) if v is None else v for v in known]
+        for i, v in zip(missing, known, strict=True):
+            out[i] = v
+        kept = dict(zip(asked, known, strict=True))
+        if max(map(len, asked)) > self.longest:
+            kept = {k: v for k, v in kept.items() if len(k) <= self.longest}
+        self.young.update(kept)
+        self.held += _bytes(list(kept)) + _bytes(list(kept.values())) + ENTRY_BYTES * len(kept)
+        return out
+
+
+def release() -> None:
+    """Gives the memory that is free in this worker back to the system: workers
+    live on after their task, and an executor's limit counts them all."""
+    import ctypes
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)           # glibc only
+    if trim is not None:
+        trim(0)

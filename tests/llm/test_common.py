@@ -46,9 +46,14 @@ def test_coded_and_memo():
     codes, distinct = coded(b"aabbaa", np.array([0, 2, 4]))
     assert [distinct[int(c)].as_py() for c in codes] == [b"aa", b"bb", b"aa"]
     calls = []
-    memo = Memo(2)
+    memo = Memo(600, longest=4)
     make = lambda ks: [calls.append(k) or k * 2 for k in ks]
-    assert memo.get([1, 2, 3], make) == [2, 4, 6] and memo.get([3, 1], make) == [6, 2]
-    assert calls == [1, 2, 3]
-    memo.get([4, 5, 6], make)
-    assert memo.get([7], make) == [14] and len(memo.young) + len(memo.old) <= 7
+    assert memo.get([b"1", b"2", b"3"], make) == [b"11", b"22", b"33"] and memo.get([b"3", b"1"], make) == [b"33", b"11"]
+    assert calls == [b"1", b"2", b"3"]
+    memo.get([b"4", b"5", b"6"], make)
+    assert memo.get([b"7"], make) == [b"77"] and len(memo.young) + len(memo.old) <= 7
+    long = b"long key"                                       # given, but not kept
+    assert memo.get([long, b"7"], make) == [long * 2, b"77"] and memo.get([long], make) == [long * 2] and calls.count(long) == 2
+    for k in range(100):                                     # bounded by bytes, whatever the number of calls
+        memo.get([str(k).encode() for k in range(4 * k, 4 * k + 4)], make)
+        assert len(memo.young) + len(memo.old) <= 12
