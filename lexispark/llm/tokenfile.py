@@ -38,7 +38,8 @@ from .common import Memo, buffers, byte_table, pick, pieces, ready, stage, words
 
 SHARD_CHARS = 8_000_000
 BLOCK = 1 << 18                                     # bits
-MEMO = 300_000
+#: Bytes of a generation of kept runs, and of their parts.
+MEMO, PARTS = 48 << 20, 32 << 20
 #: Files whose numbers of ids are sent to every task; beyond, a join.
 FEW_FILES = 1_000_000
 GRAPH = byte_table(bytes(b for b in range(256) if b not in b" \t\n\x0b\x0c\r"))
@@ -219,7 +220,7 @@ class Runs:
         self.added = re.compile(b"|".join(re.escape(a.content.encode()) for a in added),
                                 re.I if any(a.normalized for a in added) else 0) if added else None
         self.tok, self.kind, self.plain = tok, kind, re.compile(PLAIN).fullmatch
-        self.memo = Memo(MEMO)
+        self.memo, self.parts = Memo(MEMO), Memo(PARTS)
 
     def holding(self, data: bytes, offsets: np.ndarray) -> list[int]:
         """Texts that may hold an added token; these are encoded as they are."""
@@ -232,14 +233,17 @@ class Runs:
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, np.uint32).astype(self.kind).tobytes()
 
     def __call__(self, runs: list[bytes]) -> list[bytes]:
-        split = []
-        for r in runs:
-            r = r.decode()
-            m = self.plain(r)
-            split.append((m[1].lower(), m[2]) if m else (r, ""))
-        parts = list({p: None for pair in split for p in pair})
-        ids = dict(zip(parts, self.memo.get(parts, lambda new: encode_runs(self.tok, new, self.kind)), strict=True))
-        return [ids[a] + ids[b] for a, b in split]
+        return self.memo.get(runs, self.encode)
+
+    def encode(self, runs: list[bytes]) -> list[bytes]:
+        plain = self.plain
+        texts = [r.decode() for r in runs]
+        matches = list(map(plain, texts))
+        words_ = [r if m is None else m[1].lower() for r, m in zip(texts, matches, strict=True)]
+        marks = ["" if m is None else m[2] for m in matches]
+        parts = list(dict.fromkeys(words_) | dict.fromkeys(marks))
+        ids = dict(zip(parts, self.parts.get(parts, lambda new: encode_runs(self.tok, new, self.kind)), strict=True))
+        return [ids[a] + ids[b] if b else ids[a] for a, b in zip(words_, marks, strict=True)]
 
 
 class Vocabulary:
@@ -264,27 +268,43 @@ class Vocabulary:
         return self.made[end_id, added]
 
 
+def laid_out(found: list[bytes], codes: np.ndarray, at: np.ndarray, kind: np.dtype, end_id: int) -> pa.Array:
+    """Packed ids of texts, each with the end id: text i has the runs ``codes[at[i]:
+    at[i + 1]]``, and ``found`` the ids of each run."""
+    sizes = np.fromiter(map(len, found), np.int64, len(found)) // kind.itemsize
+    known = np.frombuffer(b"".join(found), kind)
+    first, each = np.cumsum(sizes) - sizes, sizes[codes]
+    total = np.concatenate([[0], np.cumsum(each)])
+    ids = known[np.arange(total[-1]) + np.repeat(first[codes] - total[:-1], each)]
+    edge = total[at]
+    ids = np.insert(ids, edge[1:], end_id)
+    ends = (edge + np.arange(len(edge))) * kind.itemsize
+    return pa.Array.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(
+        ids.astype(kind).tobytes())]).cast(pa.binary())
+
+
 def _encode(sent, end_id: int, bounds: list[int], added: bool):
     def run(batches):
         runs = sent.value.runs(end_id, added)
-        kind, end = runs.kind, np.asarray([end_id], runs.kind).tobytes()
+        kind = runs.kind
+        end = np.asarray([end_id], kind).tobytes()
         upper = np.asarray(bounds, np.float64)
         for b in pieces(batches):
             data, offsets = buffers(b.column("text"))
             at, codes, distinct = words(data, offsets, GRAPH)
-            chunks = distinct.to_pylist()
-            ids = np.empty(len(chunks), object)
-            ids[:] = runs(chunks)
-            packed = [b"".join(ids[codes[lo:hi]].tolist()) + end
-                      for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-            for k in runs.holding(data, offsets):            # an added token may take the white space beside it
-                packed[k] = runs.whole(data[offsets[k]:offsets[k + 1]].decode()) + end
+            packed = laid_out(runs(distinct.to_pylist()), codes, at, kind, end_id)
+            whole = runs.holding(data, offsets)              # an added token may take the white space beside it
+            if whole:
+                packed = packed.to_pylist()
+                for k in whole:
+                    packed[k] = runs.whole(data[offsets[k]:offsets[k + 1]].decode()) + end
+                packed = pa.array(packed, pa.binary())
             doc = b.column("doc_id")
             where = np.searchsorted(upper, np.nan_to_num(doc.to_numpy(zero_copy_only=False).astype(np.float64), nan=-np.inf))
             where[np.asarray(doc.is_null())] = 0
             yield pa.RecordBatch.from_pydict({"shard": pa.array(where, pa.int32()), "doc_id": doc,
                                               "width": pa.array([kind.itemsize] * len(packed), pa.int32()),
-                                              "packed": pa.array(packed, pa.binary())})
+                                              "packed": packed})
     return run
 
 
