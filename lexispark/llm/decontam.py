@@ -16,9 +16,9 @@ looked up at every word, for each length that occurs.)
 The benchmark goes to the tasks in blocks of at most ``BLOCK_WORDS`` words
 (their counted size), one pass over the documents for each block; a row-local
 join, so no document row moves and a hot passage costs no more than others.
-With several blocks, only documents that are hit meet again, to unite their
-hit words. Documents are rows: a repeated id is two rows with one block, and
-must be unique with more. Null texts have no words; an empty benchmark hits
+With several blocks, rows get numbers of their own, and only rows that are hit meet
+again, to unite their hit words. Documents are rows: repeated and null ids are
+rows like any other. Null texts have no words; an empty benchmark hits
 nothing; items with null ids are kept as item ``null``.
 """
 
@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import buffers, byte_table, grams, pick, pieces, ready, stage, without, word_hashes, words
+from .common import buffers, byte_table, grams, pick, pieces, ready, row_local, stage, word_hashes, words
 
 #: Bytes of words, once A-Z is lower-cased.
 WORD = byte_table(bytes(range(0x30, 0x3A)) + bytes(range(0x61, 0x7B)) + bytes(range(0x80, 0x100)))
@@ -179,41 +179,52 @@ def _scan(sent):
                 for d, v in set(zip(doc.tolist(), window.tolist(), strict=True)):
                     found.setdefault(d, set()).update(items[edge[v]:edge[v + 1]].tolist())
             hit = np.cumsum(covered[:-1]) > 0
-            yield pa.RecordBatch.from_pydict({
+            row = {"row": b.column("row")} if "row" in b.schema.names else {}
+            yield pa.RecordBatch.from_pydict(row | {
                 "doc_id": b.column("doc_id"), "n_words": pa.array(np.diff(at), pa.int64()),
                 "hits": pa.array([spans(hit[lo:hi]) if d in found else [] for d, (lo, hi) in
                                   enumerate(zip(at[:-1].tolist(), at[1:].tolist(), strict=True))], ARROW.field(2).type),
                 "items": pa.array([sorted({"null" if index.ids[i] is None else str(index.ids[i]) for i in found[d]})
                                    if d in found else [] for d in range(len(at) - 1)], ARROW.field(3).type)},
-                schema=ARROW)
+                schema=ARROW if not row else pa.schema([("row", pa.int64()), *ARROW]))
     return run
 
 
+def _indexes(spark, benchmark: DataFrame, item_col: str, item_text_col: str, window: int, k: int, block_words: int):
+    """The number of blocks of the benchmark, and their indexes, sent one by one."""
+    if not 1 <= k <= window:
+        raise ValueError("k must be between 1 and the window")
+    items = pick(benchmark, item_id=item_col, text=F.col(f"`{item_text_col}`").cast("string"))
+    size = items.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0)).alias("n")).collect()[0]["n"]
+    blocks = 1 + int(size) // (2 * block_words)          # a word has two bytes at least, with what follows it
+
+    def sent():
+        for block in range(blocks):
+            part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
+            yield spark.sparkContext.broadcast(Index([r["item_id"] for r in part], [r["text"] for r in part], window, k))
+
+    return blocks, sent()
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", window: int = 10, k: int = 6,
                   block_words: int = BLOCK_WORDS) -> DataFrame:
     """One row for each document: doc_id, n_words, hits (word spans, end
     excluded), n_hit, items (ids with occurring windows, sorted as strings)."""
-    if not 1 <= k <= window:
-        raise ValueError("k must be between 1 and the window")
     spark = ready(docs.sparkSession)
     texts = pick(docs, doc_id=F.col(f"`{id_col}`").cast("long"), text=F.col(f"`{text_col}`").cast("string"))
-    items = pick(benchmark, item_id=item_col, text=F.col(f"`{item_text_col}`").cast("string"))
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0)).alias("n")).collect()[0]["n"]
-    blocks = 1 + int(size) // (2 * block_words)          # a word has two bytes at least, with what follows it
-    scans = []
-    for block in range(blocks):
-        part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        index = Index([r["item_id"] for r in part], [r["text"] for r in part], window, k)
-        scan = texts.mapInArrow(_scan(spark.sparkContext.broadcast(index)), SCHEMA)
-        scans.append(scan if not block else scan.filter(F.size("items") > 0))
+    blocks, indexes = _indexes(spark, benchmark, item_col, item_text_col, window, k, block_words)
+    if blocks > 1:
+        texts = stage(texts.withColumn("row", F.monotonically_increasing_id()), "decontam-rows")
+    schema = f"row long, {SCHEMA}" if blocks > 1 else SCHEMA
+    scans = [texts.mapInArrow(_scan(index), schema) for index in indexes]
     out = scans[0]
     if blocks > 1:
         for s in scans[1:]:
-            out = out.unionByName(s)
+            out = out.unionByName(s.filter(F.size("items") > 0))
         # spans that overlap are counted word by word, in documents that are hit
-        out = (out.groupBy("doc_id").agg(
-            F.max("n_words").alias("n_words"),
+        out = (out.groupBy("row").agg(
+            F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("hits")))).alias("hits"),
             F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")))
         joined = F.aggregate("hits", F.expr("cast(array() as array<struct<start:int,end:int>>)"), lambda acc, x: F.when(
@@ -227,8 +238,25 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return out.select("doc_id", "n_words", "hits", n_hit.alias("n_hit"), "items")
 
 
+def _clean(sent):
+    def keep(ids, texts):
+        at, codes, distinct, hashes = cut(texts)
+        clean = np.ones(len(at) - 1, bool)
+        for starts, _, _ in hits(sent.value, at, codes, distinct, hashes):
+            clean[np.searchsorted(at, starts, side="right") - 1] = False
+        return clean, {}
+    return keep
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  **options) -> DataFrame:
-    """The documents without a hit, all columns kept. Null ids stay."""
-    found = contamination(docs, benchmark, id_col=id_col, text_col=text_col, **options)
-    return without(docs, id_col, stage(found.filter("n_hit > 0 and doc_id is not null").select("doc_id").distinct(), "hits"))
+                  item_col: str = "item_id", item_text_col: str = "text", window: int = 10, k: int = 6,
+                  block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows without a hit, all columns kept. Each is judged by its own text,
+    whatever its id; a benchmark of several blocks takes a pass for each, over
+    what the one before has kept."""
+    blocks, indexes = _indexes(ready(docs.sparkSession), benchmark, item_col, item_text_col, window, k, block_words)
+    for n, index in enumerate(indexes, 1):
+        docs = row_local(docs, id_col, text_col, _clean(index))
+        if n < blocks:
+            docs = stage(docs, "decontaminated")
+    return docs

@@ -77,3 +77,19 @@ def test_repeated_rows_and_null_ids(spark, frame):
     bench = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
     got = D.contamination(frame([(None, "x a b c"), (4, "a b c"), (4, "a b c")]), bench).collect()
     assert sorted(((r.doc_id, r.n_hit) for r in got), key=str) == [(4, 3), (4, 3), (None, 3)]
+
+
+@pytest.mark.parametrize("block_words", [D.BLOCK_WORDS, 60])
+def test_rows_under_one_id_or_none_stay_apart(spark, frame, block_words):
+    """The same four documents, with one block of the benchmark and with many."""
+    random.seed(12)
+    items = [" ".join(f"w{random.randint(0, 9999)}" for _ in range(30)) for _ in range(12)]
+    bench = spark.createDataFrame([(f"i{k}", t) for k, t in enumerate(items)], "item_id string, text string")
+    docs = [(1, "x " + items[0]), (1, items[1] + " y " + items[2]), (1, "clean"), (None, items[3]), (None, "nothing here"), (2, items[0]), (2, items[0])]
+    got = D.contamination(frame(docs), bench, block_words=block_words).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_hit, list(r.items)) for r in got) == sorted([
+        ("1", 31, 30, ["i0"]), ("1", 61, 60, ["i1", "i2"]), ("1", 1, 0, []), ("None", 30, 30, ["i3"]), ("None", 2, 0, []),
+        ("2", 30, 30, ["i0"]), ("2", 30, 30, ["i0"])])
+    kept = D.decontaminate(frame(docs), bench, block_words=block_words)
+    assert kept.columns == frame(docs).columns
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [("1", "clean"), ("None", "nothing here")]
