@@ -47,6 +47,7 @@ from pyspark.sql import DataFrame, functions as F
 from .common import buffers, grams, mix, pick, pieces, ready, stage, without, word_hashes, words
 from .decontam import LOWER, WORD, grams_of_rows
 from .lm import _rows, _small, _wide
+from .spread import hot_join, numbered
 
 SHINGLE = 5
 BANDS, ROWS = 12, 3
@@ -59,6 +60,8 @@ SPREAD = 256
 LEADERS = 4
 #: Shingles whose counts among the open texts are sent to every task; others count as rare.
 HEAVY = 1_000_000
+#: Bits of the filter of shingles that two open texts hold; beyond its size more others pass.
+SHARED_BITS = 1 << 28
 #: Width of a class of total weights (natural logarithm).
 STEP = 0.05
 #: Links (16 bytes each) whose classes the driver finds; beyond, rounds of joins.
@@ -68,7 +71,7 @@ TABLE = 1 << 16
 
 # ------------------------------------------------------------ 1 blocks
 
-BLOCKS = "block string, ids binary, keys binary, ends binary, vocab binary, df binary, tokens binary"
+BLOCKS = "block string, ids binary, nulls binary, keys binary, ends binary, vocab binary, df binary, tokens binary"
 
 
 def _blocks(batches):
@@ -79,7 +82,7 @@ def _blocks(batches):
     def close():
         nonlocal made, held, size, docs
         offset, codes = 0, []
-        for _, _, _, vocab, own in held:
+        for _, _, _, vocab, own, _ in held:
             codes.append(own + offset)
             offset += len(vocab)
         vocab, back = np.unique(np.concatenate([h[3] for h in held]), return_inverse=True)
@@ -92,6 +95,7 @@ def _blocks(batches):
         made += 1
         out = pa.RecordBatch.from_pydict({
             "block": pa.array([f"{task}-{made}"]), "ids": pa.array([np.concatenate([h[0] for h in held]).astype("<i8").tobytes()]),
+            "nulls": pa.array([np.concatenate([h[5] for h in held]).astype("u1").tobytes()]),
             "keys": pa.array([b"".join(k for h in held for k in h[1])]),
             "ends": pa.array([np.cumsum(lengths).astype("<i8").tobytes()]), "vocab": pa.array([vocab.astype("<u8").tobytes()]),
             "df": pa.array([df.astype("<u4").tobytes()]), "tokens": pa.array([tokens.astype("<u4").tobytes()])})
@@ -105,7 +109,8 @@ def _blocks(batches):
         sequence = hashes[codes]
         keys = [xxhash.xxh3_128_digest(sequence[lo:hi].tobytes()) for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
         used, own = np.unique(codes, return_inverse=True)
-        held.append((b.column("doc_id").to_numpy(), keys, np.diff(at), hashes[used], own))
+        doc = b.column("doc_id")
+        held.append((doc.fill_null(0).to_numpy(), keys, np.diff(at), hashes[used], own, np.asarray(doc.is_null())))
         size, docs = size + len(data), docs + b.num_rows
         if size >= BLOCK_BYTES or docs >= BLOCK_DOCS:
             yield close()
@@ -258,17 +263,17 @@ def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 def _sign(buckets: int, n_docs: int):
     def run(_, block, answers):
-        out = {"block": [], "place": [], "doc_id": [], "key": [], "sample": []}
+        out, nulls = {"block": [], "place": [], "doc_id": [], "key": [], "sample": []}, np.zeros(0, bool)
         if block.num_rows:
             row = block.slice(0, 1).to_pylist()[0]
-            ids = np.frombuffer(row["ids"], "<i8")
+            ids, nulls = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["nulls"], bool)
             code, count, _ = shingles(row, answers.to_pylist(), buckets, n_docs)
             sample = samples(code, count, len(ids))
             out = {"block": [row["block"]] * len(ids), "place": np.arange(len(ids)), "doc_id": ids,
                    "key": [row["keys"][16 * i:16 * i + 16] for i in range(len(ids))],
                    "sample": [s.tobytes() if np.isfinite(s[0]) else None for s in sample]}
         return pa.table({"block": pa.array(out["block"], pa.string()), "place": pa.array(out["place"], pa.int32()),
-                         "doc_id": pa.array(out["doc_id"], pa.int64()), "key": pa.array(out["key"], pa.binary()),
+                         "doc_id": pa.array(np.asarray(out["doc_id"], np.int64), pa.int64(), mask=nulls), "key": pa.array(out["key"], pa.binary()),
                          "sample": pa.array(out["sample"], pa.binary())})
     return run
 
@@ -350,9 +355,11 @@ def links(texts: DataFrame, vectors_of, threshold: float) -> DataFrame:
         # who is left, under the classes found so far
         left = _labelled(rows.filter(~F.exists("leaders", lambda x: x["leader"] == F.col("id"))).select("id", "band", "meeting"), labels)
         # split by the samples of the bands after its own and those that have split it already
-        at = (F.col("band") + more) * (4 * ROWS) + 1
-        again = (left.join(_open(left), "meeting", "left_semi").join(texts.select("id", "sample"), "id")
-                 .select("id", "band", F.xxhash64("meeting", F.substring(
+        at = (F.col("open.band") + more) * (4 * ROWS) + 1
+        each = (left.join(_open(left), "meeting", "left_semi").groupBy("id")      # at most BANDS meetings of a text
+                .agg(F.min("label").alias("label"), F.collect_list(F.struct("band", "meeting")).alias("open")))
+        again = (each.join(texts.select("id", "sample"), "id").select("id", "label", "sample", F.explode("open").alias("open"))
+                 .select("id", "open.band", F.xxhash64("open.meeting", F.substring(
                      F.concat("sample", "sample"), at, F.lit(4 * ROWS * min(more, BANDS - more)))).alias("meeting"), "label"))
         rows = stage(_led(again, turn), "meetings")
         if not rows.limit(1).count():
@@ -398,6 +405,43 @@ def _led(rows: DataFrame, turn: int) -> DataFrame:
 
 # ------------------------------------------------------------ 4 what is left open
 
+class Held:
+    """Which shingles two texts or more hold, in a filter of ``buckets`` slices: no
+    such shingle is missing, and few others pass."""
+
+    PROBES = 4
+
+    def __init__(self, buckets: int, bits: int, data: np.ndarray | None = None):
+        self.buckets, self.bits = buckets, bits
+        self.data = np.zeros((buckets, bits >> 3), np.uint8) if data is None else data
+
+    @classmethod
+    def sized(cls, buckets: int, bits: int) -> "Held":
+        """Slices of a power of two, all of them at most ``bits``."""
+        return cls(buckets, 1 << max(6, int(np.log2(max(64, bits // buckets)))))
+
+    def places(self, code: np.ndarray):
+        a, b = mix(code ^ np.uint64(0x9E3779B97F4A7C15)), mix(code ^ np.uint64(0xC2B2AE3D27D4EB4F)) | np.uint64(1)
+        with np.errstate(over="ignore"):
+            for i in range(self.PROBES):
+                p = (a + np.uint64(i) * b) & np.uint64(self.bits - 1)
+                yield (p >> np.uint64(3)).astype(np.int64), np.uint8(1) << (p & np.uint64(7)).astype(np.uint8)
+
+    def slice_of(self, code: np.ndarray) -> bytes:
+        """The slice of a bucket that holds these shingles."""
+        out = np.zeros(self.bits >> 3, np.uint8)
+        for at, bit in self.places(code):
+            np.bitwise_or.at(out, at, bit)
+        return out.tobytes()
+
+    def has(self, code: np.ndarray) -> np.ndarray:
+        bucket = (mix(code) % np.uint64(self.buckets)).astype(np.int64)
+        out = np.ones(len(code), bool)
+        for at, bit in self.places(code):
+            out &= (self.data[bucket, at] & bit) != 0
+        return out
+
+
 def _tally(buckets: int):
     """Shingle codes of texts and how many of a piece's texts hold them, by bucket."""
     def run(batches):
@@ -414,16 +458,17 @@ def _tally(buckets: int):
     return run
 
 
-def _heaviest(most: int):
+def _heaviest(most: int, shared: Held):
     """The ``most`` shingles of a bucket that most texts hold, of those that two
-    hold, and whether these are all of them."""
+    hold, and the slice of all that two hold."""
     def run(key, rows):
         codes, where = np.unique(np.concatenate([np.frombuffer(x, "<u8") for x in rows.column("codes").to_pylist()]), return_inverse=True)
         n = np.bincount(where, np.concatenate([np.frombuffer(x, "<u4") for x in rows.column("n").to_pylist()]), len(codes)).astype(np.int64)
         own = np.flatnonzero(n > 1)
         top = own[np.argsort(-n[own], kind="stable")[:most]]
         return pa.table({"codes": pa.array([codes[top].astype("<u8").tobytes()]), "n": pa.array([n[top].astype("<i8").tobytes()]),
-                         "whole": pa.array([len(top) == len(own)])})
+                         "bucket": pa.array([key[0].as_py()], pa.int32()),
+                         "shared": pa.array([shared.slice_of(codes[own])], pa.binary())})
     return run
 
 
@@ -432,22 +477,20 @@ PREFIX = "shingle long, step int, probe boolean, id long, label long, weight dou
 ROOM = 1e-5
 
 
-def prefix(code: np.ndarray, count: np.ndarray, heavy: np.ndarray, held: np.ndarray, whole: bool, threshold: float):
+def prefix(code: np.ndarray, count: np.ndarray, heavy: np.ndarray, held: np.ndarray, shared: Held, threshold: float):
     """A text's total weight, and of the shingles by which it can be found, the
     rarest first: the codes, and the weight from each on. A pair is linked only
     if the smaller texts' weights shared are t / (1 + t) of both totals; their
     first common shingle has all of that from its place on in both texts."""
     w = count * idf_of(code).astype(np.float64)
-    n = np.ones(len(code), np.int64)
+    n = 1 + shared.has(code).astype(np.int64)            # the same for every text that holds it
     if len(heavy):
         at = np.minimum(np.searchsorted(heavy, code), len(heavy) - 1)
-        n = np.where(heavy[at] == code, held[at], 1)
+        n = np.where(heavy[at] == code, held[at], n)
     order = np.lexsort((code, n))
     total = float(w.sum())
     rest = total - np.concatenate([[0.0], np.cumsum(w[order])[:-1]])
-    keep = rest >= threshold * total * (1 - ROOM)
-    if whole:                                            # one text's own shingles find no other
-        keep &= n[order] > 1
+    keep = (rest >= threshold * total * (1 - ROOM)) & (n[order] > 1)      # one text's own shingles find no other
     return total, code[order][keep], rest[keep]
 
 
@@ -458,7 +501,7 @@ def _prefixes(sent, threshold: float):
     share = threshold / (1 + threshold)
 
     def run(batches):
-        heavy, held, whole = sent.value
+        heavy, held, shared = sent.value
         for b in pieces(batches, "vec"):
             out = {c: [] for c in ("shingle", "step", "probe", "id", "label", "weight", "rest")}
 
@@ -470,7 +513,7 @@ def _prefixes(sent, threshold: float):
                     out[c].append(np.full(len(codes), v))
 
             for text, label, vec in zip(*(b.column(c).to_pylist() for c in ("id", "label", "vec")), strict=True):
-                total, codes, rest = prefix(*unpack(vec), heavy, held, whole, threshold)
+                total, codes, rest = prefix(*unpack(vec), heavy, held, shared, threshold)
                 if not len(codes):
                     continue
                 found = rest >= 2 * share * total * (1 - ROOM)
@@ -498,12 +541,15 @@ def _close(texts: DataFrame, threshold: float) -> DataFrame:
     texts = stage(texts.select("id", "label", "vec"), "open-texts")
     size = texts.agg(F.sum(F.octet_length("vec"))).collect()[0][0]
     buckets = 1 + int(size) // (6 * BUCKET_ENTRIES)
+    shared = Held.sized(buckets, min(SHARED_BITS, 16 * BUCKET_ENTRIES * buckets))
     heavy = (texts.select("vec").mapInArrow(_tally(buckets), "bucket int, codes binary, n binary").groupBy("bucket")
-             .applyInArrow(_heaviest(max(1, HEAVY // buckets)), "codes binary, n binary, whole boolean").collect())
+             .applyInArrow(_heaviest(max(1, HEAVY // buckets), shared), "codes binary, n binary, bucket int, shared binary").collect())
+    for r in heavy:
+        shared.data[r["bucket"]] = np.frombuffer(r["shared"], np.uint8)
     codes = np.concatenate([np.frombuffer(r["codes"], "<u8") for r in heavy])
     order = np.argsort(codes)
     held = np.concatenate([np.frombuffer(r["n"], "<i8") for r in heavy])
-    sent = spark.sparkContext.broadcast((codes[order], held[order], all(r["whole"] for r in heavy)))   # at most HEAVY
+    sent = spark.sparkContext.broadcast((codes[order], held[order], shared))          # at most HEAVY and SHARED_BITS
     rows = stage(texts.mapInArrow(_prefixes(sent, threshold), PREFIX), "prefixes")
     x = rows.filter("not probe").select("shingle", "step", *[F.col(c).alias(f"x_{c}") for c in ("id", "label", "weight", "rest")])
     y = rows.filter("probe").select("shingle", "step", *[F.col(c).alias(f"y_{c}") for c in ("id", "label", "weight", "rest")])
@@ -558,7 +604,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """doc_id, class_id and n_links of every row (see the module's docstring)."""
     ready(docs.sparkSession)
     every = pick(docs, doc_id=F.col(f"`{id_col}`").cast("long"), text=F.col(f"`{text_col}`").cast("string"))
-    blocks = stage(every.filter(F.col("doc_id").isNotNull()).mapInArrow(_blocks, BLOCKS), "word-blocks")
+    blocks = stage(every.mapInArrow(_blocks, BLOCKS), "word-blocks")
     size = blocks.agg(F.coalesce(F.sum(F.octet_length("ids") / 8), F.lit(0)),
                       F.coalesce(F.sum(F.octet_length("vocab") / 8), F.lit(0))).collect()[0]
     n_docs, buckets = max(1, int(size[0])), 1 + int(size[1]) // BUCKET_ENTRIES
@@ -567,10 +613,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         _add, "block string, bucket int, total binary"), "word-counts")
     signed = stage(blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         _sign(buckets, n_docs), "block string, place int, doc_id long, key binary, sample binary"), "signatures")
-    # texts of equal words are one, under their least id
-    texts = (signed.groupBy("key").agg(F.min(F.struct("doc_id", "block", "place", "sample")).alias("first"))
-             .select("key", F.col("first.doc_id").alias("id"), "first.block", "first.place", "first.sample"))
-    texts = stage(texts, "texts")
+    # texts of equal words are one, with the least doc id (null: the last); numbers in the order of these, since
+    # a doc id may belong to several texts
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "block", "place", "sample")).alias("first")
+    texts = (signed.groupBy("key").agg(first, F.count(F.lit(1)).alias("copies"))
+             .select("key", "copies", "first.none", "first.doc_id", "first.block", "first.place", "first.sample"))
+    texts = numbered(texts, [F.col("none"), F.col("doc_id"), F.col("key")], "texts", "id")
 
     def vectors_of(wanted: DataFrame) -> DataFrame:
         places = texts.join(wanted, "id", "left_semi").select(
@@ -583,16 +631,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     edges = links(texts, vectors_of, threshold)
     label = classes(edges)
     degree = (edges.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n")))
-    named = (texts.select("key", "id").join(label, "id", "left").join(degree, "id", "left")
-             .select("key", F.coalesce("label", "id").alias("class_id"), F.coalesce("n", F.lit(0)).alias("n_links")))
-    out = signed.select("doc_id", "key").join(named, "key").select("doc_id", "class_id", "n_links")
-    none = every.filter(F.col("doc_id").isNull()).select("doc_id", F.lit(None).cast("long").alias("class_id"),
-                                                        F.lit(0).cast("long").alias("n_links"))
-    return out.unionByName(none)
+    named = stage(texts.select("key", "copies", "id").join(label, "id", "left").join(degree, "id", "left")
+                  .select("key", "copies", F.coalesce("label", "id").alias("label"), F.coalesce("n", F.lit(0)).alias("n_links")), "labelled")
+    names = stage(named.groupBy("label").agg(F.count(F.lit(1)).alias("members"))
+                  .join(texts.select(F.col("id").alias("label"), F.col("doc_id").alias("class_id")), "label"), "class-names")
+    named = stage(hot_join(named, names, ["label"], "members").select("key", "copies", "class_id", "n_links"), "named-texts")
+    return hot_join(signed.select("doc_id", "key"), named, ["key"], "copies").select("doc_id", "class_id", "n_links")
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
-    """``docs``, all columns, with one document of each class: the one with the
-    least id. Rows with a null id stay."""
-    found = near_duplicates(docs, id_col, text_col, threshold)
-    return without(docs, id_col, stage(found.filter("doc_id <> class_id").select("doc_id").distinct(), "near-copies"))
+    """``docs``, all columns, with one row of each class: the one with the least
+    id (a null id comes last), then the first read. Rows are told apart by
+    numbers of their own, not by their ids."""
+    rows = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered-documents")
+    found = near_duplicates(rows, "_row", text_col, threshold).select(F.col("doc_id").alias("_row"), "class_id")
+    ids = rows.select("_row", F.col(f"`{id_col}`").cast("long").alias("_id"))
+    found = stage(found.join(ids, "_row"), "row-classes")
+    kept = found.groupBy("class_id").agg(F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")).alias("first"))
+    gone = stage(found.select("_row").join(kept.select(F.col("first._row").alias("_row")), "_row", "left_anti"), "near-copies")
+    return without(rows, "_row", gone).select(*[F.col(f"`{c}`") for c in docs.columns])
