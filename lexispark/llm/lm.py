@@ -11,8 +11,8 @@ with counts over the training texts and b the bucket of the context's
 frequency c(h), one bucket for each power of two. The weights come from
 expectation-maximisation on deleted counts: a share of the training texts is
 taken out, the others' counts estimate, and the weights are fitted to the
-tokens taken out. (Contexts without a count have no bigram estimate; their l2
-falls to l1 and l0 in proportion.) Then all training texts are counted.
+tokens taken out. (Contexts without a count have no bigram estimate; they are a
+bucket of their own, whose l2 is 0.) Then all training texts are counted.
 
 Counting is exact and distributed, and nothing of the corpus' size is sent to
 the driver or to every task:
@@ -29,7 +29,8 @@ the driver or to every task:
 
 Output, one row for each input row: doc_id, held_out, n_tokens, n_known (tokens
 with a training count), train_tokens (N), base_score (log10, each token (c +
-1/2) / (N + (V + 1) / 2)) and score (log10 of P). Hashes have 64 bits. Without
+1/2) / (N + (V + 1) / 2)) and score (log10 of P). Words are told apart by 64-bit
+hashes, pairs by 48 bits within a bucket (``SENT``). Without
 training texts N = V = 0 and every estimate is the uniform one.
 """
 
@@ -39,13 +40,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import buffers, byte_table, grams_pair, pick, pieces, ready, stage, word_hashes, words
+from .common import buffers, byte_table, grams_pair, pick, pieces, ready, release, stage, word_hashes, words
 from .decontam import LOWER
 
 WORD = byte_table(bytes(b for b in range(256) if b not in b" \t\n\x0b\x0c\r"))
 #: The end token; no word's hash by more than chance.
 END = np.uint64(0x5EED0F7E9D70CE11)
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 #: Distinct words or pairs that a bucket's task adds up.
 BUCKET_ENTRIES = 400_000
 FREQUENCY_BUCKETS = 40
@@ -157,6 +158,7 @@ def _rows(batches):
     for b in batches:
         for k in range(b.num_rows):
             yield b.slice(k, 1).to_pylist()[0]
+            release()
 
 
 # ------------------------------------------------------------ 2 counts
@@ -302,6 +304,7 @@ def learn(evidence: DataFrame, vocabulary: int, rounds: int = ROUNDS, tolerance:
 def _with_answers(use):
     """For cogroups of a block and its answers."""
     def run(_, block, answers):
+        release()
         if not block.num_rows:
             return use(None, [])
         return use(Block(block.slice(0, 1).to_pylist()[0]), answers.to_pylist())
