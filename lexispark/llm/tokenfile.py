@@ -16,9 +16,11 @@ their shard, and each shard is written as one row of a Parquet table of files
 (path, first and last id, number of ids, content) in the folder given or the
 shared one. Readers need nothing but Spark.
 
-White space separates tokens of the vocabularies meant here (it is dropped),
-so each distinct run between ASCII white space is encoded once for a piece of
-text; a memo of bounded size keeps them between pieces.
+White space separates tokens of the vocabularies meant here (it is dropped), and so
+do the changes between Latin letters, digits and ASCII punctuation, so each distinct
+chunk between such places is encoded once for a piece of text; a memo of bounded
+size keeps them between pieces. ASCII letters are lower-cased first, as the library
+would, but for those that a combining mark may follow.
 
 Null texts are encoded as empty ones (the end id alone). Null ids come first;
 rows of one id are ordered by their ids. An empty table gives no file.
@@ -34,21 +36,27 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .common import Memo, buffers, byte_table, pick, pieces, ready, stage, words
+from .common import Memo, buffers, coded, pick, pieces, ready, stage
+from .decontam import LOWER
 
 SHARD_CHARS = 8_000_000
 BLOCK = 1 << 18                                     # bits
-#: Bytes of a generation of kept runs, and of their parts.
-MEMO, PARTS = 48 << 20, 32 << 20
+#: Bytes of a generation of kept chunks.
+MEMO = 64 << 20
 #: Files whose numbers of ids are sent to every task; beyond, a join.
 FEW_FILES = 1_000_000
-GRAPH = byte_table(bytes(b for b in range(256) if b not in b" \t\n\x0b\x0c\r"))
+#: Classes of bytes: white space, all others, ASCII letters, digits, and the ASCII
+#: punctuation that is in no pre-token with letters (no apostrophe).
+WHITE, OTHER, LETTER, DIGIT, PUNCT = range(5)
+CLASS = bytes(WHITE if b in b" \t\n\x0b\x0c\r" else LETTER if chr(b).isalpha() and b < 128 else DIGIT if b in b"0123456789"
+              else PUNCT if 0x21 <= b < 0x7F and b != 0x27 else OTHER for b in range(256))
+#: Whether a text can be cut between two classes (first * 5 + second): a pre-token is
+#: one digit, or letters, or neither.
+CUT = np.array([(a == WHITE) != (b == WHITE) or {a, b} == {LETTER, PUNCT} or DIGIT in (a, b) and min(a, b) >= LETTER
+                for a in range(5) for b in range(5)])
 MAGIC = b"WVMX1\n"
 MARK = "\x02"
 ZSTD = pa.Codec("zstd", 1)
-#: Latin letters that lower-case one to one, then the ASCII
-#: punctuation that cannot join them in a pre-token (no apostrophe).
-PLAIN = r"([A-Za-zÀ-ÖØ-Þß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)"
 
 
 # ------------------------------------------------------------ wavelet matrix
@@ -210,17 +218,51 @@ def encode_runs(tok, runs: list[str], kind: np.dtype) -> list[bytes]:
     return out
 
 
+def lowered(data: bytes) -> bytes:
+    """A-Z in lower case, but before a character that might combine with the letter
+    (the library composes first; ASCII and U+00C0 to U+00FF never combine)."""
+    raw = np.frombuffer(data, np.uint8)
+    wide = np.flatnonzero((raw[1:] >= 0xC4) | (raw[1:] == 0xC2))
+    wide = wide[(raw[wide] >= 0x41) & (raw[wide] <= 0x5A)]
+    data = data.translate(LOWER)
+    if len(wide):
+        out = np.frombuffer(data, np.uint8).copy()
+        out[wide] = raw[wide]
+        data = out.tobytes()
+    return data
+
+
+def chunks(data: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The texts, laid end to end, cut where their ids do not change: each text's
+    range of chunks (n + 1 offsets), every chunk as a code, and the distinct
+    chunks (white space, which has no ids, among these only)."""
+    if not data:
+        return np.zeros(len(offsets), np.int64), np.zeros(0, np.int32), pa.array([], pa.binary())
+    kind = np.frombuffer(data.translate(CLASS), np.uint8)
+    edge = np.empty(len(kind), bool)
+    edge[0] = True
+    edge[1:] = CUT[kind[:-1] * np.uint8(5) + kind[1:]]
+    # after a letter of U+00C0 to U+00FF (all but two are), as after an ASCII one
+    raw = np.frombuffer(data, np.uint8)
+    after = np.flatnonzero(raw[:-2] == 0xC3) + 2
+    after = after[(kind[after] >= DIGIT) & (raw[after - 1] != 0x97) & (raw[after - 1] != 0xB7)]
+    edge[after] = True
+    edge[offsets[:-1][offsets[:-1] < len(kind)]] = True
+    starts = np.flatnonzero(edge)
+    codes, distinct = coded(data, starts)
+    word = kind[starts] != WHITE
+    at = np.concatenate([[0], np.cumsum(word)])
+    return at[np.searchsorted(starts, offsets)], codes[word], distinct
+
+
 class Runs:
-    """Packed ids of runs, with a memo of those met. A Latin word, lower-cased
-    as the library does, and the punctuation after it are separate pre-tokens
-    and kept apart, which leaves fewer distinct runs to encode."""
+    """Packed ids of chunks, with a memo of those met."""
 
     def __init__(self, tok, kind: np.dtype, added: list):
         import re
         self.added = re.compile(b"|".join(re.escape(a.content.encode()) for a in added),
                                 re.I if any(a.normalized for a in added) else 0) if added else None
-        self.tok, self.kind, self.plain = tok, kind, re.compile(PLAIN).fullmatch
-        self.memo, self.parts = Memo(MEMO), Memo(PARTS)
+        self.tok, self.kind, self.memo = tok, kind, Memo(MEMO)
 
     def holding(self, data: bytes, offsets: np.ndarray) -> list[int]:
         """Texts that may hold an added token; these are encoded as they are."""
@@ -233,17 +275,7 @@ class Runs:
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, np.uint32).astype(self.kind).tobytes()
 
     def __call__(self, runs: list[bytes]) -> list[bytes]:
-        return self.memo.get(runs, self.encode)
-
-    def encode(self, runs: list[bytes]) -> list[bytes]:
-        plain = self.plain
-        texts = [r.decode() for r in runs]
-        matches = list(map(plain, texts))
-        words_ = [r if m is None else m[1].lower() for r, m in zip(texts, matches, strict=True)]
-        marks = ["" if m is None else m[2] for m in matches]
-        parts = list(dict.fromkeys(words_) | dict.fromkeys(marks))
-        ids = dict(zip(parts, self.parts.get(parts, lambda new: encode_runs(self.tok, new, self.kind)), strict=True))
-        return [ids[a] + ids[b] if b else ids[a] for a, b in zip(words_, marks, strict=True)]
+        return self.memo.get(runs, lambda new: encode_runs(self.tok, [r.decode() for r in new], self.kind))
 
 
 class Vocabulary:
@@ -291,7 +323,7 @@ def _encode(sent, end_id: int, bounds: list[int], added: bool):
         upper = np.asarray(bounds, np.float64)
         for b in pieces(batches):
             data, offsets = buffers(b.column("text"))
-            at, codes, distinct = words(data, offsets, GRAPH)
+            at, codes, distinct = chunks(lowered(data), offsets)
             packed = laid_out(runs(distinct.to_pylist()), codes, at, kind, end_id)
             whole = runs.holding(data, offsets)              # an added token may take the white space beside it
             if whole:

@@ -25,7 +25,7 @@ def expected(rows):
 def texts():
     random.seed(2)
     letters = list("abcdeE tsdé ÉçñßÆ×÷'’,.!?;:|$-_ \n\t\r\x0b\x0c\x85\xa0　 0123456789٣½中文字😀́\x1c\x00\x02<>İΣΌς") + [
-        " the", "'s", "don't", "Étion ", "<|endoftext|>", "ÀÖ!", "end. "]
+        " the", "'s", "don't", "Étion ", "<|endoftext|>", "ÀÖ!", "end. ", "H\u0331", "h\u0331!", "I\u0307", "e\u0301.", ">\u0338", "a1b22", "7's", "!'s", "Kªx"]
     return ["".join(random.choices(letters, k=random.randint(0, 60))) for _ in range(1500)] + ["a" * 3000, None, ""]
 
 
