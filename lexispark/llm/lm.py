@@ -47,6 +47,8 @@ WORD = byte_table(bytes(b for b in range(256) if b not in b" \t\n\x0b\x0c\r"))
 #: The end token; no word's hash by more than chance.
 END = np.uint64(0x5EED0F7E9D70CE11)
 BLOCK_BYTES = 8 << 20
+#: Text bytes of one step on the way to a block; what is made of them takes some forty times as much.
+STEP_BYTES = 2 << 20
 #: Distinct words or pairs that a bucket's task adds up.
 BUCKET_ENTRIES = 400_000
 FREQUENCY_BUCKETS = 40
@@ -54,6 +56,21 @@ ROUNDS = 30
 ESTIMATE, DELETED, SCORED = 0, 1, 2
 
 
+def distinct_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, sorted, and each value's number (32 bits) into them."""
+    order = np.argsort(values)
+    values = values[order]
+    new = np.empty(len(values), bool)
+    new[:1] = True
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    values = values[new]
+    which = np.cumsum(new, dtype=np.uint32)
+    which -= np.uint32(1)
+    out = np.empty(len(order), np.uint32)
+    out[order] = which
+    return values, out
+
+
 # ------------------------------------------------------------ 1 blocks
 
 BLOCKS = ("block string, kind int, ids binary, nulls binary, ends binary, vocab binary, tokens binary")
@@ -68,17 +85,14 @@ def _blocks(batches):
 
     def close(kind: int):
         nonlocal made
-        ids, nulls, lengths, hashes, codes, offset = [], [], [], [], [], 0
-        for i, gone, length, vocab, own in held.pop(kind):
-            ids.append(i)
-            nulls.append(gone)
-            lengths.append(length)
-            hashes.append(vocab)
-            codes.append(own + offset)
-            offset += len(vocab)
+        ids, nulls, lengths, hashes, codes = zip(*held.pop(kind), strict=True)
         size.pop(kind)
         vocab, back = np.unique(np.concatenate(hashes), return_inverse=True)
-        tokens = back.astype(np.uint32)[np.concatenate(codes)]
+        back = back.astype(np.uint32)
+        tokens, at, offset = np.empty(sum(map(len, codes)), np.uint32), 0, 0
+        for own, hashed in zip(codes, hashes, strict=True):
+            np.take(back[offset:offset + len(hashed)], own, out=tokens[at:at + len(own)])
+            at, offset = at + len(own), offset + len(hashed)
         made += 1
         pack = lambda parts, t: np.concatenate(parts).astype(t).tobytes()
         return pa.RecordBatch.from_pydict({
@@ -87,7 +101,7 @@ def _blocks(batches):
             "ends": pa.array([np.cumsum(np.concatenate(lengths)).astype("<i8").tobytes()]),
             "vocab": pa.array([vocab.astype("<u8").tobytes()]), "tokens": pa.array([tokens.astype("<u4").tobytes()])})
 
-    for batch in pieces(batches):
+    for batch in pieces(batches, limit=STEP_BYTES):
         kinds = batch.column("kind").to_numpy()
         for kind in np.unique(kinds).tolist():
             b = batch.filter(pa.array(kinds == kind))
@@ -97,7 +111,7 @@ def _blocks(batches):
             # the end token closes each text
             tokens = np.full(len(codes) + len(at) - 1, len(distinct), np.int64)
             tokens[np.arange(len(codes)) + np.searchsorted(at[1:], np.arange(len(codes)), side="right")] = codes
-            used, tokens = np.unique(tokens, return_inverse=True)
+            used, tokens = distinct_of(tokens)
             doc = b.column("doc_id")
             held.setdefault(kind, []).append((doc.fill_null(0).to_numpy(), np.asarray(doc.is_null()),
                                               np.diff(at) + 1, vocab[used], tokens))
@@ -118,17 +132,24 @@ class Block:
         self.ends = np.frombuffer(row["ends"], "<i8")
         self.vocab, self.tokens = np.frombuffer(row["vocab"], "<u8"), np.frombuffer(row["tokens"], "<u4")
         end = np.uint32(np.searchsorted(self.vocab, END))
-        self.context = np.empty_like(self.tokens)
-        self.context[1:] = self.tokens[:-1]             # a text's end is the next one's start
-        self.context[0] = end
-        both = self.context.astype(np.uint64) << np.uint64(32) | self.tokens
-        self.pairs, self.pair = np.unique(both, return_inverse=True)
-
-    def asked(self) -> list[tuple[int, np.ndarray, np.ndarray]]:
-        """(order, hashes, counts) of the words (1) and the pairs (2)."""
-        left, right = (self.pairs >> np.uint64(32)).astype(np.int64), (self.pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        return [(1, self.vocab, np.bincount(self.tokens, minlength=len(self.vocab))),
-                (2, grams_pair(self.vocab[left], self.vocab[right]), np.bincount(self.pair, minlength=len(self.pairs)))]
+        both = np.empty(len(self.tokens), np.uint64)
+        both[:1] = end                                  # a text's end is the next one's start
+        both[1:] = self.tokens[:-1]
+        both <<= np.uint64(32)
+        both |= self.tokens
+        self.pairs, self.pair = distinct_of(both)
+
+    def sides(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of each distinct pair: the context and the token."""
+        return (self.pairs >> np.uint64(32)).astype(np.uint32), self.pairs.astype(np.uint32)
+
+    def asked(self, counted: bool = True):
+        """(order, hashes, counts if wanted) of the words (1), then of the pairs (2)."""
+        yield 1, self.vocab, np.bincount(self.tokens, minlength=len(self.vocab)) if counted else None
+        left, right = self.sides()
+        hashes = grams_pair(self.vocab[left], self.vocab[right])
+        del left, right
+        yield 2, hashes, np.bincount(self.pair, minlength=len(self.pairs)) if counted else None
 
 
 #: Bytes of a hash that are sent. A bucket has other bits in common, and holds
@@ -227,7 +248,7 @@ def _answered(block: Block, answers: list[dict], field: str, buckets: dict[int,
     """Counts of the block's words and pairs, in their order."""
     got = {(a["n"], a["bucket"]): a[field] for a in answers}
     out = []
-    for n, hashes, _ in block.asked():
+    for n, hashes, _ in block.asked(counted=False):
         counts = np.zeros(len(hashes), np.int64)
         order, cuts = _bucket(hashes, buckets[n])
         for k in range(buckets[n]):
@@ -246,7 +267,7 @@ def frequency_bucket(counts: np.ndarray) -> np.ndarray:
 
 def estimates(block: Block, word: np.ndarray, pair: np.ndarray, total: int):
     """Of each distinct pair: bucket, bigram and unigram estimate."""
-    left, right = (block.pairs >> np.uint64(32)).astype(np.int64), (block.pairs & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    left, right = block.sides()
     context = word[left]
     return (frequency_bucket(context), np.divide(pair, context, out=np.zeros(len(pair)), where=context > 0),
             word[right] / max(1, total))
@@ -255,8 +276,10 @@ def estimates(block: Block, word: np.ndarray, pair: np.ndarray, total: int):
 def mixture(weights: np.ndarray, bucket: np.ndarray, two: np.ndarray, one: np.ndarray, vocabulary: int) -> np.ndarray:
     if not len(weights):                                # nothing to learn from
         return np.full(len(bucket), 1 / (vocabulary + 1))
-    w = weights[bucket]
-    return w[:, 2] * two + w[:, 1] * one + w[:, 0] / (vocabulary + 1)
+    out = weights[:, 2][bucket] * two
+    out += weights[:, 1][bucket] * one
+    out += (weights[:, 0] / (vocabulary + 1))[bucket]
+    return out
 
 
 def start_weights() -> np.ndarray:
