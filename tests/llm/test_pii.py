@@ -1,11 +1,13 @@
 import random
 import re
+from collections import Counter
 
 import pytest
 
 from lexispark.llm import pii as S
 
 KEY = b"test key"
+SF001 = "/root/testdata/sf0.01"
 
 
 def person(text):
@@ -128,3 +130,73 @@ def test_other_scripts_and_crowded_forms(frame):
     olds = {v.partition(" ")[2].lower() or v for v in values}
     assert len(set(news)) == len(values) and not olds & set(news)
     assert len({r.entities[1].surrogate for r in got}) == 1 and not any("!!!!!!" == r.entities[1].surrogate for r in got)
+
+
+def test_one_name_in_every_form(frame):
+    rows = [(1, "Mr John Smith left. John Smith said: call Mr Smith. Mrs Smith, SMITH and Smith's."),
+            (2, "Dr O'Brien and Mrs Anna-Maria Garcia Lopez; O'Brien, Lopez, Garcia."),
+            (3, "Herr Ludwig van Beethoven. Beethoven, Mr J. K. Rowe; Rowe"), (4, "Smith and John of no title"),
+            (5, "Mr John Smith@example.com"), (6, "Professor Smith"), (7, "Mr Mr Smith, mr smith, Mr. and Mrs")]
+    got = {r.doc_id: r for r in S.replace_pii(frame(rows), KEY).collect()}
+    words = re.findall(r"[^\W\d_]+", got[1].text)
+    one = words[2]
+    assert "john" not in got[1].text.lower() and "smith" not in got[1].text.lower()
+    assert [w.lower() for w in words].count(one.lower()) == 6 and one.upper() in words and words[1] == words[4]
+    assert words[1].split("-")[0] in S.GIVEN["latin", "m"]
+    for clear in ("Brien", "Anna-Maria", "Garcia", "Lopez", "Beethoven", "Ludwig", "Rowe"):
+        assert clear not in got[2].text + got[3].text
+    assert " van " in got[3].text and "J. K. " in got[3].text and got[2].text.startswith("Dr ")
+    a, b = re.findall(r"(\w'\w+)", got[2].text)
+    assert a == b and got[4].text == rows[3][1]
+    assert got[5].n_entities == 2 and "smith" not in got[5].text.lower()
+    assert got[6].text == f"Professor {one}" and got[7].text == f"Mr Mr {one}, mr smith, Mr. and Mrs"
+
+
+def test_more_forms(frame):
+    assert person("IBAN DE89 3704 0044 0532 0130 00, GB82WEST12345698765432 but not DE88370400440532013000") == [
+        ("DE89 3704 0044 0532 0130 00", "iban"), ("GB82WEST12345698765432", "iban")]
+    assert person("2001:db8::ff00:42:8329, at 12:30:45 std::vec a::b fe80::1") == [("2001:db8::ff00:42:8329", "ip6"), ("fe80::1", "ip6")]
+    assert person("call 030 1234567, not 030 1234567") == [("030 1234567", "phone")]
+    assert person("api key: abcd1234efgh5678; Bearer abc.def.ghi123456789 pwd=hunter2! secret: abcdef12, secret: sauces") == [
+        ("abcd1234efgh5678", "secret"), ("abc.def.ghi123456789", "secret"), ("hunter2!", "secret"), ("abcdef12", "secret")]
+    f = S.Forge(KEY)
+    for draw in (0, 1, 4):
+        new = f.surrogate("iban", "de89370400440532013000", draw)
+        assert S.iban(new.upper()) and new[:2] == "de" and new[4:] != "370400440532013000"
+        assert f.surrogate("phone", "+4930123456", draw).startswith("+49") and f.surrogate("phone", "+35312345678", draw).startswith("+353")
+        assert f.surrogate("ip6", S.canonical("ip6", "fe80::1"), draw).startswith("fe80:")
+
+
+def test_long_values_change_in_every_place():
+    f = S.Forge(KEY)
+    for value in ("q7" * 50, "ab3xyz" * 2_000, "5a" * 5_000):
+        new = f.surrogate("secret", value)
+        assert len(new) == len(value) and sum(a == b for a, b in zip(value, new)) < len(value) / 4
+        other = value[:-1] + ("b" if value[-1] != "b" else "c")
+        assert f.surrogate("secret", other) != new
+    long = "Mr " + "A" * 3_000
+    assert person(long) == [("A" * 3_000, "name_m")] and len(f.surrogate("surname", "a" * 3_000)) == 3_000
+
+
+def test_documents_against_a_plain_detector(spark):
+    """Recall over the whole table by patterns of their own; texts without a hit stay as they are."""
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    text = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    forms = {"email": r"[a-z.]+\.?[0-9]*@[a-z0-9]+\.example\.com", "phone": r"\+1 \(\d{3}\) 555-\d{4}", "ip": r"(?:\d{1,3}\.){3}\d{1,3}",
+             "secret": r"(?<=token = \")[0-9a-f]{40}"}
+    met, clear, changed = Counter(), Counter(), 0
+    for r in S.replace_pii(docs, KEY).select("doc_id", "text").collect():
+        own = text[r.doc_id] or ""
+        hit = False
+        for kind, form in forms.items():
+            for value in re.findall(form, own):
+                hit = True
+                met[kind] += 1
+                clear[kind] += value in r.text
+        cards = [x for x in re.findall(r"(?<!\d)\d{16}(?!\d)", own) if re.match("4|5[1-5]|6011|65|2[2-7]", x)
+                 and sum(sum(divmod(2 * int(c), 10)) if k % 2 == 0 else int(c) for k, c in enumerate(x)) % 10 == 0]
+        for value in cards:
+            met["card"] += 1
+            clear["card"] += value in r.text
+        changed += not hit and not cards and (r.text or "") != own
+    assert all(met[k] for k in (*forms, "card")) and not +clear and not changed, (met, clear, changed)
