@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..plans.stages import materialize
 from ..session import ship_package
@@ -224,3 +224,17 @@ def release() -> None:
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)           # glibc only
     if trim is not None:
         trim(0)
+
+
+def first_by_hash(rows: DataFrame, group: str, tie: str, n: int) -> DataFrame:
+    """The ``n`` rows of each group with the smallest hashes ``h`` (ties: by ``tie``).
+    Hashes are spread evenly, so a bound from the group's count leaves few more than
+    ``n`` rows of it to rank, whatever its size (fewer than ``n`` once in 10**9, or if
+    repeated rows, which share a hash, fall beyond the bound). The counts are
+    broadcast: one row of a group, of which the caller keeps ``n`` rows."""
+    counts = rows.groupBy(F.col(group).alias("_g")).agg(F.count("*").alias("_n"))
+    some = n + 6 * n ** 0.5 + 6
+    near = rows.join(F.broadcast(counts), F.col(group) == F.col("_g")).filter(
+        F.col("h").cast("double") <= F.lit(some) / F.col("_n") * 2.0 ** 64 - 2.0 ** 63)
+    ranked = near.withColumn("_r", F.row_number().over(Window.partitionBy(group).orderBy("h", tie)))
+    return ranked.filter(F.col("_r") <= n).drop("_g", "_n", "_r")

@@ -22,9 +22,9 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import buffers, pick, pieces, ready, row_local
+from .common import buffers, first_by_hash, pick, pieces, ready, row_local, stage
 
 LANDMARKS = 48                    # for each language
 PER_LANG = 800
@@ -153,10 +153,9 @@ def fit(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
         F.col(f"`{id_col}`").cast("string").alias("id"), F.col(f"`{lang_col}`").cast("string").alias("lang"),
         F.col(f"`{text_col}`").cast("string").alias("text")).filter(
         F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    # ranks over ids alone; Spark keeps the first rows of each group before the shuffle
-    first = Window.partitionBy("lang").orderBy("h", "id")
-    ids = (rows.select("lang", "id", F.xxhash64("id").alias("h")).withColumn("r", F.row_number().over(first))
-           .filter(F.col("r") <= per_lang).select("lang", "id").distinct())
+    # ranks over ids alone
+    named = stage(rows.select("lang", "id", F.xxhash64("id").alias("h")), "lang-ids")
+    ids = first_by_hash(named, "lang", "id", per_lang).select("lang", "id").distinct()
     keys = {(r["lang"], r["id"]) for r in ids.collect()}        # bounded by languages and per_lang
     if not keys:
         return None

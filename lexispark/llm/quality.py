@@ -31,9 +31,9 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import buffers, byte_table, pick, pieces, ready, stage, words
+from .common import buffers, byte_table, first_by_hash, pick, pieces, ready, stage, words
 
 PER_CLASS = 4000
 SITE_ROWS = 500_000
@@ -110,9 +110,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     spark = ready(docs.sparkSession)
     known = (pick(labels, id=F.col(f"`{label_id_col}`").cast("long"), y=F.col(f"`{label_col}`").cast("int"))
              .filter(F.col("id").isNotNull() & F.col("y").isin(0, 1)).groupBy("id").agg(F.min("y").alias("y")))
-    first = Window.partitionBy("y").orderBy("h", "id")
-    chosen = (known.withColumn("h", F.xxhash64("id")).withColumn("r", F.row_number().over(first))
-              .filter(F.col("r") <= per_class).select("id", "y").collect())        # at most 2 x per_class
+    chosen = first_by_hash(known.withColumn("h", F.xxhash64("id")), "y", "id", per_class)
+    chosen = chosen.select("id", "y").collect()                                 # at most 2 x per_class
     if not chosen:
         return None
     wanted = F.broadcast(spark.createDataFrame([(r["id"], r["y"]) for r in chosen], "id long, y int"))

@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pyarrow as pa
 
-from lexispark.llm.common import Memo, buffers, coded, grams, pieces, words
+from lexispark.llm.common import Memo, buffers, coded, first_by_hash, grams, pieces, words
 from lexispark.llm.decontam import LOWER, WORD, grams_of_rows
 
 
@@ -57,3 +57,13 @@ def test_coded_and_memo():
     for k in range(100):                                     # bounded by bytes, whatever the number of calls
         memo.get([str(k).encode() for k in range(4 * k, 4 * k + 4)], make)
         assert len(memo.young) + len(memo.old) <= 12
+
+
+def test_first_by_hash_is_the_plain_ranking(spark):
+    from pyspark.sql import Window, functions as F
+    rows = spark.range(30_000).select("id", F.when(F.col("id") % 10 == 0, "few").when(F.col("id") < 9, "tiny").otherwise("hot").alias("g"),
+                                      F.xxhash64("id").alias("h")).repartition(5)
+    plain = rows.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy("h", "id"))).filter("r <= 200").drop("r")
+    got = first_by_hash(rows, "g", "id", 200)
+    assert sorted(got.collect()) == sorted(plain.collect()) and got.columns == rows.columns
+    assert first_by_hash(rows.filter("false"), "g", "id", 200).collect() == []
