@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import Memo, buffers, byte_table, coded, mix, pick, pieces, ready, release
 
-#: What a worker keeps between pieces of text: bytes of a generation of kept chunks, and of kept merges of pre-tokens.
-MEMO, MERGES = 24 << 20, 12 << 20
+#: What a worker keeps between pieces of text: bytes of a generation of kept chunks (half as many of merges of pre-tokens).
+MEMO = 24 << 20
 #: Text bytes of one step: what is made of them takes some fifty times as much.
 STEP_BYTES = 1 << 20
 BUCKET = 4
@@ -95,7 +95,7 @@ class PerfectHash:
 
 
 class ByteBPE:
-    def __init__(self, tokens: list[bytes], pattern: str):
+    def __init__(self, tokens: list[bytes], pattern: str, memo: int = MEMO):
         self.tokens, self.pattern = tokens, pattern
         ranks = {t: i for i, t in enumerate(tokens) if t}
         self.byte = [ranks[bytes([b])] for b in range(256)]
@@ -104,7 +104,7 @@ class ByteBPE:
                       if t[:k] in ranks and t[k:] in ranks}
         self.by_hash = PerfectHash(tokens)
         #: Of a worker process, for all its tasks.
-        self.memo, self.merges = Memo(MEMO), Memo(MERGES)
+        self.memo, self.merges = Memo(memo), Memo(memo // 2)
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of a pre-token that is not in the vocabulary."""
@@ -235,19 +235,19 @@ def _encode(sent, columns: tuple[str, ...]):
     return run
 
 
-def _sent(spark, path: str, pattern: str):
+def _sent(spark, path: str, pattern: str, memo: int = MEMO):
     """The vocabulary, bounded by its file, for the tasks."""
-    return ready(spark).sparkContext.broadcast(ByteBPE(read_ranks(path), pattern))
+    return ready(spark).sparkContext.broadcast(ByteBPE(read_ranks(path), pattern, memo))
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-           columns: tuple[str, ...] = ("n_tokens", "ids")) -> DataFrame:
+           columns: tuple[str, ...] = ("n_tokens", "ids"), memo: int = MEMO) -> DataFrame:
     """doc_id and the wanted ``columns``: n_tokens; ids (array); ids_sha256, of
     the decimal ids joined by commas; decoded (the bytes that the ids stand
-    for); decoded_sha256."""
+    for); decoded_sha256. ``memo``: bytes that a worker may keep, four to six times."""
     texts = pick(docs, doc_id=F.col(f"`{id_col}`").cast("long"), text=F.col(f"`{text_col}`").cast("string"))
     schema = "doc_id long, " + ", ".join(f"{c} {SQL[c]}" for c in columns)
-    return texts.mapInArrow(_encode(_sent(docs.sparkSession, path, pattern), columns), schema)
+    return texts.mapInArrow(_encode(_sent(docs.sparkSession, path, pattern, memo), columns), schema)
 
 
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

@@ -56,7 +56,7 @@ GROUP BY doc_id
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = vocabulary("byte_bpe_multi_50k.tiktoken")
     return bpe.encode(table(spark, sf_dir, "documents"), path, pattern,
-                      columns=("n_tokens", "ids_sha256", "decoded_sha256"))
+                      columns=("n_tokens", "ids_sha256", "decoded_sha256"), memo=64 << 20)
 
 
 # ------------------------------------------------------------ 5 decontamination
