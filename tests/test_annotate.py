@@ -231,3 +231,29 @@ def test_nlp_needs_a_lexicon_or_a_tagger(spark, tmpdir_path):
         jobs.nlp(spark, "in", tmpdir_path)
     with pytest.raises(SystemExit):
         jobs.main(["nlp", "--input", "in", "--output", tmpdir_path])
+
+
+def test_arrow_works_in_steps_of_bounded_text():
+    import pyarrow as pa
+    from lexispark.operators.annotate import STEP_BYTES, _arrow_annotator
+    texts = [None, "", "The very large Thtion was <b>red</b>. " * 3, None, "Attion is able 4.2 " * 5000] * 40 + ["", None]
+    b = pa.RecordBatch.from_pydict({"id": pa.array(range(len(texts))), "body": pa.array(texts, pa.string())})
+    assert b.column("body").nbytes > 3 * STEP_BYTES
+    steps = list(_arrow_annotator(TEST_LEXICON, "body", True)(iter([b])))
+    sizes = [sum(len(x or "") for x in s.column("body").to_pylist()) for s in steps]
+    assert len(steps) > 3 and all(n <= STEP_BYTES or s.num_rows == 1 for n, s in zip(sizes, steps, strict=True))
+    whole = list(_arrow_annotator(TEST_LEXICON, "body", True, max_bytes=1 << 40)(iter([b])))
+    single = list(_arrow_annotator(TEST_LEXICON, "body", True, max_bytes=1)(iter([b])))
+    assert len(whole) == 1 and max(s.num_rows for s in single[2:]) <= 5
+    for some in (steps, single):
+        assert pa.Table.from_batches(some).combine_chunks().equals(pa.Table.from_batches(whole).combine_chunks())
+
+
+def test_first_of_words_that_differ_by_case():
+    import pyarrow as pa
+    from lexispark.operators.annotate import _arrow_annotator
+    lex = Lexicon(words={"May": ("NNP", "May"), "may": ("MD", "might")}, default_tag="NN")
+    b = pa.RecordBatch.from_pydict({"body": pa.array(["may MAY day"])})
+    out = next(_arrow_annotator(lex, "body", False)(iter([b])))
+    assert out.column("tags").to_pylist() == [["NNP", "NNP", "NN"]]
+    assert out.column("lemmas").to_pylist() == [["May", "May", "day"]]
