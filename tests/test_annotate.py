@@ -257,3 +257,25 @@ def test_first_of_words_that_differ_by_case():
     out = next(_arrow_annotator(lex, "body", False)(iter([b])))
     assert out.column("tags").to_pylist() == [["NNP", "NNP", "NN"]]
     assert out.column("lemmas").to_pylist() == [["May", "May", "day"]]
+
+
+def test_runs_in_two_texts_are_shared(spark):
+    from lexispark.plans.queries import _shared_runs
+    rows = [(1, ["a", "b", "a", "b"]), (1, ["a", "b", "c"]), (2, ["b", "c"]), (None, ["x", "y"]), (None, ["x", "y"]),
+            (None, ["b", "a"]), (3, ["c"]), (4, None)]
+    got = _shared_runs(spark.createDataFrame(rows, "id long, tokens array<string>"), 2, "L")
+    assert sorted(map(tuple, got.collect())) == [("L", "b a"), ("L", "b c")]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1
+
+
+def test_a_block_of_texts_meets_its_phrases_once(spark):
+    """Repeated runs move once a block, and rows come back as they were."""
+    from lexispark.operators import gazetteer as G
+    import pyarrow as pa
+    b = pa.RecordBatch.from_pydict({"body": pa.array(["a B a b", None, "b a b"]), "_block": pa.array([7, 7, 8])})
+    rows = [tuple(r.values()) for x in G._runs("body", [1, 2])(iter([b])) for r in x.to_pylist()]
+    assert sorted(rows) == [(7, "a"), (7, "a b"), (7, "b"), (7, "b a"), (8, "a"), (8, "a b"), (8, "b"), (8, "b a")]
+    df = spark.createDataFrame([(1, "x a b"), (1, "x a b"), (None, None), (2, "")], "id int, body string")
+    table = spark.createDataFrame([("P", "A b"), ("Q", "x"), ("Q", "a b")], "label string, phrase string")
+    got = G.annotate_with_gazetteer(df, "body", table, ["P", "Q"], Lexicon(words={}), max_bytes=0, few=0).collect()
+    assert sorted([str(r["id"]), r["ents"]] for r in got) == [["1", ["Q", "P", "P"]], ["1", ["Q", "P", "P"]], ["2", []], ["None", None]]
