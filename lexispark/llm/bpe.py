@@ -3,9 +3,11 @@
 Text is cut by the tokenizer's pattern into pre-tokens. A pre-token that is
 itself in the vocabulary is resolved by a minimal perfect hash over the whole
 vocabulary: one slot per token, its bytes compared, no probing. Any other
-pre-token is merged: the ranks of neighbouring pairs wait in a heap over a
-doubly linked list of its bytes, and the lowest (leftmost first) is merged
-until none is left; n log n in the length of the pre-token.
+pre-token is merged: of the ranks of its neighbouring pairs the lowest (leftmost
+first) is merged until none is left. Pre-tokens of up to ``SHORT`` bytes are merged
+side by side, all of one length as the rows of a matrix, one merge of each row at a
+time; in longer ones the ranks wait in a heap over a doubly linked list of the bytes,
+n log n in the length of the pre-token.
 
 Inside a task the texts are first cut at safe places, which are always
 pre-token boundaries: before a space or line end that follows a visible
@@ -29,11 +31,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import Memo, buffers, byte_table, coded, mix, pick, pieces, ready, release
 
-#: What a worker keeps between pieces of text: bytes of a generation of kept chunks (half as many of merges of pre-tokens).
+#: What a worker keeps between pieces of text: bytes of a generation of kept chunks.
 MEMO = 24 << 20
 #: Text bytes of one step: what is made of them takes some fifty times as much.
 STEP_BYTES = 1 << 20
 BUCKET = 4
+#: Bytes of a pre-token up to which it is merged side by side with others of its length.
+SHORT = 40
+#: The rank of a pair that no token is made of.
+NONE = np.iinfo(np.int32).max
 COLUMNS = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32()), "ids_sha256": pa.string(), "decoded": pa.binary(),
            "decoded_sha256": pa.string()}
 SQL = {"n_tokens": "long", "ids": "array<int>", "ids_sha256": "string", "decoded": "binary", "decoded_sha256": "string"}
@@ -94,6 +100,40 @@ class PerfectHash:
         return self.owner[self._slot(h, self.shift[(h % np.uint64(self.buckets)).astype(np.int64)])]
 
 
+class PairTable:
+    """Ranks of pairs of ids, looked up many at once (open addressing, a quarter full at most)."""
+
+    def __init__(self, pairs: dict[int, int]):
+        self.mask = (4 << max(1, len(pairs)).bit_length()) - 1
+        self.keys, self.ranks = np.full(self.mask + 1, -1, np.int64), np.full(self.mask + 1, NONE, np.int32)
+        keys, ranks = np.fromiter(pairs, np.int64, len(pairs)), np.fromiter(pairs.values(), np.int32, len(pairs))
+        at = self._slot(keys)
+        while len(keys):
+            free = np.flatnonzero(self.keys[at] < 0)
+            self.keys[at[free]] = keys[free]                  # of several for one slot, the last
+            left = self.keys[at] != keys
+            self.ranks[at[~left]] = ranks[~left]
+            keys, ranks, at = keys[left], ranks[left], (at[left] + 1) & self.mask
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (mix(keys.astype(np.uint64)) & np.uint64(self.mask)).astype(np.int64)
+
+    def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair, ``NONE`` if it has none."""
+        keys = left.astype(np.int64) << 24 | right
+        at = self._slot(keys)
+        held = self.keys[at]
+        out = self.ranks[at]
+        other = np.flatnonzero(held != keys)
+        while len(other):
+            out[other] = NONE
+            other = other[held[other] >= 0]                   # the slot is another pair's: the next one
+            at[other] = (at[other] + 1) & self.mask
+            held[other], out[other] = self.keys[at[other]], self.ranks[at[other]]
+            other = other[held[other] != keys[other]]
+        return out
+
+
 class ByteBPE:
     def __init__(self, tokens: list[bytes], pattern: str, memo: int = MEMO):
         self.tokens, self.pattern = tokens, pattern
@@ -102,9 +142,13 @@ class ByteBPE:
         #: Two neighbours' ids to the id of both, for each way to cut a token in two.
         self.pairs = {ranks[t[:k]] << 24 | ranks[t[k:]]: i for t, i in ranks.items() for k in range(1, len(t))
                       if t[:k] in ranks and t[k:] in ranks}
+        self.table = PairTable(self.pairs)
+        self.byte_ids = np.asarray(self.byte, np.int32)
+        #: The rank of each two bytes.
+        self.bytes_rank = self.table.find(np.repeat(self.byte_ids, 256), np.tile(self.byte_ids, 256))
         self.by_hash = PerfectHash(tokens)
         #: Of a worker process, for all its tasks.
-        self.memo, self.merges = Memo(memo), Memo(memo // 2)
+        self.memo = Memo(memo)
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of a pre-token that is not in the vocabulary."""
@@ -134,24 +178,72 @@ class ByteBPE:
                 push(heap, r << shift | h)
         return [p for p in part if p >= 0]
 
-    def encode_words(self, words: list[bytes]) -> list[list[int]]:
-        """Ids of each pre-token."""
-        if not words:
-            return []
-        found, tokens = self.by_hash.find(words).tolist(), self.tokens
-        rest = [w for w, i in zip(words, found, strict=True) if tokens[i] != w]
-        merged = dict(zip(rest, self.merges.get(rest, lambda ws: [np.asarray(self.merge(w), "<i4").tobytes() for w in ws]),
-                          strict=True))
-        return [np.frombuffer(merged[w], "<i4").tolist() if w in merged else [i] for w, i in zip(words, found, strict=True)]
-
-    def encode_chunks(self, chunks: list[bytes]) -> list[list[int]]:
-        """Ids of each text."""
+    def merge_rows(self, rows: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of pre-tokens of one length, as the rows of a matrix of bytes: numbers
+        of rows and their ids, for each number of ids that a row is left with."""
+        out, which, parts = [], np.arange(len(rows)), self.byte_ids[rows]
+        ranks = self.bytes_rank[rows[:, :-1].astype(np.int64) << 8 | rows[:, 1:]]
+        while ranks.shape[1]:
+            at = ranks.argmin(axis=1)                       # the lowest rank, then the leftmost
+            low = ranks[np.arange(len(at)), at]
+            more = low != NONE
+            if not more.all():
+                out.append((which[~more], parts[~more]))
+                which, parts, ranks, at, low = which[more], parts[more], ranks[more], at[more], low[more]
+            if not len(which):
+                return out
+            n, wide = parts.shape
+            column = np.arange(wide)
+            parts = parts[column != at[:, None] + 1].reshape(n, wide - 1)
+            ranks = ranks[column[:-1] != at[:, None]].reshape(n, wide - 2)
+            parts[np.arange(n), at] = low
+            i = np.flatnonzero(at < wide - 2)
+            ranks[i, at[i]] = self.table.find(low[i], parts[i, at[i] + 1])
+            i = np.flatnonzero(at)
+            ranks[i, at[i] - 1] = self.table.find(parts[i, at[i] - 1], low[i])
+        return [*out, (which, parts)]
+
+    def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pre-tokens, end to end, and their number for each."""
+        found, tokens = self.by_hash.find(words), self.tokens
+        rest = np.asarray([k for k, (w, i) in enumerate(zip(words, found.tolist(), strict=True)) if tokens[i] != w], np.int64)
+        length = np.fromiter((len(words[k]) for k in rest.tolist()), np.int64, len(rest))
+        order = np.argsort(length, kind="stable")
+        rest, length = rest[order], length[order]
+        parts = []
+        short = int(np.searchsorted(length, SHORT, "right"))
+        data, at = np.frombuffer(b"".join([words[k] for k in rest[:short].tolist()]), np.uint8), 0
+        cuts = np.flatnonzero(np.diff(length[:short], prepend=0, append=0))
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            size = int(length[lo])
+            rows = data[at:at + (hi - lo) * size].reshape(hi - lo, size)
+            parts += [(rest[lo:hi][which], ids) for which, ids in self.merge_rows(rows)]
+            at += rows.size
+        parts += [(np.asarray([k]), np.asarray([self.merge(words[k])], np.int32)) for k in rest[short:].tolist()]
+        sizes = np.ones(len(words), np.int64)
+        for which, ids in parts:
+            sizes[which] = ids.shape[1]
+        first = np.cumsum(sizes) - sizes
+        out = np.empty(int(sizes.sum()), np.int32)
+        out[first] = found                                    # for the rest, what follows takes its place
+        for which, ids in parts:
+            out[first[which][:, None] + np.arange(ids.shape[1])] = ids
+        return out, sizes
+
+    def encode_chunks(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts, end to end, and their number for each."""
         import regex
         split = regex.compile(self.pattern).findall
-        cut = [[w.encode() for w in split(c.decode())] for c in chunks]
-        distinct = list({w: None for ws in cut for w in ws})
-        ids = dict(zip(distinct, self.encode_words(distinct), strict=True))
-        return [[i for w in ws for i in ids[w]] for ws in cut]
+        cut = [split(c.decode()) for c in chunks]
+        number: dict[str, int] = {}
+        word = np.asarray([number.setdefault(w, len(number)) for ws in cut for w in ws], np.int64)
+        if not len(word):
+            return np.zeros(0, np.int32), np.zeros(len(chunks), np.int64)
+        ids, sizes = self.encode_words([w.encode() for w in number])
+        first, each = np.cumsum(sizes) - sizes, sizes[word]
+        total = np.concatenate([[0], np.cumsum(each)])
+        edge = total[np.concatenate([[0], np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut)))])]
+        return ids[np.arange(total[-1]) + np.repeat(first[word] - total[:-1], each)], np.diff(edge)
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -196,7 +288,11 @@ def _encode(sent, columns: tuple[str, ...]):
         bpe: ByteBPE = sent.value
 
         def ids_and_text(chunks: list[bytes]) -> list[tuple[bytes, bytes]]:
-            return [(np.asarray(ids, "<i4").tobytes(), ",".join(map(str, ids)).encode()) for ids in bpe.encode_chunks(chunks)]
+            ids, sizes = bpe.encode_chunks(chunks)
+            raw, text = ids.astype("<i4").tobytes(), list(map(str, ids.tolist()))
+            end = np.cumsum(sizes)
+            return [(raw[4 * lo:4 * hi], ",".join(text[lo:hi]).encode())
+                    for lo, hi in zip((end - sizes).tolist(), end.tolist(), strict=True)]
 
         for b in pieces(batches, limit=STEP_BYTES):
             data, offsets = buffers(b.column("text"))
@@ -230,7 +326,6 @@ def _encode(sent, columns: tuple[str, ...]):
             out |= {c: pa.array(v, COLUMNS[c]) for c, v in made.items()}
             yield pa.RecordBatch.from_pydict({c: out[c] for c in ("doc_id", *columns)})
         bpe.memo.forget()
-        bpe.merges.forget()
         release()
     return run
 
@@ -244,7 +339,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
            columns: tuple[str, ...] = ("n_tokens", "ids"), memo: int = MEMO) -> DataFrame:
     """doc_id and the wanted ``columns``: n_tokens; ids (array); ids_sha256, of
     the decimal ids joined by commas; decoded (the bytes that the ids stand
-    for); decoded_sha256. ``memo``: bytes that a worker may keep, four to six times."""
+    for); decoded_sha256. ``memo``: bytes that a worker may keep, some four times."""
     texts = pick(docs, doc_id=F.col(f"`{id_col}`").cast("long"), text=F.col(f"`{text_col}`").cast("string"))
     schema = "doc_id long, " + ", ".join(f"{c} {SQL[c]}" for c in columns)
     return texts.mapInArrow(_encode(_sent(docs.sparkSession, path, pattern, memo), columns), schema)

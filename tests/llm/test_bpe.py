@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 import tiktoken
 
@@ -48,3 +49,24 @@ def test_perfect_hash_is_minimal_and_finds_every_token():
 
 def test_empty_table(frame):
     assert B.encode(frame([]), PATH, P.PATTERN).collect() == []
+
+
+def test_short_words_are_merged_side_by_side_with_the_heap_s_ids(monkeypatch):
+    bpe = B.ByteBPE(TOKENS, P.PATTERN)
+    random.seed(2)
+    words = list({bytes(random.choices(b"eeantiorn h\xc3\xa9\xf1\x00Z", k=random.randint(1, B.SHORT + 8))) for _ in range(4000)})
+    heap = [bpe.merge(w) for w in words]
+    long = []
+    monkeypatch.setattr(bpe, "merge", lambda w: long.append(w) or B.ByteBPE.merge(bpe, w))
+    ids, sizes = bpe.encode_words(words)
+    assert sizes.tolist() == list(map(len, heap)) and ids.tolist() == [i for h in heap for i in h]
+    assert long and min(map(len, long)) > B.SHORT            # a heap for none of the others
+
+
+def test_pair_table_has_every_pair_and_no_other():
+    bpe = B.ByteBPE(TOKENS, P.PATTERN)
+    left, right = np.asarray([k >> 24 for k in bpe.pairs]), np.asarray([k & 0xFFFFFF for k in bpe.pairs])
+    assert (bpe.table.find(left, right) == list(bpe.pairs.values())).all()
+    found = bpe.table.find(right, left).tolist()
+    assert found == [bpe.pairs.get(b << 24 | a, B.NONE) for a, b in zip(left.tolist(), right.tolist(), strict=True)]
+    assert bpe.table.find(left[:0], right[:0]).tolist() == [] and B.PairTable({}).find(left[:3], right[:3]).tolist() == [B.NONE] * 3
