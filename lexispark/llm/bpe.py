@@ -106,6 +106,7 @@ class PairTable:
     def __init__(self, pairs: dict[int, int]):
         self.mask = (4 << max(1, len(pairs)).bit_length()) - 1
         self.keys, self.ranks = np.full(self.mask + 1, -1, np.int64), np.full(self.mask + 1, NONE, np.int32)
+        self.pairs = pairs
         keys, ranks = np.fromiter(pairs, np.int64, len(pairs)), np.fromiter(pairs.values(), np.int32, len(pairs))
         at = self._slot(keys)
         while len(keys):
@@ -115,6 +116,9 @@ class PairTable:
             self.ranks[at[~left]] = ranks[~left]
             keys, ranks, at = keys[left], ranks[left], (at[left] + 1) & self.mask
 
+    def __reduce__(self):
+        return PairTable, (self.pairs,)                       # made again where it is sent to
+
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return (mix(keys.astype(np.uint64)) & np.uint64(self.mask)).astype(np.int64)
 

@@ -1,4 +1,5 @@
 import hashlib
+import pickle
 import random
 
 import numpy as np
@@ -69,4 +70,6 @@ def test_pair_table_has_every_pair_and_no_other():
     assert (bpe.table.find(left, right) == list(bpe.pairs.values())).all()
     found = bpe.table.find(right, left).tolist()
     assert found == [bpe.pairs.get(b << 24 | a, B.NONE) for a, b in zip(left.tolist(), right.tolist(), strict=True)]
+    sent = pickle.dumps(bpe)
+    assert len(sent) < 4 << 20 and (pickle.loads(sent).table.ranks == bpe.table.ranks).all()   # the table is not sent
     assert bpe.table.find(left[:0], right[:0]).tolist() == [] and B.PairTable({}).find(left[:3], right[:3]).tolist() == [B.NONE] * 3
