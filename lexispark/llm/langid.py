@@ -35,6 +35,8 @@ CODE = bytes((b - 96) if 97 <= b <= 122 else (b - 64) if 65 <= b <= 90 else (b -
              for b in range(256))
 SYMBOLS = 256 - 101
 UND = "und"
+#: Texts whose kernel values are one matrix product.
+STEP_TEXTS = 128
 
 
 def _symbols(data: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -172,8 +174,8 @@ def fit(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
 def _predict(model: Model | None, texts: pa.Array) -> tuple[list[str], np.ndarray]:
     """Language and score of each text, a bounded block at a time."""
     langs, scores = [], [np.zeros(0)]
-    for k in range(0, len(texts), 512):
-        part = texts.slice(k, 512)
+    for k in range(0, len(texts), STEP_TEXTS):
+        part = texts.slice(k, STEP_TEXTS)
         known = _has_letter(part.to_pylist())
         if model is None:
             known[:] = False

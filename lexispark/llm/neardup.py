@@ -44,7 +44,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import buffers, grams, mix, pick, pieces, ready, stage, without, word_hashes, words
+from .common import buffers, grams, mix, pick, pieces, ready, release, stage, without, word_hashes, words
 from .decontam import LOWER, WORD, grams_of_rows
 from .lm import _rows, _small, _wide
 from .spread import hot_join, numbered
@@ -53,6 +53,9 @@ SHINGLE = 5
 BANDS, ROWS = 12, 3
 SAMPLES = BANDS * ROWS
 BLOCK_BYTES, BLOCK_DOCS = 8 << 20, 1 << 18
+#: Text bytes that a task cuts into words at once, and words whose shingles it holds at once
+#: (one text at least): bounds of a worker's memory.
+CUT_BYTES, STEP_WORDS = 2 << 20, 1 << 17
 BUCKET_ENTRIES = 400_000
 #: Members that one task compares with a leader before the next task shares in.
 SPREAD = 256
@@ -81,41 +84,39 @@ def _blocks(batches):
 
     def close():
         nonlocal made, held, size, docs
-        offset, codes = 0, []
-        for _, _, _, vocab, own, _ in held:
-            codes.append(own + offset)
-            offset += len(vocab)
         vocab, back = np.unique(np.concatenate([h[3] for h in held]), return_inverse=True)
-        tokens = back[np.concatenate(codes)] if len(vocab) else np.zeros(0, np.int64)
+        offsets = np.cumsum([0] + [len(h[3]) for h in held])
+        tokens = [back[at:to].astype("<u4")[h[4]].tobytes() for h, at, to in zip(held, offsets[:-1], offsets[1:], strict=True)]
         lengths = np.concatenate([h[2] for h in held])
-        doc = np.repeat(np.arange(len(lengths)), lengths)
-        # documents that hold each word
-        met = np.unique(doc.astype(np.uint64) << np.uint64(32) | tokens.astype(np.uint64))
-        df = np.bincount((met & np.uint64(0xFFFFFFFF)).astype(np.int64), minlength=len(vocab))
+        df = np.bincount(back, np.concatenate([h[6] for h in held]), len(vocab))
         made += 1
         out = pa.RecordBatch.from_pydict({
             "block": pa.array([f"{task}-{made}"]), "ids": pa.array([np.concatenate([h[0] for h in held]).astype("<i8").tobytes()]),
             "nulls": pa.array([np.concatenate([h[5] for h in held]).astype("u1").tobytes()]),
             "keys": pa.array([b"".join(k for h in held for k in h[1])]),
             "ends": pa.array([np.cumsum(lengths).astype("<i8").tobytes()]), "vocab": pa.array([vocab.astype("<u8").tobytes()]),
-            "df": pa.array([df.astype("<u4").tobytes()]), "tokens": pa.array([tokens.astype("<u4").tobytes()])})
+            "df": pa.array([df.astype("<u4").tobytes()]), "tokens": pa.array([b"".join(tokens)])})
         held, size, docs = [], 0, 0
         return out
 
-    for b in pieces(batches):
+    for b in pieces(batches, limit=CUT_BYTES):
         data, offsets = buffers(b.column("text"))
         at, codes, distinct = words(data.translate(LOWER), offsets, WORD)
         hashes = word_hashes(distinct)
         sequence = hashes[codes]
         keys = [xxhash.xxh3_128_digest(sequence[lo:hi].tobytes()) for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
         used, own = np.unique(codes, return_inverse=True)
+        # documents that hold each word
+        met = np.unique(np.repeat(np.arange(len(keys), dtype=np.uint64), np.diff(at)) << np.uint64(32) | own.astype(np.uint64))
+        df = np.bincount((met & np.uint64(0xFFFFFFFF)).astype(np.int64), minlength=len(used))
         doc = b.column("doc_id")
-        held.append((doc.fill_null(0).to_numpy(), keys, np.diff(at), hashes[used], own, np.asarray(doc.is_null())))
+        held.append((doc.fill_null(0).to_numpy(), keys, np.diff(at), hashes[used], own.astype("<u4"), np.asarray(doc.is_null()), df))
         size, docs = size + len(data), docs + b.num_rows
         if size >= BLOCK_BYTES or docs >= BLOCK_DOCS:
             yield close()
     if held:
         yield close()
+    release()
 
 
 def _cut(hashes: np.ndarray, buckets: int):
@@ -151,25 +152,34 @@ def _add(key, rows):
 
 # ------------------------------------------------------------ shingles
 
-def shingles(row: dict, answers: list[dict], buckets: int, n_docs: int, only: np.ndarray | None = None):
-    """Sorted codes (document << 40 | shingle << 8 | idf) of the distinct
-    shingles of a block's documents (of the places ``only``), how often each
-    occurs, and the documents' places."""
-    vocab, tokens = np.frombuffer(row["vocab"], "<u8"), np.frombuffer(row["tokens"], "<u4")
-    ends = np.frombuffer(row["ends"], "<i8")
+def word_idf(row: dict, answers: list[dict], buckets: int, n_docs: int) -> np.ndarray:
+    """The inverse document frequency of each word of a block."""
+    vocab = np.frombuffer(row["vocab"], "<u8")
     df = np.zeros(len(vocab), np.int64)
     order, cuts = _cut(vocab, buckets)
     for a in answers:
         df[order[cuts[a["bucket"]]:cuts[a["bucket"] + 1]]] = _wide(a["total"])
-    idf = (1 + np.log((1 + n_docs) / (1 + df)) / np.log(1 + n_docs)).astype(np.float32)
+    return (1 + np.log((1 + n_docs) / (1 + df)) / np.log(1 + n_docs)).astype(np.float32)
+
+
+def steps(row: dict, places: np.ndarray) -> list[np.ndarray]:
+    """``places`` of a block's documents, in parts of about ``STEP_WORDS`` words."""
+    lengths = np.diff(np.frombuffer(row["ends"], "<i8"), prepend=0)[places]
+    part = (np.cumsum(lengths) - lengths) // STEP_WORDS
+    return np.split(places, np.flatnonzero(np.diff(part)) + 1) if len(places) else []
+
+
+def shingles(row: dict, idf: np.ndarray, only: np.ndarray):
+    """Sorted codes (number << 40 | shingle << 8 | idf) of the distinct shingles
+    of a block's documents at the places ``only``, numbered in this order, and
+    how often each occurs."""
+    vocab, tokens = np.frombuffer(row["vocab"], "<u8"), np.frombuffer(row["tokens"], "<u4")
+    ends = np.frombuffer(row["ends"], "<i8")
     starts = np.concatenate([[0], ends[:-1]])
-    places = np.arange(len(ends)) if only is None else only
-    if only is not None:
-        tokens = np.concatenate([tokens[starts[p]:ends[p]] for p in only] or [tokens[:0]])
-        lengths = (ends - starts)[only]
-        ends = np.cumsum(lengths)
-        starts = ends - lengths
-    lengths, n = ends - starts, len(tokens)
+    tokens = np.concatenate([tokens[starts[p]:ends[p]] for p in only] or [tokens[:0]])
+    lengths, n = (ends - starts)[only], len(tokens)
+    ends = np.cumsum(lengths)
+    starts = ends - lengths
     hashes, weight = vocab[tokens], idf[tokens]
     doc = np.repeat(np.arange(len(ends), dtype=np.uint64), lengths)
     m = max(0, n - SHINGLE + 1)
@@ -187,7 +197,7 @@ def shingles(row: dict, answers: list[dict], buckets: int, n_docs: int, only: np
     code = d << np.uint64(40) | (g >> np.uint64(32)) << np.uint64(8) | level
     code.sort()
     edge = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.zeros(0, np.int64)
-    return code[edge], np.diff(np.append(edge, len(code))), places
+    return code[edge], np.diff(np.append(edge, len(code)))
 
 
 def idf_of(code: np.ndarray) -> np.ndarray:
@@ -267,8 +277,9 @@ def _sign(buckets: int, n_docs: int):
         if block.num_rows:
             row = block.slice(0, 1).to_pylist()[0]
             ids, nulls = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["nulls"], bool)
-            code, count, _ = shingles(row, answers.to_pylist(), buckets, n_docs)
-            sample = samples(code, count, len(ids))
+            idf = word_idf(row, answers.to_pylist(), buckets, n_docs)
+            sample = [s for only in steps(row, np.arange(len(ids))) for s in samples(*shingles(row, idf, only), len(only))]
+            release()
             out = {"block": [row["block"]] * len(ids), "place": np.arange(len(ids)), "doc_id": ids,
                    "key": [row["keys"][16 * i:16 * i + 16] for i in range(len(ids))],
                    "sample": [s.tobytes() if np.isfinite(s[0]) else None for s in sample]}
@@ -285,12 +296,14 @@ def _vectors(buckets: int, n_docs: int):
         rows = others.to_pylist() if block.num_rows else []
         wanted = {r["place"]: r["id"] for r in rows if r["place"] is not None}
         if wanted:
-            only = np.array(sorted(wanted), np.int64)
-            code, count, _ = shingles(block.slice(0, 1).to_pylist()[0], [r for r in rows if r["place"] is None],
-                                      buckets, n_docs, only)
-            edge = np.searchsorted(code >> np.uint64(40), np.arange(len(only) + 1))
-            ids = [wanted[p] for p in only.tolist()]
-            vecs = [pack(code[a:b], count[a:b]) for a, b in zip(edge[:-1], edge[1:], strict=True)]
+            row = block.slice(0, 1).to_pylist()[0]
+            idf = word_idf(row, [r for r in rows if r["place"] is None], buckets, n_docs)
+            for only in steps(row, np.array(sorted(wanted), np.int64)):
+                code, count = shingles(row, idf, only)
+                edge = np.searchsorted(code >> np.uint64(40), np.arange(len(only) + 1))
+                ids += [wanted[p] for p in only.tolist()]
+                vecs += [pack(code[a:b], count[a:b]) for a, b in zip(edge[:-1], edge[1:], strict=True)]
+            release()
         return pa.table({"id": pa.array(ids, pa.int64()), "vec": pa.array(vecs, pa.binary())})
     return run
 
@@ -301,7 +314,7 @@ def _compare(threshold: float):
     """Rows sorted by leader, spread and member; the leader's own row first."""
     def run(batches):
         leader, mine = None, None
-        for b in batches:
+        for b in pieces(batches, "vec"):
             a, m, ok = [], [], []
             for lead, spread, member, vec in zip(*(b.column(c).to_pylist() for c in ("leader", "spread", "member", "vec")),
                                                  strict=True):

@@ -1,6 +1,9 @@
 import random
+import tracemalloc
 import zlib
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lexispark.llm import langid as G
@@ -60,3 +63,21 @@ def test_nothing_to_learn_from(spark, frame):
     model = G.fit(docs, F.lit(True))
     assert model is None and {r.lang_pred for r in G.identify(docs, model).collect()} == {"und"}
     assert G.identify(frame([]), model).collect() == []
+
+
+def test_texts_are_judged_within_bounded_memory(monkeypatch):
+    """Kernel values of some texts at once; the parts change no language."""
+    rng = random.Random(4)
+    text = lambda parts, n: " ".join("".join(rng.choices(parts, k=3)) for _ in range(n))
+    parts = {"x": ["ka", "ko", "zu", "ri"], "y": ["the", "ing", "ous", "ent"]}
+    langs = ["x", "y"] * 40
+    model = G.Model([text(parts[a], 30) for a in langs], langs, 8, 1e-3)
+    texts = pa.array([text(parts["xy"[k % 2]], 350) for k in range(512)])
+    tracemalloc.start()
+    got, scores = G._predict(model, texts)
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    assert peak < 40 and got == ["x", "y"] * 256
+    monkeypatch.setattr(G, "STEP_TEXTS", 512)
+    again, others = G._predict(model, texts)
+    assert got == again and np.allclose(scores, others, atol=1e-5)

@@ -2,8 +2,10 @@ import collections
 import math
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lexispark.llm import neardup as N
@@ -198,3 +200,60 @@ def test_classes_on_the_driver_and_by_joins(spark, monkeypatch, few):
     got = {r.id: r.label for r in N.classes(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{i: 1 for i in [*range(1, 61), 90, 200, 100_000]}, 100: 100, 101: 100}
     assert N.classes(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def block_of(docs, words, vocab):
+    """A block of texts of random words, as a table, and what is known of its words."""
+    rng = np.random.default_rng(6)
+    tokens = rng.integers(0, vocab, docs * words).astype("<u4")
+    block = pa.table({
+        "block": ["0-1"], "ids": [np.arange(docs, dtype="<i8").tobytes()], "nulls": [bytes(docs)], "keys": [bytes(16 * docs)],
+        "ends": [(np.arange(1, docs + 1, dtype="<i8") * words).tobytes()], "vocab": [np.sort(N.mix(np.arange(vocab, dtype="<u8"))).tobytes()],
+        "df": [np.full(vocab, 3, "<u4").tobytes()], "tokens": [tokens.tobytes()]})
+    asked = pa.Table.from_batches(N._ask(1)(block.to_batches()))
+    return block, N._add(None, asked)
+
+
+def traced(run):
+    tracemalloc.start()
+    try:
+        return run(), tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_block_is_signed_within_bounded_memory():
+    """A million words: 105 MB (vectors: 110) before, when all shingles of the block were held."""
+    block, answers = block_of(2000, 500, 20_000)
+    signed, peak = traced(lambda: N._sign(1, 5000)(None, block, answers))
+    assert signed.num_rows == 2000 and peak < 45
+    places = pa.table({"block": ["0-1"] * 2000, "bucket": pa.nulls(2000, pa.int32()), "total": pa.nulls(2000, pa.binary()),
+                       "place": pa.array(range(2000), pa.int32()), "id": pa.array(range(2000), pa.int64())})
+    known = answers.append_column("place", pa.nulls(1, pa.int32())).append_column("id", pa.nulls(1, pa.int64()))
+    vectors, peak = traced(lambda: N._vectors(1, 5000)(None, block, pa.concat_tables([known, places])))
+    assert vectors.num_rows == 2000 and peak < 45
+
+
+def test_steps_change_no_signature(monkeypatch):
+    block, answers = block_of(60, 7, 90)
+    got = []
+    for words in (1, 50, 1 << 17):
+        monkeypatch.setattr(N, "STEP_WORDS", words)
+        got.append(N._sign(1, 60)(None, block, answers))
+    assert got[0] == got[1] == got[2]
+
+
+def test_blocks_count_the_documents_of_each_word(monkeypatch):
+    from pyspark import TaskContext
+    monkeypatch.setattr(TaskContext, "get", classmethod(lambda cls: type("Task", (), {"partitionId": lambda self: 4})()))
+    texts = ["a b a", None, "", "b c", "!!", "A d"]
+    rows = pa.record_batch({"doc_id": pa.array([1, 2, None, 4, 5, 6], pa.int64()), "text": pa.array(texts)})
+    for cut in (1, 4, 1 << 20):
+        monkeypatch.setattr(N, "CUT_BYTES", cut)
+        (block,) = [b.to_pylist()[0] for b in N._blocks([rows])]
+        vocab, df = np.frombuffer(block["vocab"], "<u8"), np.frombuffer(block["df"], "<u4")
+        df = dict(zip(vocab.tolist(), df.tolist(), strict=True))
+        a, b, c, d = (int(h) for h in N.word_hashes(pa.array([b"a", b"b", b"c", b"d"])))
+        assert df == {a: 2, b: 2, c: 1, d: 1}
+        assert vocab[np.frombuffer(block["tokens"], "<u4")].tolist() == [a, b, a, b, c, a, d]
+        assert np.frombuffer(block["ends"], "<i8").tolist() == [3, 3, 3, 5, 5, 7] and block["nulls"] == bytes([0, 0, 1, 0, 0, 0])
