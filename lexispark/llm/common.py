@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ..plans.stages import materialize
+from ..plans.stages import WIDE_ROWS, materialize
 from ..session import ship_package
 
 #: Text bytes handled by one vectorized step inside a task; bounds its memory.
@@ -36,10 +36,11 @@ def pick(df: DataFrame, **columns: str | Column) -> DataFrame:
     return df.select(*[(F.col(f"`{c}`") if isinstance(c, str) else c).alias(n) for n, c in columns.items()])
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, wide: bool = False) -> DataFrame:
     """Written once to the shared folder and read back: later steps neither
-    replay the plan nor depend on the executors that computed it."""
-    return materialize(df, name)
+    replay the plan nor depend on the executors that computed it. ``wide``: for
+    rows of megabytes, of which a task then holds a few at once."""
+    return materialize(df, name, WIDE_ROWS if wide else None)
 
 
 def buffers(texts: pa.Array) -> tuple[bytes, np.ndarray]:

@@ -617,7 +617,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """doc_id, class_id and n_links of every row (see the module's docstring)."""
     ready(docs.sparkSession)
     every = pick(docs, doc_id=F.col(f"`{id_col}`").cast("long"), text=F.col(f"`{text_col}`").cast("string"))
-    blocks = stage(every.mapInArrow(_blocks, BLOCKS), "word-blocks")
+    blocks = stage(every.mapInArrow(_blocks, BLOCKS), "word-blocks", wide=True)
     size = blocks.agg(F.coalesce(F.sum(F.octet_length("ids") / 8), F.lit(0)),
                       F.coalesce(F.sum(F.octet_length("vocab") / 8), F.lit(0))).collect()[0]
     n_docs, buckets = max(1, int(size[0])), 1 + int(size[1]) // BUCKET_ENTRIES

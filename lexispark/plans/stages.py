@@ -45,9 +45,14 @@ def remove_stages(spark: SparkSession) -> int:
     return len(paths)
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+#: For rows of megabytes: Parquet's writer looks at its sizes after every row, not after 100,
+#: and a row group, which its writer and its reader hold whole, ends at 16 MB.
+WIDE_ROWS = {"parquet.page.size.row.check.min": "1", "parquet.block.size": str(16 << 20)}
+
+
+def materialize(df: DataFrame, name: str = "stage", options: dict[str, str] | None = None) -> DataFrame:
     path = stage_path(df, name)
-    df.write.mode("error").parquet(path)
+    df.write.mode("error").options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
