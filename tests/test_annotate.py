@@ -307,3 +307,8 @@ def test_packed_runs_are_those_of_the_definition(spark, monkeypatch):
     assert G.shared_runs(df.limit(0), "body", {2: "Q"}).collect() == []
     plan = G.shared_runs(df, "body", {3: "P", 2: "Q"})._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan and plan.count("FlatMapGroupsInArrow") == 1
+    # what is found of them, by a trie, by a broadcast and packed in several buckets, some without phrases
+    table = spark.createDataFrame([*want, ("Q", "nowhere met"), ("P", "don't"), ("Q", "Corp. é 3.5 B")], "label string, phrase string")
+    found = [sorted((str(r["id"]), str(r["body"]), r["ents"] or []) for r in G.annotate_with_gazetteer(df, "body", table, ["P", "Q"], Lexicon(words={}), **kw).collect())
+             for kw in ({}, {"max_bytes": 0}, {"max_bytes": 0, "few": 0})]
+    assert found[0] == found[1] == found[2] and any("P" in x[2] for x in found[0])
